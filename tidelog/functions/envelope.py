@@ -50,23 +50,24 @@ def decode(df: DataFrame, value: str = "value") -> DataFrame:
     after the object, so the text is wrapped in an array with its own digest as
     the last element: any tail, comma or bracket in the text moves or hides that
     digest. Fields of rejected rows are NULL.
+
+    The parse sits in a one-row ``inline``: a later filter on ``valid`` cannot be
+    pushed below it, so a text is parsed once however many columns use it.
     """
     text = F.col(value)
     digest = F.sha2(text, 256)
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]')))
-    parsed = df.withColumn("_json", wrapped)
+    once = F.inline(F.array(F.struct(wrapped.alias("_json"), digest.alias("_digest"))))
+    parsed = df.select("*", once)
 
     def field(name: str, kind: str) -> Column:
         return F.try_variant_get("_json", f"$[0].{name}", kind)
 
-    checks = [
-        F.try_variant_get("_json", "$[1]", "string") == digest,
-        F.try_variant_get("_json", "$[2]", "variant").isNull(),
-    ]
-    checks += [F.schema_of_variant(field(name, "variant")) == "STRING" for name in FIELDS]
-    valid = checks[0]
-    for check in checks[1:]:
-        valid = valid & check
+    valid = (F.try_variant_get("_json", "$[1]", "string") == F.col("_digest")) & F.try_variant_get(
+        "_json", "$[2]", "variant"
+    ).isNull()
+    for name in FIELDS:
+        valid = valid & (F.schema_of_variant(field(name, "variant")) == "STRING")
     marked = parsed.withColumn("valid", F.coalesce(valid, F.lit(False)))
     wanted = {name: field(name, "string") for name in FIELDS}
     wanted["pos"] = field("pos", "bigint")
@@ -78,30 +79,47 @@ def decode(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def log_key() -> Column:
-    """Key of a stored row: the same line at the same place always gets the same
+def log_key(origin: Column) -> Column:
+    """Key of a stored row: the same line from the same origin always gets the same
     key, so a replay cannot duplicate it, and equal text at two places stays two
     rows."""
-    parts = ["file_name", "src_pos", "timestamp", "log_type", "log_message"]
-    return F.sha2(F.concat_ws("\x01", *[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts]), 256)
+    parts = [F.col("file_name"), origin, F.col("timestamp"), F.col("log_type"), F.col("log_message")]
+    return F.sha2(F.concat_ws("\x01", *[F.coalesce(part.cast("string"), F.lit("")) for part in parts]), 256)
+
+
+def to_log_data(records: DataFrame, day: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Decoded records to stored rows.
+
+    The event time joins the record's own ``log_date`` (else ``day``) with its time
+    of day; an unknown date or malformed time gives NULL. The origin in the key is
+    the line's position, or the message's place in the topic if it carries none.
+    """
 
+    def own(name: str, kind: str) -> Column:
+        return (F.col(name) if name in records.columns else F.lit(None)).cast(kind)
 
-def to_log_data(records: DataFrame, day: str | Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """Decoded records to stored rows. The event time joins the record's own
-    ``log_date`` (else ``day``) with its time of day; unknown date or malformed
-    time gives NULL."""
-    own = F.col("log_date") if "log_date" in records.columns else F.lit(None).cast("string")
-    given = day if isinstance(day, Column) else F.lit(day).cast("string")
-    place = F.col("pos") if "pos" in records.columns else F.lit(None).cast("bigint")
+    place = F.when(
+        own("msg_offset", "bigint").isNotNull(),
+        F.concat_ws(":", own("msg_partition", "string"), own("msg_offset", "string")),
+    )
+    date = F.coalesce(own("log_date", "string"), F.lit(day).cast("string"))
     rows = records.select(
         *keep,
         F.col("filename").alias("file_name"),
         "timestamp",
         F.col("level").alias("log_type"),
         F.col("message").alias("log_message"),
-        event_time(F.coalesce(own, given.cast("string")), time_of_day(F.col("timestamp"))).alias("event_ts"),
-        place.cast("bigint").alias("src_pos"),
+        event_time(date, time_of_day(F.col("timestamp"))).alias("event_ts"),
+        own("pos", "bigint").alias("src_pos"),
+        F.coalesce(own("pos", "string"), place).alias("_origin"),
     )
     return rows.select(
-        *keep, log_key().alias("log_id"), "file_name", "timestamp", "log_type", "log_message", "event_ts", "src_pos"
+        *keep,
+        log_key(F.col("_origin")).alias("log_id"),
+        "file_name",
+        "timestamp",
+        "log_type",
+        "log_message",
+        "event_ts",
+        "src_pos",
     )
