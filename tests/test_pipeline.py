@@ -1,0 +1,229 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelog.plans.jobs import consolidate_logs, consume, dashboard, monitor
+from tidelog.sinks.tables import store, upsert_rows, write_batch
+from tidelog.sources.tables import log_table
+from tidelog.sources.topic import read_messages
+from tidelog.streaming.batches import Targets, batch_action
+from tidelog.streaming.windows import stream_anchored_windows, stream_tumbling_count
+
+
+def envelope(second, level="INFO", message="m", file="output1.log", pos=0, **more):
+    return json.dumps(
+        {"timestamp": f"10:00:{second:02d}.000", "level": level, "message": message, "filename": file, "pos": pos, **more}
+    )
+
+
+def messages(spark, texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def targets(base, **more):
+    return Targets(str(base / "stored"), str(base / "alerts"), str(base / "rejects"), day="2024-01-01", **more)
+
+
+def test_upsert_keeps_one_row_per_key(spark, tmp_path):
+    batch = messages(spark, [envelope(1, pos=0), envelope(1, pos=1), envelope(1, pos=0)])
+    act = batch_action(targets(tmp_path))
+    act(batch, 0)
+    act(batch, 0)
+    act(batch.union(messages(spark, [envelope(2, pos=2)])), 1)
+    rows = log_table(spark, str(tmp_path / "stored"))
+    assert sorted(r.src_pos for r in rows.collect()) == [0, 1, 2]
+    assert {r.event_date for r in rows.collect()} == {"2024-01-01"}
+
+
+def test_rows_without_event_time_are_stored_once(spark, tmp_path):
+    batch = messages(spark, [envelope(1).replace("10:00:01.000", "soon"), envelope(3, pos=4)])
+    act = batch_action(targets(tmp_path))
+    act(batch, 0)
+    act(batch, 1)
+    rows = {r.event_date: r for r in log_table(spark, str(tmp_path / "stored")).collect()}
+    assert set(rows) == {"undated", "2024-01-01"} and rows["undated"].event_ts is None
+    assert log_table(spark, str(tmp_path / "stored")).count() == 2
+
+
+def test_batch_of_rejects_only(spark, tmp_path):
+    act = batch_action(targets(tmp_path))
+    act(messages(spark, ["nonsense", "{}"]), 0)
+    act(messages(spark, ["nonsense", "{}"]), 0)
+    act(messages(spark, []), 1)
+    assert sorted(r.value for r in spark.read.parquet(str(tmp_path / "rejects")).collect()) == ["nonsense", "{}"]
+    assert log_table(spark, str(tmp_path / "stored")).count() == 0
+
+
+@pytest.mark.parametrize("errors, alerts", [(2, 0), (3, 1), (4, 1)])
+def test_one_alert_per_batch(spark, tmp_path, errors, alerts):
+    texts = [envelope(i, "ERROR", f"e{i}", pos=i) for i in range(errors)] + [envelope(9, pos=99), "bad"]
+    act = batch_action(targets(tmp_path))
+    act(messages(spark, texts), 5)
+    act(messages(spark, texts), 5)
+    got = spark.read.parquet(str(tmp_path / "alerts" / "batch_id=5")).collect()
+    assert len(got) == alerts
+    if alerts:
+        assert (got[0].n_errors, got[0].message1, got[0].message2, got[0].message3) == (errors, "e0", "e1", "e2")
+
+
+def test_first_errors_follow_arrival_order_of_a_topic(spark, tmp_path):
+    rows = [(envelope(i, "ERROR", f"e{i}"), i % 2, 10 - i) for i in range(4)]
+    df = spark.createDataFrame(rows, "value string, msg_partition int, msg_offset bigint")
+    batch_action(targets(tmp_path))(df, 0)
+    got = spark.read.parquet(str(tmp_path / "alerts")).first()
+    assert (got.message1, got.message2, got.message3) == ("e2", "e0", "e3")
+
+
+def test_unknown_store_fails_before_any_query(tmp_path):
+    for kind in ("local", "elsewhere"):
+        with pytest.raises(ValueError, match="unsupported store"):
+            store(kind)
+        with pytest.raises(ValueError, match="unsupported store"):
+            batch_action(targets(tmp_path, kind=kind))
+
+
+def test_write_batch_replaces_its_own_folder(spark, tmp_path):
+    for _ in range(2):
+        write_batch(spark.range(3), str(tmp_path / "t"), 7)
+    write_batch(spark.range(2), str(tmp_path / "t"), 8)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+
+
+def test_upsert_reads_only_the_batch_dates_and_time_range(spark, tmp_path):
+    from tidelog.operators.merge import new_rows
+    from tidelog.sources.tables import with_event_date
+
+    schema = "log_id string, event_ts timestamp_ntz"
+    base = spark.sql("SELECT string(id) AS log_id, TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, int(id)) AS event_ts FROM range(72)")
+    wide = base.selectExpr("log_id", "'f' file_name", "'' timestamp", "'' log_type", "'' log_message", "event_ts", "0L src_pos")
+    upsert_rows(wide, str(tmp_path / "t"))
+    assert log_table(spark, str(tmp_path / "t")).count() == 72 and schema
+    batch = with_event_date(wide.where("log_id IN ('30', '31')"))
+    fresh = new_rows(batch, log_table(spark, str(tmp_path / "t")))
+    assert fresh.count() == 0
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan and "2024-01-02" in plan and "GreaterThanOrEqual(event_ts" in plan
+
+
+def test_pipeline_restarts_without_loss_or_repeats(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    goal = targets(tmp_path)
+
+    def write(name, *rows):
+        with open(logs / name, "a") as f:
+            f.writelines(f"{t} [w] {level} app - {text}\n" for t, level, text in rows)
+
+    def run():
+        publishing = monitor(
+            spark, str(logs), [("10:00", "10:59:59")], str(tmp_path / "publish"), "folder",
+            day="2024-01-01", path=str(tmp_path / "messages"),
+        )
+        publishing.trigger(availableNow=True).start().awaitTermination()
+        stream = read_messages(spark, "folder", path=str(tmp_path / "messages"))
+        consume(stream, goal, str(tmp_path / "consume")).trigger(availableNow=True).start().awaitTermination()
+        rows = log_table(spark, goal.stored).collect()
+        return sorted((r.file_name, r.log_message, r.log_type, str(r.event_ts)) for r in rows)
+
+    write("output1.log", ("09:59:59.999", "INFO", "early"), ("10:00:00.000", "ERROR", "a - b"))
+    first = [("output1.log", "a - b", "ERROR", "2024-01-01 10:00:00")]
+    assert run() == first
+    assert run() == first
+    write("output1.log", ("10:00:00.000", "ERROR", "a - b"), ("10:30:00.500", "SEVERE", "odd"))
+    write("output2.log", ("10:00:01.000", "ERROR", "x"), ("11:00:00.000", "INFO", "late"))
+    second = sorted([
+        *first,
+        ("output1.log", "a - b", "ERROR", "2024-01-01 10:00:00"),
+        ("output1.log", "odd", "", "2024-01-01 10:30:00.500000"),
+        ("output2.log", "x", "ERROR", "2024-01-01 10:00:01"),
+    ])
+    assert run() == second
+    # All messages again under a new checkpoint: a consumer that lost its progress.
+    stream = read_messages(spark, "folder", path=str(tmp_path / "messages"))
+    consume(stream, goal, str(tmp_path / "consume-again")).trigger(availableNow=True).start().awaitTermination()
+    assert run() == second
+
+
+def test_consolidate(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    for i in (2, 1):
+        (logs / f"output{i}.log").write_text("".join(f"file {i} line {n}\n" for n in range(50)))
+    for _ in range(2):
+        consolidate_logs(spark, str(logs), str(tmp_path / "all"))
+    parts = sorted((tmp_path / "all").glob("part-*"))
+    text = "".join(p.read_text() for p in parts)
+    assert text == "".join(f"file {i} line {n}\n" for i in (1, 2) for n in range(50))
+
+
+def stream_of(spark, path, rows):
+    """Write rows as one more file of a folder."""
+    rows.coalesce(1).write.mode("append").parquet(str(path))
+
+
+def times(spark, name, pairs):
+    df = spark.createDataFrame(pairs, "log_id string, second double")
+    ts = F.expr("TIMESTAMP_NTZ'2024-01-01' + INTERVAL '0.000001' SECOND * bigint(second * 1000000)")
+    return df.select(F.lit(name).alias("file_name"), "log_id", ts.alias("event_ts"), F.lit("INFO").alias("log_type"))
+
+
+def test_anchored_windows_carry_over_batches(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    schema = times(spark, "f", [("x", 0.0)]).schema
+
+    def run():
+        rows = spark.readStream.schema(schema).parquet(str(folder))
+        writer = stream_anchored_windows(rows).writeStream.option("checkpointLocation", str(tmp_path / "ck"))
+        writer.format("parquet").option("path", out).trigger(availableNow=True).start().awaitTermination()
+        got = spark.read.parquet(out).collect()
+        return {(r.file_name, r.log_id): (r.window_idx, r.is_late, str(r.window_start)[11:]) for r in got}
+
+    stream_of(spark, folder, times(spark, "f", [("b", 59.0), ("a", 0.0), ("c", 61.0)]))
+    stream_of(spark, folder, times(spark, "g", [("a", 500.0)]))
+    first = run()
+    assert first[("f", "a")] == (0, False, "00:00:00") and first[("f", "b")][0] == 0 and first[("f", "c")][0] == 1
+    stream_of(spark, folder, times(spark, "f", [("e", 121.000001), ("d", 121.0), ("late", 30.0)]))
+    second = run()
+    assert second[("f", "d")] == (1, False, "00:01:01")
+    assert second[("f", "late")] == (1, True, "00:01:01")
+    assert second[("f", "e")] == (2, False, "00:02:01.000001")
+    assert second[("g", "a")] == (0, False, "00:08:20")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_streamed_tumbling_counts_drop_and_count_late_rows(spark, tmp_path, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    schema = times(spark, "f", [("x", 0.0)]).schema
+    dropped = 0
+    try:
+        for batch in ([("a", 1.0), ("b", 5.0)], [("c", 100.0)], [("late", 2.0), ("d", 101.0)], [("e", 300.0)]):
+            stream_of(spark, folder, times(spark, "f", batch))
+            rows = spark.readStream.schema(schema).parquet(str(folder))
+            counted = stream_tumbling_count(rows, 10, "20 seconds")
+            writer = counted.writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "ck"))
+            query = writer.format("parquet").option("path", out).trigger(availableNow=True).start()
+            query.awaitTermination()
+            for progress in query.recentProgress:
+                dropped += sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
+        got = {str(r.window_start)[11:]: r.n_logs for r in spark.read.parquet(out).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {"00:00:00": 2, "00:01:40": 2}
+    assert dropped == 1
+
+
+def test_dashboard(spark):
+    rows = times(spark, "f", [("a", 0.0), ("b", 30.0), ("c", 90.0)]).select(
+        "log_id", "file_name", F.date_format("event_ts", "HH:mm:ss.SSS").alias("timestamp"),
+        F.when(F.col("log_id") == "a", "ERROR").otherwise("INFO").alias("log_type"),
+        F.concat(F.lit("Message "), "log_id").alias("log_message"), "event_ts", F.lit(0).alias("src_pos"),
+    )
+    views = dashboard(rows, ["INFO"], " MESSAGE b")
+    assert [(r.id, r.value) for r in views["pie"].collect()] == [("INFO", 2)]
+    assert sorted((r.x, r.level, r.y) for r in views["lines"].collect()) == [("0", "INFO", 1), ("1", "INFO", 1)]
+    assert [r.log_message for r in views["table"].collect()] == ["Message b"]
+    everything = dashboard(rows)
+    assert everything["lines"].count() == 12 and everything["table"].count() == 3

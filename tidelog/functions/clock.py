@@ -43,7 +43,8 @@ def normal_time(text: str) -> str:
 
 def event_time(day: Column, clock: Column) -> Column:
     """Date plus time of day as a zone-free timestamp; NULL when either is bad."""
-    return F.concat_ws(" ", day.cast("string"), clock).try_cast("timestamp_ntz")
+    whole = F.concat(day.cast("string"), F.lit(" "), F.when(clock != "", clock))
+    return whole.try_cast("timestamp_ntz")
 
 
 def micros(df: DataFrame, column: str) -> Column:

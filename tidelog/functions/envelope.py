@@ -79,11 +79,12 @@ def decode(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def log_key(origin: Column) -> Column:
-    """Key of a stored row: the same line from the same origin always gets the same
-    key, so a replay cannot duplicate it, and equal text at two places stays two
-    rows."""
-    parts = [F.col("file_name"), origin, F.col("timestamp"), F.col("log_type"), F.col("log_message")]
+def log_key(origin: Column, date: Column | None = None) -> Column:
+    """Key of a stored row: the same line of the same origin and date always gets
+    the same key, so a replay cannot duplicate it, and equal text at two places or
+    on two days stays two rows."""
+    known = F.lit("") if date is None else date
+    parts = [F.col("file_name"), known, origin, F.col("timestamp"), F.col("log_type"), F.col("log_message")]
     return F.sha2(F.concat_ws("\x01", *[F.coalesce(part.cast("string"), F.lit("")) for part in parts]), 256)
 
 
@@ -92,7 +93,9 @@ def to_log_data(records: DataFrame, day: str | None = None, keep: Sequence[str]
 
     The event time joins the record's own ``log_date`` (else ``day``) with its time
     of day; an unknown date or malformed time gives NULL. The origin in the key is
-    the line's position, or the message's place in the topic if it carries none.
+    the line's position, or the message's place in the topic if it carries none;
+    the date in the key is the record's own, so a replay under another ``day``
+    keeps its keys.
     """
 
     def own(name: str, kind: str) -> Column:
@@ -112,10 +115,11 @@ def to_log_data(records: DataFrame, day: str | None = None, keep: Sequence[str]
         event_time(date, time_of_day(F.col("timestamp"))).alias("event_ts"),
         own("pos", "bigint").alias("src_pos"),
         F.coalesce(own("pos", "string"), place).alias("_origin"),
+        own("log_date", "string").alias("_date"),
     )
     return rows.select(
         *keep,
-        log_key(F.col("_origin")).alias("log_id"),
+        log_key(F.col("_origin"), F.col("_date")).alias("log_id"),
         "file_name",
         "timestamp",
         "log_type",

@@ -39,12 +39,19 @@ def batch_alerts(
         *[F.col(c).alias(c) if isinstance(c, str) else c for c in by], *order, F.col(message).alias("_message")
     )
     keys = sliced.columns[: len(by)]
-    if not keys:
-        sliced, keys = sliced.withColumn("_all", F.lit(0)), ["_all"]
     tally = sliced.groupBy(*keys).agg(F.count("*").alias("n_errors")).where(F.col("n_errors") >= size)
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    firsts = sliced.withColumn("_n", nth).where(F.col("_n") <= size)
+    if keys:
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        firsts = sliced.withColumn("_n", nth).where(F.col("_n") <= size)
+    else:
+        top = sliced.orderBy(*order).limit(size)
+        firsts = top.withColumn("_n", F.row_number().over(Window.orderBy(*order)))
     slots = [F.max(F.when(F.col("_n") == i, F.col("_message"))).alias(f"message{i}") for i in range(1, size + 1)]
     spread = firsts.groupBy(*keys).agg(*slots)
-    body = alert_body([F.coalesce(F.col(f"message{i}"), F.lit("")) for i in range(1, size + 1)])
-    return tally.join(spread, keys).withColumn("body", body).drop("_all")
+    if keys:
+        found = tally.join(spread, keys)
+    else:  # one row each: side by side through one more aggregate
+        both = tally.unionByName(spread, allowMissingColumns=True)
+        found = both.agg(*[F.max(c).alias(c) for c in both.columns]).where(F.col("n_errors") >= size)
+    messages = [F.coalesce(F.col(f"message{i}"), F.lit("")) for i in range(1, size + 1)]
+    return found.withColumn("body", alert_body(messages))

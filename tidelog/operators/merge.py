@@ -20,15 +20,24 @@ def latest_per_key(rows: DataFrame, key: str = "log_id", version: Sequence[str]
     return picked.select(*[F.col(key) if c == key else F.col(f"_row.{c}") for c in rows.columns])
 
 
-def new_rows(batch: DataFrame, stored: DataFrame, key: str = "log_id", part: str = "event_date") -> DataFrame:
+def new_rows(
+    batch: DataFrame, stored: DataFrame, key: str = "log_id", part: str = "event_date", ts: str = "event_ts"
+) -> DataFrame:
     """Distinct rows of ``batch`` whose key is not stored.
 
-    Only keys of the date partitions the batch touches are read: the semi join
-    on the partition column prunes them at run time. The keys found there are no
-    more than the batch's own, so the last join is small on both sides.
+    A stored copy has the same date and event time as the row itself. So of the
+    stored table only the batch's dates are listed, and within those only row
+    groups that meet the batch's time range are read, and only their keys. The
+    dates and the range come from one small aggregate (a row with one entry per
+    calendar day).
     """
     fresh = batch.dropDuplicates([key])
-    touched = fresh.select(part).distinct()
-    near = stored.select(key, part).join(touched, part, "left_semi")
-    known = near.join(fresh.select(key), key, "left_semi").select(key)
+    reach = batch.agg(F.collect_set(part).alias("parts"), F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    near = stored.where(F.col(part).isin(reach["parts"]))
+    if reach["lo"] is None:
+        near = near.where(F.col(ts).isNull())
+    else:
+        lo, hi = (F.lit(str(reach[side])).cast(batch.schema[ts].dataType) for side in ("lo", "hi"))
+        near = near.where(F.col(ts).isNull() | F.col(ts).between(lo, hi))
+    known = near.select(key).join(fresh.select(key), key, "left_semi")
     return fresh.join(known, key, "left_anti")

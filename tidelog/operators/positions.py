@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidelog.functions.clock import event_time
 
-# Positions per block: rows of one block are ordered inside one task.
-BLOCK = 1 << 20
+# Positions (bytes or rows) per block: rows of a block are ordered inside one task.
+BLOCK = 1 << 24
+# Blocks per stretch of the running sum over block sizes.
+STRETCH = 1 << 12
 
 
 def _blocked(df: DataFrame, pos: str, block: int) -> DataFrame:
@@ -20,16 +22,23 @@ def line_numbers(
 ) -> DataFrame:
     """Add the 0-based number of each row in ``(file, pos)`` order over all files.
 
-    Blocks of positions are counted first; a running sum over those counts (one
-    row per block) gives every block its first number, and rows are numbered
-    inside their block. No task ever holds a whole file.
+    Blocks of positions are counted first. A running sum over the counts, within
+    stretches of blocks and then over the stretches, gives every block its first
+    number, and rows are numbered inside their block. No task ever holds a file.
     """
     blocked = _blocked(df, pos, block)
     sizes = blocked.groupBy(file_name, "_block").agg(F.count("*").alias("_size"))
-    before = Window.orderBy(file_name, "_block").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = sizes.select(
-        file_name, "_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first")
-    )
+    sizes = sizes.withColumn("_stretch", F.floor(F.col("_block") / STRETCH))
+    totals = sizes.groupBy(file_name, "_stretch").agg(F.sum("_size").alias("_total"))
+
+    def running(size: str, window: WindowSpec) -> Column:
+        return F.coalesce(F.sum(size).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    along = Window.orderBy(file_name, "_stretch")
+    bases = totals.select(file_name, "_stretch", running("_total", along).alias("_base"))
+    within = Window.partitionBy(file_name, "_stretch").orderBy("_block")
+    firsts = sizes.withColumn("_part", running("_size", within)).join(bases, [file_name, "_stretch"])
+    firsts = firsts.select(file_name, "_block", (F.col("_base") + F.col("_part")).alias("_first"))
     inside = Window.partitionBy(file_name, "_block").orderBy(pos)
     numbered = blocked.join(firsts, [file_name, "_block"])
     return numbered.withColumn(name, F.col("_first") + F.row_number().over(inside) - 1).drop("_first", "_block")

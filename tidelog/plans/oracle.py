@@ -33,7 +33,7 @@ records AS (
   SELECT pos, clock AS timestamp, level, props AS message, file_name AS filename FROM levelled
 ),
 stored AS (
-  SELECT sha256(concat_ws(chr(1), file_name, CAST(pos AS VARCHAR), clock, lvl, props)) AS log_id,
+  SELECT sha256(concat_ws(chr(1), file_name, '', CAST(pos AS VARCHAR), clock, lvl, props)) AS log_id,
          file_name, clock AS timestamp, lvl AS log_type, props AS log_message, ts AS event_ts,
          pos AS src_pos
   FROM logs
@@ -224,7 +224,7 @@ def oracle() -> dict[str, str]:
         "parse_timestamp": _over_logs(
             "SELECT pos, regexp_extract(value, '[0-9]{2}:[0-9]{2}:[0-9]{2}\\.[0-9]{3}') AS timestamp FROM plain"
         ),
-        "parse_line_records": _over_logs("SELECT * FROM records"),
+        "parse_line": _over_logs("SELECT * FROM records"),
         "parse_documents": f"""
 WITH {_DOC_LINES},
 cut AS (
@@ -233,7 +233,7 @@ cut AS (
 SELECT pos, '00:00:00.000' AS timestamp, 'INFO' AS level, message, filename,
        CAST(length(message) AS INTEGER) AS n_chars
 FROM cut""",
-        "leading_time_of_line": _over_logs("SELECT pos, string_split(value, ' ')[1] AS tod FROM plain"),
+        "leading_time": _over_logs("SELECT pos, string_split(value, ' ')[1] AS tod FROM plain"),
         "instance_of_file": _over_logs(
             "SELECT file_name, CAST(replace(replace(file_name, 'output', ''), '.log', '') AS INTEGER) AS instance, "
             "count(*) AS n_lines FROM plain GROUP BY 1, 2"
@@ -250,8 +250,8 @@ FROM messages""",
             _MESSAGES,
         ),
         "decode_rejects": _over_logs("SELECT pos AS msg_id, value FROM messages WHERE pos % 10 < 7", _MESSAGES),
-        "to_log_data_rows": _over_logs(
-            f"""SELECT sha256(concat_ws(chr(1), filename, CAST(pos AS VARCHAR), timestamp, level, message)) AS log_id,
+        "to_log_data": _over_logs(
+            f"""SELECT sha256(concat_ws(chr(1), filename, '', CAST(pos AS VARCHAR), timestamp, level, message)) AS log_id,
        filename AS file_name, timestamp, level AS log_type, message AS log_message,
        CAST('{queries.DAY} ' || timestamp AS TIMESTAMP) AS event_ts, pos AS src_pos
 FROM records"""
@@ -320,7 +320,7 @@ FROM stored GROUP BY log_type"""
                       * {queries.SLICE_SECONDS} * 1000000) AS window_start, count(*) AS n_logs
 FROM stored WHERE log_type = 'ERROR' GROUP BY 1"""
         ),
-        "anchored_windows_all": _over_logs(
+        "anchored_windows": _over_logs(
             "SELECT src_pos, event_ts, window_idx, window_start, window_end FROM labelled",
             _chain("", queries.ANCHOR_MINUTES),
             recursive=True,

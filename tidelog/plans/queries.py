@@ -40,7 +40,9 @@ NUMBER_PATTERN = "[1-3][0-9]"
 
 
 def _query(run: Query) -> Query:
-    _QUERIES[run.__name__] = run
+    """Register under the function's name; a leading ``q_`` only keeps it apart
+    from the operator of the same name."""
+    _QUERIES[run.__name__.removeprefix("q_")] = run
     return run
 
 
@@ -76,7 +78,7 @@ def parse_timestamp(spark, sf_dir):
 
 
 @_query
-def parse_line_records(spark, sf_dir):
+def q_parse_line(spark, sf_dir):
     return parse_line(inputs.log_lines(spark, sf_dir), keep=("pos",))
 
 
@@ -88,7 +90,7 @@ def parse_documents(spark, sf_dir):
 
 
 @_query
-def leading_time_of_line(spark, sf_dir):
+def q_leading_time(spark, sf_dir):
     lines = inputs.log_lines(spark, sf_dir)
     return lines.select("pos", leading_time(F.col("value")).alias("tod"))
 
@@ -145,7 +147,7 @@ def decode_rejects(spark, sf_dir):
 
 
 @_query
-def to_log_data_rows(spark, sf_dir):
+def q_to_log_data(spark, sf_dir):
     encoded = _records(spark, sf_dir).select(encode(extras=("pos",)).alias("value"))
     return to_log_data(decode(encoded).where("valid"), DAY)
 
@@ -282,7 +284,7 @@ def tumbling_count(spark, sf_dir):
 
 
 @_query
-def anchored_windows_all(spark, sf_dir):
+def q_anchored_windows(spark, sf_dir):
     rows = inputs.stored_rows(spark, sf_dir).select("src_pos", "event_ts")
     return anchored_windows(rows, minutes=ANCHOR_MINUTES)
 

@@ -179,7 +179,6 @@ class _LinesStream(DataSourceStreamReader):
         return 0
 
     def initialOffset(self) -> dict:
-        self.known = {}
         return {}
 
     def latestOffset(self) -> dict:
@@ -187,8 +186,9 @@ class _LinesStream(DataSourceStreamReader):
         for info in _listing(self.settings.path, self.settings.names):
             if info.size:
                 now[info.base_name] = {"end": info.size, "mark": self._mark(info)}
-        # Right after a restart the last offset is unknown here, and the first
-        # batch takes all that is waiting.
+        # Spark asks for the latest offset before it tells where a query stands, so
+        # the first batch after a start takes all that is waiting (as byte ranges
+        # read in parallel, like a batch job), and the limit holds from then on.
         if self.settings.trigger_bytes and self.known is not None:
             grown = [n for n, e in now.items() if self._from(self.known, n, e) < e["end"]]
             share = max(1, self.settings.trigger_bytes // max(1, len(grown)))

@@ -40,11 +40,10 @@ def read_messages(spark: SparkSession, kind: str, **options: str) -> DataFrame:
 
 def write_messages(messages: DataFrame, kind: str, checkpoint: str, **options: str) -> DataStreamWriter:
     """Writer of a text column ``value`` without a key."""
-    only = messages.select("value")
-    writer = only.writeStream.option("checkpointLocation", checkpoint)
-    if kind == "topic":
-        servers, topic = options.pop("servers"), options.pop("topic")
-        return writer.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).options(**options)
+    if kind not in ("topic", "folder"):
+        raise ValueError(f"unknown message transport {kind!r}")
+    writer = messages.select("value").writeStream.option("checkpointLocation", checkpoint)
     if kind == "folder":
         return writer.format("text").option("path", options.pop("path")).options(**options)
-    raise ValueError(f"unknown message transport {kind!r}")
+    servers, topic = options.pop("servers"), options.pop("topic")
+    return writer.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).options(**options)
