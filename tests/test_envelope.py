@@ -26,6 +26,17 @@ CASES = {
     variant(message=""): True,
     "  " + GOOD + " \n\t": True,
     variant(message="café 日本"): True,
+    variant(pos="x", log_date=7): True,
+    GOOD[:-1] + ', "level": "WARN"}': True,
+    GOOD[:-1] + ', "level": null}': False,
+    GOOD[:-1] + ', "_digest": "x"}': True,
+    GOOD[:-1] + ', "a": NaN}': False,
+    GOOD[:-1] + ', "a": 01}': False,
+    GOOD + ',{"_digest":"x"}] junk': False,
+    GOOD + ',{"_digest":"x"}': False,
+    "5": False,
+    "[]": False,
+    "{}": False,
     variant(message=5): False,
     variant(message=None): False,
     variant(message=...): False,
@@ -67,7 +78,7 @@ def test_strict_decode(spark):
 def test_one_parse_per_row_even_below_a_filter(spark):
     df = spark.createDataFrame([(GOOD,)], "value string")
     plan = decode(df).where("valid").select("level", "message")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("parseJson") == 1
+    assert plan.count("from_json") == 1
 
 
 def test_encode_decode_round_trip(spark, lines):

@@ -12,6 +12,10 @@ from tidelog.functions.text import log_level, log_message, log_timestamp
 from tidelog.schema import LOG_RECORD
 
 FIELDS = tuple(LOG_RECORD.fieldNames())
+_EXTRAS = {"pos": "bigint", "log_date": "string"}
+_KINDS = {**dict.fromkeys(FIELDS, "variant"), **_EXTRAS, "_digest": "string"}
+_WRAPPED = f"array<struct<{','.join(f'{name}:{kind}' for name, kind in _KINDS.items())}>>"
+_STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def parse_line(
@@ -46,32 +50,32 @@ def decode(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``valid`` and the envelope's fields to rows of JSON text.
 
     A row is valid only if its text is exactly one JSON object whose four
-    mandatory fields are all JSON strings. The parser alone would accept text
-    after the object, so the text is wrapped in an array with its own digest as
-    the last element: any tail, comma or bracket in the text moves or hides that
-    digest. Fields of rejected rows are NULL.
-
-    The parse sits in a one-row ``inline``: a later filter on ``valid`` cannot be
-    pushed below it, so a text is parsed once however many columns use it.
+    mandatory fields are all JSON strings; of a repeated field the last one
+    counts. Fields of rejected rows are NULL.
+
+    The parser alone would convert other kinds to text and accept text after the
+    object. So the mandatory fields are read as variants, which keep their kind,
+    and the text is wrapped in an array closed by an object with its own digest:
+    any tail, comma or bracket in the text moves or hides that last element. The
+    parse sits in a one-row ``inline``: a later filter on ``valid`` is not pushed
+    below it, so a text is parsed once however many columns use it.
     """
     text = F.col(value)
     digest = F.sha2(text, 256)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]')))
-    once = F.inline(F.array(F.struct(wrapped.alias("_json"), digest.alias("_digest"))))
-    parsed = df.select("*", once)
-
-    def field(name: str, kind: str) -> Column:
-        return F.try_variant_get("_json", f"$[0].{name}", kind)
-
-    valid = (F.try_variant_get("_json", "$[1]", "string") == F.col("_digest")) & F.try_variant_get(
-        "_json", "$[2]", "variant"
-    ).isNull()
+    wrapped = F.concat(F.lit("["), text, F.lit(',{"_digest":"'), digest, F.lit('"}]'))
+    parse = F.from_json(wrapped, _WRAPPED, _STRICT)
+    parsed = df.select("*", F.inline(F.array(F.struct(parse.alias("_parts"), digest.alias("_expected")))))
+    split = parsed.select(
+        *df.columns,
+        F.get("_parts", F.lit(0)).alias("_m"),
+        ((F.size("_parts") == 2) & (F.get("_parts", F.lit(1))["_digest"] == F.col("_expected"))).alias("_whole"),
+    )
+    valid = F.col("_whole")
     for name in FIELDS:
-        valid = valid & (F.schema_of_variant(field(name, "variant")) == "STRING")
-    marked = parsed.withColumn("valid", F.coalesce(valid, F.lit(False)))
-    wanted = {name: field(name, "string") for name in FIELDS}
-    wanted["pos"] = field("pos", "bigint")
-    wanted["log_date"] = field("log_date", "string")
+        valid = valid & (F.schema_of_variant(F.col(f"_m.{name}")) == "STRING")
+    marked = split.withColumn("valid", F.coalesce(valid, F.lit(False)))
+    wanted = {name: F.try_variant_get(f"_m.{name}", "$", "string") for name in FIELDS}
+    wanted.update({name: F.col(f"_m.{name}") for name in _EXTRAS})
     return marked.select(
         *df.columns,
         "valid",

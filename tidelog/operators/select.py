@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.clock import leading_time, normal_time
+from tidelog.functions.clock import leading_time, normal_time, with_leading_time
 from tidelog.functions.text import file_instance
 
 Window = tuple[str, str]
@@ -30,10 +30,6 @@ def search(df: DataFrame, needle: str, levels: Iterable[str] = (), text: str = "
     return kept.where(F.contains(F.lower(F.col(text)), F.lit(wanted))) if wanted else kept
 
 
-def with_time_of_day(lines: DataFrame, value: str = "value", separator: str = " ") -> DataFrame:
-    return lines.withColumn("tod", leading_time(F.col(value), separator))
-
-
 def _in_order(df: DataFrame) -> DataFrame:
     return df.orderBy("tod", "file_name", "pos")
 
@@ -46,7 +42,7 @@ def time_window(
     Equal times keep file and line order. Lines without a leading time are never
     selected; :func:`untimed` lists them.
     """
-    timed = with_time_of_day(lines, value, separator)
+    timed = with_leading_time(lines, value, separator)
     chosen = timed.where(F.col("tod").between(normal_time(start), normal_time(end)))
     return _in_order(chosen) if ordered else chosen
 
@@ -89,7 +85,7 @@ def file_time_window(
 ) -> DataFrame:
     """:func:`time_window` with the window configured for each line's file."""
     start, end = file_window(windows, single)
-    timed = with_time_of_day(lines, value, separator)
+    timed = with_leading_time(lines, value, separator)
     chosen = timed.where((F.col("tod") >= start) & (F.col("tod") <= end))
     return _in_order(chosen) if ordered else chosen
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.clock import leading_time
+from tidelog.functions.clock import leading_time, with_leading_time
 from tidelog.functions.envelope import decode, encode, parse_line, to_log_data
 from tidelog.functions.text import file_instance, log_level, log_message, log_timestamp
 from tidelog.operators import positions, ranges, select, splits, summary, windows
@@ -197,7 +197,7 @@ def consolidate(spark, sf_dir):
 
 @_query
 def assign_dates(spark, sf_dir):
-    lines = select.with_time_of_day(inputs.log_lines(spark, sf_dir)).withColumn("first_day", F.lit(DAY))
+    lines = with_leading_time(inputs.log_lines(spark, sf_dir)).withColumn("first_day", F.lit(DAY))
     return positions.assign_dates(lines).select("file_name", "pos", "event_ts")
 
 
