@@ -29,7 +29,8 @@ from collections.abc import Iterable, Iterator, Sequence
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,38 +44,47 @@ MINUTE = 60_000_000
 _BEFORE_ALL = int(np.iinfo(np.int64).min)
 _FLUSH_ROWS = 1 << 16
 
-Batches = Iterator[pd.DataFrame]
+Batches = Iterator[pa.RecordBatch]
 
 
 def _pieces(batches: Batches, keys: Sequence[str], values: Sequence[str]) -> Iterator[tuple[tuple, list[np.ndarray]]]:
     """Runs of equal keys in sorted batches, each with its value arrays. A run that
     goes on in the next batch comes as several pieces; ``groupby`` joins them
     without holding them."""
-    for pdf in batches:
-        if not len(pdf):
+    for batch in batches:
+        rows = batch.num_rows
+        if not rows:
             continue
-        names = [pdf[name].to_numpy() for name in keys]
-        arrays = [pdf[name].to_numpy() for name in values]
-        change = np.zeros(len(pdf), dtype=bool)
-        change[0] = True
+        names = [batch.column(name) for name in keys]
+        arrays = [batch.column(name).to_numpy() for name in values]
+        change = np.ones(rows, dtype=bool)
+        change[1:] = False
         for column in names:
-            change[1:] |= column[1:] != column[:-1]
+            change[1:] |= pc.not_equal(column.slice(1), column.slice(0, rows - 1)).to_numpy(zero_copy_only=False)
         starts = np.flatnonzero(change)
-        for lo, hi in zip(starts, np.append(starts[1:], len(pdf))):
-            yield tuple(column[lo] for column in names), [array[lo:hi] for array in arrays]
+        for lo, hi in zip(starts, np.append(starts[1:], rows)):
+            yield tuple(column[lo].as_py() for column in names), [array[lo:hi] for array in arrays]
 
 
-def _packed(frames: Iterable[pd.DataFrame]) -> Batches:
-    """Join small frames to batches worth sending."""
+def _packed(parts: Iterable[pa.RecordBatch]) -> Batches:
+    """Join small batches to ones worth sending."""
     waiting, rows = [], 0
-    for frame in frames:
-        waiting.append(frame)
-        rows += len(frame)
+    for part in parts:
+        waiting.append(part)
+        rows += part.num_rows
         if rows >= _FLUSH_ROWS:
-            yield pd.concat(waiting)
+            yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
             waiting, rows = [], 0
     if waiting:
-        yield pd.concat(waiting)
+        yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+
+
+def _columns(k: str, rows: int, **columns: object) -> pa.RecordBatch:
+    """A batch of one key's rows; single numbers are repeated."""
+    arrays = [pa.repeat(pa.scalar(k, pa.string()), rows)]
+    for values in columns.values():
+        arrays.append(pa.array(np.broadcast_to(np.asarray(values, dtype=np.int64), rows)))
+    return pa.RecordBatch.from_arrays(arrays, names=["k", *columns])
 
 
 class StepTable:
@@ -117,82 +127,81 @@ class StepTable:
             np.append(self.opened + opened, later.opened[:1]),
         ).merged()
 
-    def frame(self, **keys: object) -> pd.DataFrame:
-        return pd.DataFrame({**keys, "anchor": self.anchor, "until": self.end, "opened": self.opened})
+    def batch(self, k: str, **member: int) -> pa.RecordBatch:
+        return _columns(k, len(self.anchor), **member, anchor=self.anchor, until=self.end, opened=self.opened)
 
 
 class BucketSweep:
-    """Streams the sorted distinct times of one bucket and yields its step table."""
+    """Streams the sorted distinct times of one bucket and yields its step table.
+
+    All possible openings start a chain. Chains advance in rounds, one window per
+    round, and stay in order: no end of a round lies past the first end of the
+    next. So the ends wait in one queue, each chunk of times serves its front, and
+    no time is kept. Chains that reach the same event go on as one.
+    """
 
     def __init__(self, first_limit: int, length: int):
         self.limit, self.length = first_limit, length
-        self.entering = True
-        self.anchors: list[np.ndarray] = []
-        self.anchor = self.slot = self.opened = self.live = None
-        self.waiting: list[np.ndarray] = []
-        self.times = np.empty(0, dtype=np.int64)
+        self.entering: list[np.ndarray] | None = []
+        # Per possible opening: its time, its chain in ``live``, windows opened.
+        self.anchor = self.slot = self.opened = None
+        # Ends of this round's chains, how many advanced, and where they went.
+        self.live, self.served, self.moved = None, 0, []
 
     def feed(self, times: np.ndarray) -> None:
-        if self.entering:
+        if self.entering is not None:
             # The first time at or past the limit is still a possible opening.
             stop = int(np.searchsorted(times, self.limit, side="left")) + 1
-            self.anchors.append(times[:stop])
-            if stop <= len(times):
-                self._enter()
-        self.waiting.append(times)
-        if not self.entering and times[-1] > self.live[-1]:
-            self._gather()
-            self._advance()
+            self.entering.append(times[:stop])
+            if stop > len(times):
+                return
+            self._enter()
+        while True:
+            waiting = self.live[self.served :]
+            ready = waiting[: np.searchsorted(waiting, times[-1], side="left")]
+            if not len(ready):
+                return
+            self.moved.append(times[np.searchsorted(times, ready, side="right")] + self.length)
+            self.served += len(ready)
+            if self.served < len(self.live):
+                return
+            self._next_round()
 
     def _enter(self) -> None:
-        self.entering = False
-        self.anchor = np.concatenate(self.anchors) if self.anchors else np.empty(0, dtype=np.int64)
-        self.anchors = []
+        self.anchor = np.concatenate(self.entering)
+        self.entering = None
         self.live = self.anchor + self.length
-        self.slot = np.arange(len(self.anchor))
-        self.opened = np.ones(len(self.anchor), dtype=np.int64)
-
-    def _gather(self) -> None:
-        self.times = np.concatenate([self.times, *self.waiting])
-        self.waiting = []
-
-    def _advance(self) -> None:
-        """Open the next window of every chain while all of them can."""
-        while len(self.times) and self.times[-1] > self.live[-1]:
-            following = self.times[np.searchsorted(self.times, self.live, side="right")]
-            fresh = np.append(True, following[1:] != following[:-1])
-            self.slot = (np.cumsum(fresh) - 1)[self.slot]
-            self.live = following[fresh] + self.length
-            self.opened = self.opened + 1
-            same = (self.slot[1:] == self.slot[:-1]) & (self.opened[1:] == self.opened[:-1])
-            kept = np.append(np.flatnonzero(~same), len(self.slot) - 1)
-            self.anchor, self.slot, self.opened = self.anchor[kept], self.slot[kept], self.opened[kept]
-            self.times = self.times[np.searchsorted(self.times, self.live[0], side="right") :]
+        self.slot = np.arange(len(self.anchor), dtype=np.int32)
+        self.opened = np.ones(len(self.anchor), dtype=np.int32)
+
+    def _next_round(self) -> None:
+        ends = np.concatenate(self.moved)
+        fresh = np.append(True, ends[1:] != ends[:-1])
+        self.live, self.served, self.moved = ends[fresh], 0, []
+        self.slot = (np.cumsum(fresh, dtype=np.int32) - 1)[self.slot]
+        self.opened += 1
+        differs = (self.slot[1:] != self.slot[:-1]) | (self.opened[1:] != self.opened[:-1])
+        kept = np.append(np.flatnonzero(differs), len(self.slot) - 1)
+        self.anchor, self.slot, self.opened = self.anchor[kept], self.slot[kept], self.opened[kept]
 
     def finish(self) -> StepTable:
-        if self.entering:
+        if self.entering is not None:
             self._enter()
-        self._gather()
-        until, opened = self.live[self.slot], self.opened
-        while True:
-            at = np.searchsorted(self.times, until, side="right")
-            can = at < len(self.times)
-            if not can.any():
-                return StepTable(self.anchor, until, opened).merged()
-            until = np.where(can, self.times[np.minimum(at, len(self.times) - 1)] + self.length, until)
-            opened = opened + can
+        ends = np.concatenate([*self.moved, self.live[self.served :]])
+        opened = self.opened.astype(np.int64) + (self.slot < self.served)
+        return StepTable(self.anchor, ends[self.slot], opened).merged()
 
 
 def _sweep(length: int):
     """Rows sorted by (k, bucket, us) to the step table of each bucket."""
 
-    def tables(batches: Batches) -> Iterator[pd.DataFrame]:
+    def tables(batches: Batches) -> Batches:
         pieces = _pieces(batches, ["k", "bucket"], ["us"])
         for (k, bucket), parts in groupby(pieces, key=lambda p: p[0]):
-            state = BucketSweep((int(bucket) * FAN + 1) * length, length)
+            state = BucketSweep((bucket * FAN + 1) * length, length)
             for _, (times,) in parts:
                 state.feed(times)
-            yield state.finish().frame(k=k, bucket=bucket)
+            yield state.finish().batch(k, bucket=bucket)
 
     return lambda batches: _packed(tables(batches))
 
@@ -203,14 +212,14 @@ _STEPS = ["anchor", "until", "opened"]
 def _compose(batches: Batches) -> Batches:
     """Rows sorted by (k, super, bucket, anchor) to one step table per super."""
 
-    def tables() -> Iterator[pd.DataFrame]:
+    def tables() -> Batches:
         pieces = _pieces(batches, ["k", "super", "bucket"], _STEPS)
         for (k, sup), members in groupby(pieces, key=lambda p: p[0][:2]):
             total = StepTable.empty()
             for _, parts in groupby(members, key=lambda p: p[0]):
                 columns = zip(*[arrays for _, arrays in parts])
                 total = total.then(StepTable(*[np.concatenate(c) for c in columns]))
-            yield total.frame(k=k, super=sup)
+            yield total.batch(k, super=sup)
 
     return _packed(tables())
 
@@ -219,7 +228,7 @@ def _walk(batches: Batches) -> Batches:
     """Rows sorted by (k, span, member, anchor), each with the state that enters
     its span, to the state that enters every member."""
 
-    def states() -> Iterator[pd.DataFrame]:
+    def states() -> Batches:
         pieces = _pieces(batches, ["k", "span", "member"], [*_STEPS, "in_until", "in_idx"])
         for (k, _), members in groupby(pieces, key=lambda p: p[0][:2]):
             until = idx = None
@@ -232,10 +241,11 @@ def _walk(batches: Batches) -> Batches:
                     at = int(np.searchsorted(anchor, until, side="right"))
                     if step is None and at < len(anchor):
                         step = int(end[at]), int(opened[at])
-                seen.append((k, member, until, idx))
+                seen.append((member, until, idx))
                 if step:
                     until, idx = step[0], idx + step[1]
-            yield pd.DataFrame(seen, columns=["k", "member", "in_until", "in_idx"])
+            member, in_until, in_idx = zip(*seen)
+            yield _columns(k, len(seen), member=member, in_until=in_until, in_idx=in_idx)
 
     return _packed(states())
 
@@ -244,23 +254,23 @@ def _openings(length: int):
     """Rows sorted by (k, bucket, us), each with the state that enters its bucket,
     to the real openings."""
 
-    def frames(batches: Batches) -> Iterator[pd.DataFrame]:
+    def found(batches: Batches) -> Batches:
         pieces = _pieces(batches, ["k", "bucket"], ["us", "in_until", "in_idx"])
         for (k, _), parts in groupby(pieces, key=lambda p: p[0]):
-            until = idx = None
-            found = []
+            until = first = None
+            opened = []
             for _, (times, in_until, in_idx) in parts:
                 if until is None:
-                    until, idx = int(in_until[0]), int(in_idx[0])
+                    until, first = int(in_until[0]), int(in_idx[0])
                 at = int(np.searchsorted(times, until, side="right"))
                 while at < len(times):
-                    found.append((k, idx, int(times[at])))
-                    until, idx = int(times[at]) + length, idx + 1
+                    opened.append(int(times[at]))
+                    until = opened[-1] + length
                     at = int(np.searchsorted(times, until, side="right"))
-            if found:
-                yield pd.DataFrame(found, columns=["k", "window_idx", "us"])
+            if opened:
+                yield _columns(k, len(opened), window_idx=first + np.arange(len(opened)), us=opened)
 
-    return lambda batches: _packed(frames(batches))
+    return lambda batches: _packed(found(batches))
 
 
 def _floor_div(value: Column, size: int) -> Column:
@@ -297,11 +307,11 @@ def window_openings(df: DataFrame, ts: str = "event_ts", minutes: float = 1, key
     placed = bucketed.repartition("k", "bucket")
     tables = (
         placed.sortWithinPartitions("k", "bucket", "us")
-        .mapInPandas(_sweep(length), "k string, bucket bigint, anchor bigint, until bigint, opened bigint")
+        .mapInArrow(_sweep(length), "k string, bucket bigint, anchor bigint, until bigint, opened bigint")
         .withColumn("super", _floor_div(F.col("bucket"), FAN))
         .repartition("k", "super")
     )
-    supers = tables.sortWithinPartitions("k", "super", "bucket", "anchor").mapInPandas(
+    supers = tables.sortWithinPartitions("k", "super", "bucket", "anchor").mapInArrow(
         _compose, "k string, super bigint, anchor bigint, until bigint, opened bigint"
     )
     state = "k string, member bigint, in_until bigint, in_idx bigint"
@@ -316,21 +326,21 @@ def window_openings(df: DataFrame, ts: str = "event_ts", minutes: float = 1, key
         )
         .repartition("k")
         .sortWithinPartitions("k", "span", "member", "anchor")
-        .mapInPandas(_walk, state)
+        .mapInArrow(_walk, state)
         .withColumnRenamed("member", "super")
     )
     into_buckets = (
         tables.join(into_supers, ["k", "super"], "left")
         .select("k", F.col("super").alias("span"), F.col("bucket").alias("member"), *_STEPS, "in_until", "in_idx")
         .sortWithinPartitions("k", "span", "member", "anchor")
-        .mapInPandas(_walk, state)
+        .mapInArrow(_walk, state)
         .withColumnRenamed("member", "bucket")
     )
     return (
         placed.join(into_buckets, ["k", "bucket"], "left")
         .select("k", "bucket", "us", "in_until", "in_idx")
         .sortWithinPartitions("k", "bucket", "us")
-        .mapInPandas(_openings(length), "k string, window_idx bigint, us bigint")
+        .mapInArrow(_openings(length), "k string, window_idx bigint, us bigint")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.clock import event_time
 
 # Positions (bytes or rows) per block: rows of a block are ordered inside one task.
-BLOCK = 1 << 24
+BLOCK = 1 << 20
 # Blocks per stretch of the running sum over block sizes.
 STRETCH = 1 << 12
 
