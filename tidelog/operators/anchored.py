@@ -302,17 +302,29 @@ def window_openings(df: DataFrame, ts: str = "event_ts", minutes: float = 1, key
     uses of ``placed`` and of ``tables`` share one shuffle.
     """
     length = _length(minutes)
-    times = df.where(F.col(ts).isNotNull()).select(_key(keys).alias("k"), micros(df, ts).alias("us")).distinct()
-    bucketed = times.withColumn("bucket", _floor_div(F.col("us"), FAN * length))
-    placed = bucketed.repartition("k", "bucket")
+    # Buckets, and the groups of buckets, follow each other in time, so sorting by
+    # key and time also puts them in order.
+    # A single chain has no key column until rows go to Python: the optimizer would
+    # drop a constant from some partitionings and joins only, and shuffles that
+    # should match or be shared would differ.
+    on = ["k"] if keys else []
+    k = F.col("k") if keys else F.lit("").alias("k")
+    times = df.where(F.col(ts).isNotNull()).select(
+        *[_key(keys).alias(name) for name in on], micros(df, ts).alias("us")
+    )
+    bucketed = times.distinct().withColumn("bucket", _floor_div(F.col("us"), FAN * length))
+    placed = bucketed.repartition(*on, "bucket")
     tables = (
-        placed.sortWithinPartitions("k", "bucket", "us")
+        placed.sortWithinPartitions(*on, "us")
+        .select(k, "bucket", "us")
         .mapInArrow(_sweep(length), "k string, bucket bigint, anchor bigint, until bigint, opened bigint")
-        .withColumn("super", _floor_div(F.col("bucket"), FAN))
-        .repartition("k", "super")
+        .select(*on, "bucket", *_STEPS, _floor_div(F.col("bucket"), FAN).alias("super"))
+        .repartition(*on, "super")
     )
-    supers = tables.sortWithinPartitions("k", "super", "bucket", "anchor").mapInArrow(
-        _compose, "k string, super bigint, anchor bigint, until bigint, opened bigint"
+    supers = (
+        tables.sortWithinPartitions(*on, "anchor")
+        .select(k, "super", "bucket", *_STEPS)
+        .mapInArrow(_compose, "k string, super bigint, anchor bigint, until bigint, opened bigint")
     )
     state = "k string, member bigint, in_until bigint, in_idx bigint"
     into_supers = (
@@ -325,21 +337,21 @@ def window_openings(df: DataFrame, ts: str = "event_ts", minutes: float = 1, key
             F.lit(0).cast("bigint").alias("in_idx"),
         )
         .repartition("k")
-        .sortWithinPartitions("k", "span", "member", "anchor")
+        .sortWithinPartitions("k", "anchor")
         .mapInArrow(_walk, state)
-        .withColumnRenamed("member", "super")
+        .select(*on, F.col("member").alias("super"), "in_until", "in_idx")
     )
     into_buckets = (
-        tables.join(into_supers, ["k", "super"], "left")
-        .select("k", F.col("super").alias("span"), F.col("bucket").alias("member"), *_STEPS, "in_until", "in_idx")
-        .sortWithinPartitions("k", "span", "member", "anchor")
+        tables.join(into_supers, [*on, "super"], "left")
+        .select(k, F.col("super").alias("span"), F.col("bucket").alias("member"), *_STEPS, "in_until", "in_idx")
+        .sortWithinPartitions(*on, "anchor")
         .mapInArrow(_walk, state)
-        .withColumnRenamed("member", "bucket")
+        .select(*on, F.col("member").alias("bucket"), "in_until", "in_idx")
     )
     return (
-        placed.join(into_buckets, ["k", "bucket"], "left")
-        .select("k", "bucket", "us", "in_until", "in_idx")
-        .sortWithinPartitions("k", "bucket", "us")
+        placed.join(into_buckets, [*on, "bucket"], "left")
+        .select(k, "bucket", "us", "in_until", "in_idx")
+        .sortWithinPartitions(*on, "us")
         .mapInArrow(_openings(length), "k string, window_idx bigint, us bigint")
     )
 
