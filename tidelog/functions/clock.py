@@ -70,6 +70,11 @@ def event_time(day: Column, clock: Column) -> Column:
     return whole.try_cast("timestamp_ntz")
 
 
+def floor_div(value: Column, size: int) -> Column:
+    """Floor of an integer division, exact for any sign and size."""
+    return F.call_function("div", value - F.pmod(value, F.lit(size)), F.lit(size))
+
+
 def micros(df: DataFrame, column: str) -> Column:
     """Microseconds since 1970 of a timestamp column, whichever kind it is."""
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):

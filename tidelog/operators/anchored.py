@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.clock import from_micros, micros
+from tidelog.functions.clock import floor_div, from_micros, micros
 from tidelog.session import written_table
 
 # Window lengths per bucket, and buckets per composed table.
@@ -273,11 +273,6 @@ def _openings(length: int):
     return lambda batches: _packed(found(batches))
 
 
-def _floor_div(value: Column, size: int) -> Column:
-    """Floor of an integer division, exact for any sign."""
-    return F.call_function("div", value - F.pmod(value, F.lit(size)), F.lit(size))
-
-
 def _key(keys: Sequence[str]) -> Column:
     return F.to_json(F.struct(*keys)) if keys else F.lit("")
 
@@ -291,7 +286,7 @@ def _length(minutes: float) -> int:
 
 def _with_cell(df: DataFrame, ts: str, length: int, keys: Sequence[str]) -> DataFrame:
     placed = df.withColumn("_k", _key(keys)).withColumn("_us", micros(df, ts))
-    return placed.withColumn("_cell", _floor_div(F.col("_us"), length))
+    return placed.withColumn("_cell", floor_div(F.col("_us"), length))
 
 
 def window_openings(df: DataFrame, ts: str = "event_ts", minutes: float = 1, keys: Sequence[str] = ()) -> DataFrame:
@@ -312,13 +307,13 @@ def window_openings(df: DataFrame, ts: str = "event_ts", minutes: float = 1, key
     times = df.where(F.col(ts).isNotNull()).select(
         *[_key(keys).alias(name) for name in on], micros(df, ts).alias("us")
     )
-    bucketed = times.distinct().withColumn("bucket", _floor_div(F.col("us"), FAN * length))
+    bucketed = times.distinct().withColumn("bucket", floor_div(F.col("us"), FAN * length))
     placed = bucketed.repartition(*on, "bucket")
     tables = (
         placed.sortWithinPartitions(*on, "us")
         .select(k, "bucket", "us")
         .mapInArrow(_sweep(length), "k string, bucket bigint, anchor bigint, until bigint, opened bigint")
-        .select(*on, "bucket", *_STEPS, _floor_div(F.col("bucket"), FAN).alias("super"))
+        .select(*on, "bucket", *_STEPS, floor_div(F.col("bucket"), FAN).alias("super"))
         .repartition(*on, "super")
     )
     supers = (
@@ -370,7 +365,7 @@ def anchored_windows(
     opened = written_table(window_openings(df, ts, minutes, keys), "openings")
     reach = F.struct(F.col("us"), F.col("window_idx").alias("idx"))
     none = F.lit(None).cast("struct<us:bigint,idx:bigint>")
-    cell = _floor_div(F.col("us"), length)
+    cell = floor_div(F.col("us"), length)
     cells = (
         opened.select(
             F.col("k").alias("_k"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidelog.functions.clock import event_time
+from tidelog.functions.clock import event_time, floor_div
+from tidelog.session import written_table
 
 # Positions (bytes or rows) per block: rows of a block are ordered inside one task.
 BLOCK = 1 << 20
@@ -14,7 +15,7 @@ STRETCH = 1 << 12
 
 
 def _blocked(df: DataFrame, pos: str, block: int) -> DataFrame:
-    return df.withColumn("_block", F.floor(F.col(pos) / F.lit(block)).cast("bigint"))
+    return df.withColumn("_block", floor_div(F.col(pos), block))
 
 
 def line_numbers(
@@ -25,10 +26,12 @@ def line_numbers(
     Blocks of positions are counted first. A running sum over the counts, within
     stretches of blocks and then over the stretches, gives every block its first
     number, and rows are numbered inside their block. No task ever holds a file.
+    The counts are written out, so the input is read once for them and once for
+    the numbering.
     """
     blocked = _blocked(df, pos, block)
-    sizes = blocked.groupBy(file_name, "_block").agg(F.count("*").alias("_size"))
-    sizes = sizes.withColumn("_stretch", F.floor(F.col("_block") / STRETCH))
+    counted = blocked.groupBy(file_name, "_block").agg(F.count("*").alias("_size"))
+    sizes = written_table(counted.withColumn("_stretch", floor_div(F.col("_block"), STRETCH)), "block-sizes")
     totals = sizes.groupBy(file_name, "_stretch").agg(F.sum("_size").alias("_total"))
 
     def running(size: str, window: WindowSpec) -> Column:

@@ -398,7 +398,7 @@ WHERE window_start + INTERVAL {queries.SLICE_SECONDS} SECOND
             ),
             recursive=True,
         ),
-        "stream_pipeline": _over_logs(
+        "stream_files_to_store": _over_logs(
             f"""SELECT timestamp, level AS log_type, message AS log_message,
        CAST('{queries.DAY} ' || timestamp AS TIMESTAMP) AS event_ts, '{queries.DAY}' AS event_date
 FROM records r JOIN plain p USING (pos) WHERE p.{_IN_DAY}"""

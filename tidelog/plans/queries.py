@@ -440,9 +440,9 @@ def stream_anchored(spark, sf_dir):
 
 
 @_query
-def stream_pipeline(spark, sf_dir):
-    """Log files, tailed and published, consumed and stored: the whole pipeline."""
-    base = scratch_path(spark, "pipeline")
+def stream_files_to_store(spark, sf_dir):
+    """Log files, tailed and published, consumed and stored: all jobs in a row."""
+    base = scratch_path(spark, "files-to-store")
     inputs.log_lines(spark, sf_dir).select("value").write.text(f"{base}/logs")
     publishing = monitor(
         spark,
