@@ -61,9 +61,11 @@ def test_one_alert_per_batch(spark, tmp_path, errors, alerts):
     act = batch_action(targets(tmp_path))
     act(messages(spark, texts), 5)
     act(messages(spark, texts), 5)
-    got = spark.read.parquet(str(tmp_path / "alerts" / "batch_id=5")).collect()
-    assert len(got) == alerts
+    folder = tmp_path / "alerts" / "batch_id=5"
+    assert folder.exists() == bool(alerts)
     if alerts:
+        got = spark.read.parquet(str(folder)).collect()
+        assert len(got) == 1
         assert (got[0].n_errors, got[0].message1, got[0].message2, got[0].message3) == (errors, "e0", "e1", "e2")
 
 
@@ -94,11 +96,10 @@ def test_upsert_reads_only_the_batch_dates_and_time_range(spark, tmp_path):
     from tidelog.operators.merge import new_rows
     from tidelog.sources.tables import with_event_date
 
-    schema = "log_id string, event_ts timestamp_ntz"
     base = spark.sql("SELECT string(id) AS log_id, TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, int(id)) AS event_ts FROM range(72)")
     wide = base.selectExpr("log_id", "'f' file_name", "'' timestamp", "'' log_type", "'' log_message", "event_ts", "0L src_pos")
     upsert_rows(wide, str(tmp_path / "t"))
-    assert log_table(spark, str(tmp_path / "t")).count() == 72 and schema
+    assert log_table(spark, str(tmp_path / "t")).count() == 72
     batch = with_event_date(wide.where("log_id IN ('30', '31')"))
     fresh = new_rows(batch, log_table(spark, str(tmp_path / "t")))
     assert fresh.count() == 0

@@ -335,6 +335,16 @@ FROM stored WHERE log_type = 'ERROR' GROUP BY 1"""
         "window_level_series": _over_logs(
             "SELECT * FROM series", _chain("", queries.ANCHOR_MINUTES) + "," + _SERIES, recursive=True
         ),
+        "filter_series": _over_logs(
+            "SELECT * FROM series WHERE level IN ('ERROR', 'WARNING')",
+            _chain("", queries.ANCHOR_MINUTES) + "," + _SERIES,
+            recursive=True,
+        ),
+        "filter_level_counts": _over_logs(
+            f"""SELECT log_type AS id, count(*) AS value, log_type AS label,
+       {_COLORS.format('log_type')} AS color, {_ORDER.format('log_type')} AS ord
+FROM stored WHERE log_type IN ('SEVERE', 'DEBUG', 'WARNING') GROUP BY log_type"""
+        ),
         "line_chart": _over_logs(
             """SELECT level AS id, color,
        '[' || string_agg('{"x":"' || x || '","y":' || y || '}', ',' ORDER BY window_idx) || ']' AS data
@@ -398,6 +408,16 @@ WHERE window_start + INTERVAL {queries.SLICE_SECONDS} SECOND
             ),
             recursive=True,
         ),
+        "stream_alert": _over_logs(
+            "SELECT n_errors, message1, message2, message3, "
+            + " || ".join(f"'<p>' || {_escaped(f'message{i}')} || '</p>'" for i in (1, 2, 3))
+            + """ AS body
+FROM (SELECT count(*) AS n_errors, max(CASE WHEN n = 1 THEN message END) AS message1,
+             max(CASE WHEN n = 2 THEN message END) AS message2,
+             max(CASE WHEN n = 3 THEN message END) AS message3
+      FROM (SELECT message, row_number() OVER (ORDER BY filename, pos) AS n
+            FROM records WHERE level = 'ERROR'))"""
+        ),
         "stream_files_to_store": _over_logs(
             f"""SELECT timestamp, level AS log_type, message AS log_message,
        CAST('{queries.DAY} ' || timestamp AS TIMESTAMP) AS event_ts, '{queries.DAY}' AS event_date

@@ -305,6 +305,17 @@ def window_level_series(spark, sf_dir):
     return _series(spark, sf_dir)
 
 
+@_query
+def filter_series(spark, sf_dir):
+    return select.filter_levels(_series(spark, sf_dir), ["ERROR", "WARNING"], "level")
+
+
+@_query
+def filter_level_counts(spark, sf_dir):
+    counts = summary.level_counts(inputs.stored_rows(spark, sf_dir))
+    return select.filter_levels(counts, ["SEVERE", "DEBUG", "WARNING"], "id")
+
+
 @_query
 def line_chart(spark, sf_dir):
     chart = windows.chart_series(_series(spark, sf_dir))
@@ -439,6 +450,17 @@ def stream_anchored(spark, sf_dir):
     return _finish(stream_anchored_windows(rows, KEYED_MINUTES), spark, "anchored")
 
 
+@_query
+def stream_alert(spark, sf_dir):
+    """All envelopes as one micro-batch of the consumer: its single alert."""
+    base = scratch_path(spark, "alert")
+    _records(spark, sf_dir).select(encode(extras=("pos",)).alias("value")).write.text(f"{base}/messages")
+    targets = Targets(f"{base}/stored", f"{base}/alerts", f"{base}/rejects", day=DAY)
+    messages = read_messages(spark, "folder", path=f"{base}/messages")
+    consume(messages, targets, f"{base}/consume").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/alerts").drop("batch_id")
+
+
 @_query
 def stream_files_to_store(spark, sf_dir):
     """Log files, tailed and published, consumed and stored: all jobs in a row."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,10 +16,12 @@ STORED = T.StructType([*LOG_DATA.fields, T.StructField("event_date", T.StringTyp
 def log_table(spark: SparkSession, path: str) -> DataFrame:
     """The stored log table, partitioned by ``event_date`` (text, ``undated`` for
     rows without an event time). A missing table reads as an empty one."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+    try:
+        return spark.read.schema(STORED).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], STORED)
-    return spark.read.schema(STORED).parquet(path)
 
 
 def with_event_date(rows: DataFrame) -> DataFrame:

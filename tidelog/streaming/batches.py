@@ -27,7 +27,8 @@ class Targets:
 
 def batch_action(targets: Targets) -> Callable[[DataFrame, int], None]:
     """Save the batch's valid rows, set its rejects aside, and raise an alert if it
-    holds enough errors. The batch is parsed once and kept for all three."""
+    holds enough errors. The batch is parsed once and kept for all three; a batch
+    without rejects or alert leaves no folder for them."""
     save = store(targets.kind)
 
     def act(batch: DataFrame, batch_id: int) -> None:
@@ -38,10 +39,13 @@ def batch_action(targets: Targets) -> Callable[[DataFrame, int], None]:
                 return
             rows = to_log_data(decoded.where("valid"), targets.day, keep=arrival)
             save(rows.drop(*arrival), targets.stored)
-            write_batch(decoded.where(~F.col("valid")).select("value"), targets.rejects, batch_id)
+            rejects = decoded.where(~F.col("valid")).select("value")
+            if not rejects.isEmpty():
+                write_batch(rejects, targets.rejects, batch_id)
             order = arrival or ("file_name", "src_pos", "timestamp")
             alerts = batch_alerts(rows, order=(*order, "log_id"))
-            write_batch(alerts, targets.alerts, batch_id)
+            if not alerts.isEmpty():
+                write_batch(alerts, targets.alerts, batch_id)
         finally:
             decoded.unpersist()
 
