@@ -8,7 +8,7 @@ from tidelog.sinks.tables import store, upsert_rows, write_batch
 from tidelog.sources.tables import log_table
 from tidelog.sources.topic import read_messages
 from tidelog.streaming.batches import Targets, batch_action
-from tidelog.streaming.windows import stream_anchored_windows, stream_tumbling_count
+from tidelog.streaming.windows import AnchoredTarget, anchored_action, stream_tumbling_count
 
 
 def envelope(second, level="INFO", message="m", file="output1.log", pos=0, **more):
@@ -169,27 +169,57 @@ def times(spark, name, pairs):
     return df.select(F.lit(name).alias("file_name"), "log_id", ts.alias("event_ts"), F.lit("INFO").alias("log_type"))
 
 
-def test_anchored_windows_carry_over_batches(spark, tmp_path):
-    folder, out = tmp_path / "in", str(tmp_path / "out")
+@pytest.mark.parametrize("keys", [("file_name",), ()])
+def test_anchored_windows_carry_over_batches(spark, tmp_path, keys):
+    folder, target = tmp_path / "in", AnchoredTarget(str(tmp_path / "out"))
     schema = times(spark, "f", [("x", 0.0)]).schema
 
     def run():
         rows = spark.readStream.schema(schema).parquet(str(folder))
-        writer = stream_anchored_windows(rows).writeStream.option("checkpointLocation", str(tmp_path / "ck"))
-        writer.format("parquet").option("path", out).trigger(availableNow=True).start().awaitTermination()
-        got = spark.read.parquet(out).collect()
+        writer = rows.writeStream.foreachBatch(anchored_action(target, 1, keys))
+        writer.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+        got = spark.read.parquet(target.rows).collect()
         return {(r.file_name, r.log_id): (r.window_idx, r.is_late, str(r.window_start)[11:]) for r in got}
 
     stream_of(spark, folder, times(spark, "f", [("b", 59.0), ("a", 0.0), ("c", 61.0)]))
     stream_of(spark, folder, times(spark, "g", [("a", 500.0)]))
     first = run()
     assert first[("f", "a")] == (0, False, "00:00:00") and first[("f", "b")][0] == 0 and first[("f", "c")][0] == 1
-    stream_of(spark, folder, times(spark, "f", [("e", 121.000001), ("d", 121.0), ("late", 30.0)]))
+    stream_of(spark, folder, times(spark, "f", [("e", 121.000001), ("d", 121.0), ("late", 30.0), ("z", 900.0)]))
+    stream_of(spark, folder, times(spark, "h", [("a", 5000.0)]))
     second = run()
-    assert second[("f", "d")] == (1, False, "00:01:01")
-    assert second[("f", "late")] == (1, True, "00:01:01")
-    assert second[("f", "e")] == (2, False, "00:02:01.000001")
-    assert second[("g", "a")] == (0, False, "00:08:20")
+    if keys:
+        assert second[("f", "d")] == (1, False, "00:01:01")
+        assert second[("f", "late")] == (1, True, "00:01:01")
+        assert second[("f", "e")] == (2, False, "00:02:01.000001")
+        assert second[("f", "z")] == (3, False, "00:15:00")
+        assert second[("g", "a")] == (0, False, "00:08:20")
+        assert second[("h", "a")] == (0, False, "01:23:20")
+    else:
+        assert {second[("f", x)] for x in ("d", "e", "late")} == {(2, True, "00:08:20")}
+        assert second[("f", "z")] == (3, False, "00:15:00") and second[("h", "a")][0] == 4
+    stream_of(spark, folder, times(spark, "g", [("b", 560.0), ("c", 570.0), ("old", 1.0)]))
+    third = run()
+    if keys:
+        assert [third[("g", x)][:2] for x in ("b", "c", "old")] == [(0, False), (1, False), (0, True)]
+
+
+def test_anchored_batches_equal_one_run(spark, tmp_path):
+    """Rows that come in time order give the same windows in any cut into batches."""
+    import random
+
+    from tidelog.operators.anchored import anchored_windows
+
+    rng = random.Random(4)
+    seconds = sorted(rng.choice([rng.uniform(0, 400), rng.uniform(3000, 9000)]) for _ in range(300))
+    pairs = [(str(i), s) for i, s in enumerate(seconds)]
+    act = anchored_action(AnchoredTarget(str(tmp_path)), 1, ())
+    for batch_id, (lo, hi) in enumerate([(0, 7), (7, 100), (100, 101), (101, 300)]):
+        for _ in range(1 + batch_id % 2):
+            act(times(spark, "f", pairs[lo:hi]), batch_id)
+    got = {r.log_id: r.window_idx for r in spark.read.parquet(f"{tmp_path}/rows").collect()}
+    whole = {r.log_id: r.window_idx for r in anchored_windows(times(spark, "f", pairs)).collect()}
+    assert got == whole
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])

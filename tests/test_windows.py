@@ -63,7 +63,23 @@ def test_rows_without_time_get_no_window(spark):
     assert windows_of(df) == [0, 0, None]
 
 
-@pytest.mark.parametrize("fan, join", [(2, "10485760"), (3, "-1"), (64, "-1")])
+# How the planner may join: by broadcast, by sorting, and with skew handling that
+# would split any partition it is allowed to.
+JOINS = {
+    "broadcast": {},
+    "sorted": {"spark.sql.autoBroadcastJoinThreshold": "-1"},
+    "skewed": {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100",
+    },
+}
+
+
+@pytest.mark.parametrize("fan, join", [(2, "broadcast"), (3, "sorted"), (64, "sorted"), (4, "skewed")])
 @pytest.mark.parametrize("minutes", [0.05, 1, 30])
 def test_many_buckets_keys_and_a_hot_key(spark, monkeypatch, fan, join, minutes):
     monkeypatch.setattr(anchored, "FAN", fan)
@@ -75,13 +91,14 @@ def test_many_buckets_keys_and_a_hot_key(spark, monkeypatch, fan, join, minutes)
         for _ in keys
     ]
     df = at_seconds(spark, seconds, k=keys).repartition(5)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", join)
+    for name, value in JOINS[join].items():
+        spark.conf.set(name, value)
     try:
         by_key = anchored_windows(df, minutes=minutes, keys=("k",)).collect()
         overall = anchored_windows(df, minutes=minutes).collect()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in JOINS[join]:
+            spark.conf.unset(name)
     length = round(minutes * 60_000_000)
     for rows, groups in ((overall, [None]), (by_key, "abcd")):
         assert len(rows) == len(keys)

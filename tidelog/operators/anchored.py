@@ -284,14 +284,18 @@ def _length(minutes: float) -> int:
     return length
 
 
-def _with_cell(df: DataFrame, ts: str, length: int, keys: Sequence[str]) -> DataFrame:
-    placed = df.withColumn("_k", _key(keys)).withColumn("_us", micros(df, ts))
-    return placed.withColumn("_cell", floor_div(F.col("_us"), length))
-
-
-def window_openings(df: DataFrame, ts: str = "event_ts", minutes: float = 1, keys: Sequence[str] = ()) -> DataFrame:
+def window_openings(
+    df: DataFrame,
+    ts: str = "event_ts",
+    minutes: float = 1,
+    keys: Sequence[str] = (),
+    carried: DataFrame | None = None,
+) -> DataFrame:
     """Openings ``(k, window_idx, us)`` of every key's windows, one row per window.
 
+    ``carried`` (``k, start, idx``) gives the window a key has open already; rows
+    up to its end must have been taken out before.
+
     The two left joins keep their left side as it is partitioned (every bucket and
     super has exactly one entering state), and as they add no filter to it, both
     uses of ``placed`` and of ``tables`` share one shuffle.
@@ -322,16 +326,14 @@ def window_openings(df: DataFrame, ts: str = "event_ts", minutes: float = 1, key
         .mapInArrow(_compose, "k string, super bigint, anchor bigint, until bigint, opened bigint")
     )
     state = "k string, member bigint, in_until bigint, in_idx bigint"
+    entering = supers.select("k", F.lit(0).alias("span"), F.col("super").alias("member"), *_STEPS)
+    if carried is None:
+        entering = entering.withColumn("in_until", F.lit(_BEFORE_ALL)).withColumn("in_idx", F.lit(0).cast("bigint"))
+    else:
+        ends = carried.select("k", (F.col("start") + length).alias("in_until"), (F.col("idx") + 1).alias("in_idx"))
+        entering = entering.join(ends, "k", "left").fillna({"in_until": _BEFORE_ALL, "in_idx": 0})
     into_supers = (
-        supers.select(
-            "k",
-            F.lit(0).alias("span"),
-            F.col("super").alias("member"),
-            *_STEPS,
-            F.lit(_BEFORE_ALL).alias("in_until"),
-            F.lit(0).cast("bigint").alias("in_idx"),
-        )
-        .repartition("k")
+        entering.repartition("k")
         .sortWithinPartitions("k", "anchor")
         .mapInArrow(_walk, state)
         .select(*on, F.col("member").alias("super"), "in_until", "in_idx")
@@ -351,18 +353,8 @@ def window_openings(df: DataFrame, ts: str = "event_ts", minutes: float = 1, key
     )
 
 
-def anchored_windows(
-    df: DataFrame, ts: str = "event_ts", minutes: float = 1, keys: Sequence[str] = ()
-) -> DataFrame:
-    """Add ``window_idx`` (from 0 per key), ``window_start`` and ``window_end``.
-
-    ``keys`` gives each key its own chain; without keys there is one chain over
-    all rows. Rows without a time get no window. The openings are computed and
-    written first: there is at most one per window length of time and key, and
-    their true size then decides how the rows' join runs.
-    """
-    length = _length(minutes)
-    opened = written_table(window_openings(df, ts, minutes, keys), "openings")
+def _labelled(df: DataFrame, opened: DataFrame, ts: str, length: int, keys: Sequence[str]) -> DataFrame:
+    """Rows with number and start (``_idx``, ``_start``) of the window they are in."""
     reach = F.struct(F.col("us"), F.col("window_idx").alias("idx"))
     none = F.lit(None).cast("struct<us:bigint,idx:bigint>")
     cell = floor_div(F.col("us"), length)
@@ -379,13 +371,66 @@ def anchored_windows(
         .groupBy("_k", "_cell")
         .agg(F.max("_own").alias("_own"), F.max("_prior").alias("_prior"))
     )
-    joined = _with_cell(df, ts, length, keys).join(cells, ["_k", "_cell"], "left")
+    placed = df.withColumn("_k", _key(keys)).withColumn("_us", micros(df, ts))
+    joined = placed.withColumn("_cell", floor_div(F.col("_us"), length)).join(cells, ["_k", "_cell"], "left")
     mine = F.when(F.col("_us") >= F.col("_own.us"), F.col("_own")).otherwise(F.col("_prior"))
-    labelled = joined.withColumn("_w", mine).withColumn("_start", F.col("_w.us"))
-    labelled = labelled.withColumn("_end", F.col("_start") + F.lit(length))
-    return labelled.select(
+    found = joined.withColumn("_w", mine)
+    return found.select(*df.columns, F.col("_w.idx").alias("_idx"), F.col("_w.us").alias("_start"))
+
+
+def _shown(df: DataFrame, labelled: DataFrame, ts: str, length: int, *more: str) -> DataFrame:
+    ended = labelled.withColumn("_end", F.col("_start") + F.lit(length))
+    return ended.select(
         *df.columns,
-        F.col("_w.idx").alias("window_idx"),
+        F.col("_idx").alias("window_idx"),
         from_micros(df, ts, "_start").alias("window_start"),
         from_micros(df, ts, "_end").alias("window_end"),
+        *more,
+    )
+
+
+def anchored_windows(
+    df: DataFrame, ts: str = "event_ts", minutes: float = 1, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``window_idx`` (from 0 per key), ``window_start`` and ``window_end``.
+
+    ``keys`` gives each key its own chain; without keys there is one chain over
+    all rows. Rows without a time get no window. The openings are computed and
+    written first: there is at most one per window length of time and key, and
+    their true size then decides how the rows' join runs.
+    """
+    length = _length(minutes)
+    opened = written_table(window_openings(df, ts, minutes, keys), "openings")
+    return _shown(df, _labelled(df, opened, ts, length, keys), ts, length)
+
+
+CARRIED = "k string, start bigint, idx bigint"
+
+
+def resumed_windows(
+    df: DataFrame,
+    carried: DataFrame,
+    ts: str = "event_ts",
+    minutes: float = 1,
+    keys: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`anchored_windows` going on from the windows still open.
+
+    ``carried`` has a row ``(k, start, idx)`` per key seen before. A row not after
+    the end of its key's open window joins it, however old it is; ``is_late`` marks
+    rows older than that window's start. Gives the labelled rows and the new
+    ``carried``.
+    """
+    length = _length(minutes)
+    known = carried.select(F.col("k").alias("_k"), F.col("start").alias("_start"), F.col("idx").alias("_idx"))
+    placed = df.withColumn("_k", _key(keys)).withColumn("_us", micros(df, ts)).join(known, "_k", "left")
+    in_open = F.coalesce(F.col("_us") <= F.col("_start") + length, F.lit(False))
+    rest = placed.where(~in_open).select(*df.columns)
+    opened = written_table(window_openings(rest, ts, minutes, keys, carried), "openings")
+    fresh = _labelled(rest, opened, ts, length, keys).withColumn("is_late", F.lit(False))
+    joined = placed.where(in_open).select(
+        *df.columns, "_idx", "_start", (F.col("_us") < F.col("_start")).alias("is_late")
     )
+    last = opened.select("k", F.col("us").alias("start"), F.col("window_idx").alias("idx")).unionByName(carried)
+    newest = last.groupBy("k").agg(F.max("idx").alias("idx"), F.max("start").alias("start"))
+    return _shown(df, fresh.unionByName(joined), ts, length, "is_late"), newest.select("k", "start", "idx")

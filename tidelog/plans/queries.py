@@ -23,7 +23,7 @@ from tidelog.sources.loglines import scan_logs
 from tidelog.sources.tables import delimited, log_table
 from tidelog.sources.topic import read_messages
 from tidelog.streaming.batches import Targets
-from tidelog.streaming.windows import stream_anchored_windows, stream_tumbling_count
+from tidelog.streaming.windows import AnchoredTarget, anchored_action, stream_tumbling_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -447,7 +447,11 @@ def stream_anchored(spark, sf_dir):
         F.col("ts").alias("event_ts"),
         F.col("lvl").alias("log_type"),
     )
-    return _finish(stream_anchored_windows(rows, KEYED_MINUTES), spark, "anchored")
+    target = AnchoredTarget(scratch_path(spark, "anchored"))
+    writer = rows.writeStream.foreachBatch(anchored_action(target, KEYED_MINUTES))
+    writer = writer.option("checkpointLocation", f"{target.path}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(target.rows).drop("batch_id", "window_end")
 
 
 @_query

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidelog.functions.clock import from_micros, micros
-from tidelog.operators.anchored import MINUTE
+from tidelog.operators.anchored import CARRIED, resumed_windows
 from tidelog.operators.windows import tumbling_count
+from tidelog.sinks.tables import write_batch
 
 
 def stream_tumbling_count(
@@ -31,67 +30,45 @@ def stream_tumbling_count(
     return start.select(from_micros(rows, ts, "_start").alias("window_start"), "n_logs")
 
 
-def _label(length: int):
-    def label(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, idx = state.get if state.exists else (None, -1)
-        rows = pd.concat(list(chunks)).sort_values(["us", "log_id"], kind="stable")
-        times = rows["us"].to_numpy()
-        entered = start
-        numbers = np.full(len(times), idx, dtype=np.int64)
-        starts = np.full(len(times), start if start is not None else 0, dtype=np.int64)
-        at = 0 if start is None else int(np.searchsorted(times, start + length, side="right"))
-        while at < len(times):
-            start, idx = int(times[at]), idx + 1
-            stop = int(np.searchsorted(times, start + length, side="right"))
-            numbers[at:stop], starts[at:stop] = idx, start
-            at = stop
-        state.update((start, idx))
-        late = np.zeros(len(times), dtype=bool) if entered is None else times < entered
-        yield rows.assign(window_idx=numbers, start_us=starts, is_late=late)[
-            ["key", "log_id", "us", "log_type", "window_idx", "start_us", "is_late"]
-        ]
-
-    return label
-
-
-_LABELLED = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("log_id", T.StringType()),
-        T.StructField("us", T.LongType()),
-        T.StructField("log_type", T.StringType()),
-        T.StructField("window_idx", T.LongType()),
-        T.StructField("start_us", T.LongType()),
-        T.StructField("is_late", T.BooleanType()),
-    ]
-)
-
-
-def stream_anchored_windows(
-    rows: DataFrame, minutes: float = 1, key: str = "file_name", ts: str = "event_ts"
-) -> DataFrame:
-    """Label a stream's rows with the event-anchored windows of their key.
+@dataclass(frozen=True)
+class AnchoredTarget:
+    """Folder of a streamed anchored-window table: ``rows`` and ``state`` per batch."""
+
+    path: str
+
+    @property
+    def rows(self) -> str:
+        return f"{self.path}/rows"
+
+    @property
+    def state(self) -> str:
+        return f"{self.path}/state"
 
-    State per key is the open window's start and number. Rows of a micro-batch are
-    taken in time order; a row older than the open window joins it, as any row not
-    after its end does, and is marked late. A key's rows of one micro-batch are
-    handled together, so the source's per-trigger limit bounds them.
+
+def anchored_action(
+    target: AnchoredTarget, minutes: float = 1, keys: Sequence[str] = ("file_name",), ts: str = "event_ts"
+) -> Callable[[DataFrame, int], None]:
+    """Micro-batch action that labels rows with their event-anchored windows.
+
+    The open window of every key (one row each) is written with the batch and read
+    by the next one. Inside a batch the chains are computed by the distributed
+    operator, so neither a large first batch nor a key holding most of it is ever
+    one group, as it would be in a keyed state function. A batch that is run again
+    starts from the same state and replaces its own folders.
     """
-    length = round(minutes * MINUTE)
-    placed = rows.select(F.col(key).cast("string").alias("key"), "log_id", micros(rows, ts).alias("us"), "log_type")
-    labelled = (
-        placed.where(F.col("us").isNotNull())
-        .groupBy("key")
-        .applyInPandasWithState(
-            _label(length), _LABELLED, "start bigint, idx bigint", "append", GroupStateTimeout.NoTimeout
-        )
-    )
-    return labelled.select(
-        F.col("key").alias(key),
-        "log_id",
-        from_micros(rows, ts, "us").alias(ts),
-        "log_type",
-        "window_idx",
-        from_micros(rows, ts, "start_us").alias("window_start"),
-        "is_late",
-    )
+
+    def act(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_id:
+            carried = spark.read.schema(CARRIED).parquet(f"{target.state}/batch_id={batch_id - 1}")
+        else:
+            carried = spark.createDataFrame([], CARRIED)
+        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            labelled, newest = resumed_windows(rows, carried, ts, minutes, keys)
+            write_batch(labelled, target.rows, batch_id)
+            write_batch(newest, target.state, batch_id)
+        finally:
+            rows.unpersist()
+
+    return act
