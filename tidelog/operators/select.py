@@ -52,27 +52,10 @@ def untimed(lines: DataFrame, value: str = "value", separator: str = " ") -> Dat
     return lines.where(leading_time(F.col(value), separator).isNull())
 
 
-def file_window(windows: Sequence[Window], single: bool, file_name: str = "file_name") -> tuple[Column, Column]:
-    """Start and end of the window that applies to a row's file.
-
-    ``single`` applies the first entry to all files; otherwise file
-    ``output<n>.log`` uses entry ``n``, and a file without an entry fails the job.
-    The list comes from a configuration file, so it is an array constant here and
-    needs no join.
-    """
-    bounds = [(normal_time(start), normal_time(end)) for start, end in windows]
-    if not bounds:
+def _bounds(windows: Sequence[Window]) -> list[Window]:
+    if not windows:
         raise ValueError("no time window configured")
-    if single:
-        return F.lit(bounds[0][0]), F.lit(bounds[0][1])
-    nth = file_instance(F.col(file_name))
-    missing = F.raise_error(F.concat(F.lit("no time window for file "), F.col(file_name)))
-
-    def pick(side: int) -> Column:
-        known = F.array(*[F.lit(pair[side]) for pair in bounds])
-        return F.when(nth.between(1, len(bounds)), F.try_element_at(known, nth)).otherwise(missing.cast("string"))
-
-    return pick(0), pick(1)
+    return [(normal_time(start), normal_time(end)) for start, end in windows]
 
 
 def file_time_window(
@@ -83,10 +66,27 @@ def file_time_window(
     separator: str = " ",
     ordered: bool = True,
 ) -> DataFrame:
-    """:func:`time_window` with the window configured for each line's file."""
-    start, end = file_window(windows, single)
-    timed = with_leading_time(lines, value, separator)
-    chosen = timed.where((F.col("tod") >= start) & (F.col("tod") <= end))
+    """:func:`time_window` with the window configured for each line's file.
+
+    ``single`` applies the first entry to all files; otherwise file
+    ``output<n>.log`` uses entry ``n``, and a file without an entry fails the job.
+    The list comes from a configuration file, so it is an array constant here and
+    needs no join; the file's number is found once per line (see
+    :func:`with_leading_time`).
+    """
+    bounds = _bounds(windows)
+    if single:
+        return time_window(lines, *bounds[0], value, separator, ordered)
+    once = F.inline(F.array(F.struct(file_instance(F.col("file_name")).alias("_nth"))))
+    timed = with_leading_time(lines.select("*", once), value, separator)
+    missing = F.raise_error(F.concat(F.lit("no time window for file "), F.col("file_name")))
+
+    def bound(side: int) -> Column:
+        known = F.array(*[F.lit(pair[side]) for pair in bounds])
+        found = F.try_element_at(known, F.col("_nth"))
+        return F.when(F.col("_nth").between(1, len(bounds)), found).otherwise(missing.cast("string"))
+
+    chosen = timed.where((F.col("tod") >= bound(0)) & (F.col("tod") <= bound(1))).drop("_nth")
     return _in_order(chosen) if ordered else chosen
 
 

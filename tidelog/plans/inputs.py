@@ -7,7 +7,7 @@ on stored rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.envelope import log_key
@@ -21,17 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _level(event_type: str = "event_type"):
+def _level(width: int = 0) -> Column:
+    """Level of an event, filled with blanks up to a width as in a log line."""
     out = F.lit(None)
     for kind, level in EVENT_LEVELS.items():
-        out = F.when(F.col(event_type) == kind, F.lit(level)).otherwise(out)
+        out = F.when(F.col("event_type") == kind, F.lit(level.ljust(width))).otherwise(out)
     return out.cast("string")
 
 
 def events_as_logs(events: DataFrame) -> DataFrame:
     """Events with the parts of a log line: file, position, level, clock."""
     return events.select(
-        F.format_string("output%d.log", F.col("user_id") % 12 + 1).alias("file_name"),
+        F.concat(F.lit("output"), (F.col("user_id") % 12 + 1).cast("string"), F.lit(".log")).alias("file_name"),
         F.col("event_id").alias("pos"),
         F.date_format("ts", "HH:mm:ss.SSS").alias("clock"),
         _level().alias("lvl"),
@@ -43,9 +44,9 @@ def events_as_logs(events: DataFrame) -> DataFrame:
     )
 
 
-def _line(*message):
-    head = F.format_string("%s [thread-%d] %-5s app.Logger - ", F.col("clock"), F.col("user_id"), F.col("lvl"))
-    return F.concat(head, *message)
+def _line(*message: Column) -> Column:
+    thread = F.concat(F.lit(" [thread-"), F.col("user_id").cast("string"), F.lit("] "))
+    return F.concat("clock", thread, _level(5), F.lit(" app.Logger - "), *message)
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +65,7 @@ def wordy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as log messages, one per row: ``(file_name, pos, value)``."""
     docs = table(spark, sf_dir, "documents")
-    head = F.format_string("00:00:00.000 [%s] INFO  app.Documents - ", F.col("source"))
+    head = F.concat(F.lit("00:00:00.000 ["), F.col("source"), F.lit("] INFO  app.Documents - "))
     return docs.select(
         F.concat("lang", F.lit(".log")).alias("file_name"),
         F.col("doc_id").alias("pos"),
