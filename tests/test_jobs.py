@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidelog.operators.select import time_range
 from tidelog.plans.jobs import consolidate_logs, consume, dashboard, monitor
 from tidelog.sinks.tables import store, upsert_rows, write_batch
 from tidelog.sources.tables import log_table
@@ -96,8 +97,8 @@ def test_upsert_reads_only_the_batch_dates_and_time_range(spark, tmp_path):
     from tidelog.operators.merge import new_rows
     from tidelog.sources.tables import with_event_date
 
-    base = spark.sql("SELECT string(id) AS log_id, TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, int(id)) AS event_ts FROM range(72)")
-    wide = base.selectExpr("log_id", "'f' file_name", "'' timestamp", "'' log_type", "'' log_message", "event_ts", "0L src_pos")
+    rows = times(spark, "f", [(str(i), i * 3600.0) for i in range(72)])
+    wide = rows.selectExpr("log_id", "file_name", "'' timestamp", "log_type", "'' log_message", "event_ts", "0L src_pos")
     upsert_rows(wide, str(tmp_path / "t"))
     assert log_table(spark, str(tmp_path / "t")).count() == 72
     batch = with_event_date(wide.where("log_id IN ('30', '31')"))
@@ -107,6 +108,17 @@ def test_upsert_reads_only_the_batch_dates_and_time_range(spark, tmp_path):
     assert "event_date" in plan and "2024-01-02" in plan and "GreaterThanOrEqual(event_ts" in plan
 
 
+def test_time_range_prunes_dates_and_row_groups(spark, tmp_path):
+    rows = times(spark, "f", [(str(i), i * 3600.0) for i in range(100)])
+    wide = rows.selectExpr("log_id", "file_name", "'' timestamp", "log_type", "'' log_message", "event_ts", "0L src_pos")
+    upsert_rows(wide, str(tmp_path))
+    found = time_range(log_table(spark, str(tmp_path)), "2024-01-02 03:00:00", "2024-01-03 01:00:00")
+    assert sorted(int(r.log_id) for r in found.collect()) == list(range(27, 50))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "GreaterThanOrEqual(event_ts" in plan
+
+
 def test_pipeline_restarts_without_loss_or_repeats(spark, tmp_path):
     logs = tmp_path / "logs"
     logs.mkdir()

@@ -118,6 +118,9 @@ def test_line_numbers_over_blocks_and_files(spark):
     got = line_numbers(df, block=16).orderBy("line_no").collect()
     assert [(r.file_name, r.pos) for r in got] == sorted(rows)
     assert [r.line_no for r in got] == list(range(3000))
+    restarted = line_numbers(df, block=16, per_file=True).orderBy("file_name", "pos").collect()
+    in_a = sum(r.file_name == "fa" for r in restarted)
+    assert [r.line_no for r in restarted] == [*range(in_a), *range(3000 - in_a)]
 
 
 @pytest.mark.parametrize("block", [1, 2, 3, 1000])

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidelog.operators import splits
 from tidelog.operators.alerts import batch_alerts
 from tidelog.operators.merge import latest_per_key
 from tidelog.operators.ranges import nested_ranges, range_bucket
@@ -87,8 +88,12 @@ def test_profiles(spark):
     assert pattern_rate(df).first().n_rows == 5
 
 
-@pytest.mark.parametrize("start, stop, limit", [(1, 3, 0), (2, 4, 25), (1, 10, 7), (5, 6, 10_000)])
-def test_holdout_follows_the_running_count(spark, start, stop, limit):
+@pytest.mark.parametrize("large", [False, True])
+@pytest.mark.parametrize("start, stop, limit", [(1, 3, 0), (2, 4, 25), (1, 10, 7), (5, 60, 10_000)])
+def test_holdout_follows_the_running_count(spark, monkeypatch, start, stop, limit, large):
+    if large:
+        monkeypatch.setattr(splits, "GROUP_ROWS", 0)
+        monkeypatch.setattr(splits, "TOP_ROWS", 0)
     rng = random.Random(7)
     users = [rng.choice([1, 1, 1, 2, 3, 4, 5, 6]) for _ in range(300)]
     seen, taken, want = {}, 0, []

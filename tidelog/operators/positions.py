@@ -19,9 +19,15 @@ def _blocked(df: DataFrame, pos: str, block: int) -> DataFrame:
 
 
 def line_numbers(
-    df: DataFrame, file_name: str = "file_name", pos: str = "pos", name: str = "line_no", block: int = BLOCK
+    df: DataFrame,
+    file_name: str = "file_name",
+    pos: str = "pos",
+    name: str = "line_no",
+    block: int = BLOCK,
+    per_file: bool = False,
 ) -> DataFrame:
-    """Add the 0-based number of each row in ``(file, pos)`` order over all files.
+    """Add the 0-based number of each row in ``(file, pos)`` order over all files,
+    or starting anew in each file.
 
     Blocks of positions are counted first. A running sum over the counts, within
     stretches of blocks and then over the stretches, gives every block its first
@@ -37,7 +43,7 @@ def line_numbers(
     def running(size: str, window: WindowSpec) -> Column:
         return F.coalesce(F.sum(size).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    along = Window.orderBy(file_name, "_stretch")
+    along = Window.partitionBy(file_name).orderBy("_stretch") if per_file else Window.orderBy(file_name, "_stretch")
     bases = totals.select(file_name, "_stretch", running("_total", along).alias("_base"))
     within = Window.partitionBy(file_name, "_stretch").orderBy("_block")
     firsts = sizes.withColumn("_part", running("_size", within)).join(bases, [file_name, "_stretch"])

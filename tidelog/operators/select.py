@@ -47,6 +47,19 @@ def time_window(
     return _in_order(chosen) if ordered else chosen
 
 
+def time_range(rows: DataFrame, start: str, end: str, ts: str = "event_ts") -> DataFrame:
+    """Stored rows with an event time in ``[start, end]``.
+
+    On the stored table the bounds reach its date partitions and, as plain
+    comparisons, the row-group statistics of its time-ordered files.
+    """
+    lo, hi = [F.lit(bound).cast(rows.schema[ts].dataType) for bound in (start, end)]
+    found = rows.where(F.col(ts).between(lo, hi))
+    if "event_date" not in rows.columns:
+        return found
+    return found.where(F.col("event_date").between(*[b.cast("date").cast("string") for b in (lo, hi)]))
+
+
 def untimed(lines: DataFrame, value: str = "value", separator: str = " ") -> DataFrame:
     """Lines that carry no valid leading time (for quarantine)."""
     return lines.where(leading_time(F.col(value), separator).isNull())

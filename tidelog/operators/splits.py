@@ -5,6 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.operators.positions import line_numbers
+
+
+# Up to so many rows per user, tasks drop later rows before the shuffle (Spark's
+# own limit for that); up to so many rows in all, a top-n is merged.
+GROUP_ROWS = 1000
+TOP_ROWS = 1_000_000
+
+
+def _numbered(df: DataFrame, user: str, pos: str, stop: int) -> DataFrame:
+    """First ``stop`` rows of each user with their number from 1 (``_n``)."""
+    if stop <= GROUP_ROWS:
+        order = Window.partitionBy(user).orderBy(pos)
+        numbered = df.withColumn("_n", F.row_number().over(order))
+    else:
+        numbered = line_numbers(df, user, pos, "_n", per_file=True).withColumn("_n", F.col("_n") + 1)
+    return numbered.where(F.col("_n") <= stop)
+
+
+def _first(df: DataFrame, pos: str, n: int) -> DataFrame:
+    """The ``n`` rows of smallest position."""
+    if n <= TOP_ROWS:
+        return df.orderBy(pos).limit(n)
+    numbered = line_numbers(df.withColumn("_all", F.lit(0)), "_all", pos, "_m")
+    return numbered.where(F.col("_m") < n).drop("_all", "_m")
+
 
 def holdout_split(
     df: DataFrame, user: str, pos: str, start: int, stop: int, max_test: int = 0
@@ -12,15 +38,14 @@ def holdout_split(
     """Add ``is_test``: rows number ``start`` to ``stop`` of each user in ``pos``
     order, and of those only the first ``max_test`` overall (0 = no limit).
 
-    Only the first ``stop`` rows of a user are ever ranked, and every task drops
-    the rest before the shuffle, so a user with very many rows costs no more than
-    any other. What is joined back is one pair of positions per user.
+    A user with very many rows costs no more than any other: for the usual small
+    ``stop``, tasks keep only a user's first rows before the shuffle, and beyond it
+    rows are numbered in blocks of positions. What is joined back is one pair of
+    positions per user.
     """
-    order = Window.partitionBy(user).orderBy(pos)
-    ranked = df.select(user, pos).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= stop)
-    picked = ranked.where(F.col("_n") >= start)
+    picked = _numbered(df.select(user, pos), user, pos, stop).where(F.col("_n") >= start)
     if max_test > 0:
-        picked = picked.orderBy(pos).limit(max_test)
+        picked = _first(picked, pos, max_test)
     spans = picked.groupBy(user).agg(F.min(pos).alias("_from"), F.max(pos).alias("_to"))
     marked = df.join(spans, user, "left")
     hit = F.col(pos).between(F.col("_from"), F.col("_to"))

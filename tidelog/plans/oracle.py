@@ -288,6 +288,10 @@ WHERE contains(lower(log_message), '"k": 7') AND log_type IN ('ERROR', 'INFO', '
         ),
         "search_documents": "SELECT doc_id, lang FROM documents WHERE contains(lower(text), 'than')",
         "time_window": _over_logs(f"SELECT file_name, pos, value, clock AS tod FROM plain WHERE {_IN_DAY}"),
+        "stored_time_range": _over_logs(
+            f"SELECT {stored} FROM stored WHERE event_ts BETWEEN TIMESTAMP '{queries.STORED_RANGE[0]}' "
+            f"AND TIMESTAMP '{queries.STORED_RANGE[1]}'"
+        ),
         "file_time_window": _over_logs(
             "SELECT file_name, pos, value, clock AS tod FROM plain JOIN file_windows USING (file_name) "
             "WHERE clock BETWEEN lo AND hi",

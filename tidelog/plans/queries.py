@@ -36,6 +36,7 @@ SCORE_RANGES = (("low", 0.0, 5.0), ("mid", 5.0, 10.0), ("high", 10.0, 20.0), ("t
 # One window per producer file.
 FILE_WINDOWS = tuple((f"{h:02d}:30:00", f"{h + 8:02d}:29:59.999") for h in range(12))
 DAY_WINDOW = ("08:00", "17:59:59.999")
+STORED_RANGE = ("2024-01-05 06:00:00", "2024-01-17 18:30:00")
 NUMBER_PATTERN = "[1-3][0-9]"
 
 
@@ -237,6 +238,14 @@ def time_window(spark, sf_dir):
     return select.time_window(inputs.log_lines(spark, sf_dir), *DAY_WINDOW)
 
 
+@_query
+def stored_time_range(spark, sf_dir):
+    """A closed range of event times over the written table."""
+    path = scratch_path(spark, "log-data")
+    upsert_rows(inputs.stored_rows(spark, sf_dir), path)
+    return select.time_range(log_table(spark, path), *STORED_RANGE).drop("event_date")
+
+
 @_query
 def file_time_window(spark, sf_dir):
     return select.file_time_window(inputs.log_lines(spark, sf_dir), FILE_WINDOWS)
