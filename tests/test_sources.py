@@ -26,6 +26,15 @@ def test_scan_gives_the_same_rows_for_any_split(spark, tmp_path, split, chunk):
     assert got == want
 
 
+def test_number_of_ranges_is_bounded(spark, tmp_path):
+    for i in (1, 2):
+        (tmp_path / f"output{i}.log").write_text("".join(f"line {n}\n" for n in range(500)))
+    whole = rows_of(scan_logs(spark, str(tmp_path)))
+    few = scan_logs(spark, str(tmp_path), splitBytes=1, maxRanges=6)
+    assert few.rdd.getNumPartitions() <= 8
+    assert rows_of(few) == whole and len(whole) == 1000
+
+
 def test_scan_of_a_missing_folder_is_empty(spark, tmp_path):
     assert scan_logs(spark, str(tmp_path / "none")).count() == 0
 

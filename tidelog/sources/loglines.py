@@ -48,6 +48,7 @@ class _Settings:
     split_bytes: int
     chunk_bytes: int
     trigger_bytes: int
+    max_ranges: int
 
     @classmethod
     def of(cls, options: dict[str, str]) -> _Settings:
@@ -60,6 +61,7 @@ class _Settings:
             split_bytes=size("splitBytes", 64 << 20),
             chunk_bytes=size("chunkBytes", 4 << 20),
             trigger_bytes=size("maxBytesPerTrigger", 0),
+            max_ranges=size("maxRanges", 100_000),
         )
 
 
@@ -72,11 +74,18 @@ def _listing(path: str, names: str) -> list[pafs.FileInfo]:
     return sorted(found, key=lambda i: i.base_name)
 
 
-def _ranges(path: str, name: str, start: int, stop: int, step: int, to_end: bool) -> Iterator[ByteRange]:
-    full = f"{path.rstrip('/')}/{name}"
-    for at in range(start, stop, step):
-        upto = min(at + step, stop)
-        yield ByteRange(full, name, at, upto, to_end and upto == stop)
+def _plan(settings: _Settings, parts: list[tuple[str, int, int]], to_end: bool) -> list[ByteRange]:
+    """Byte ranges of ``(name, start, stop)`` parts. Ranges grow with the whole, so
+    that their number, which the driver holds, stays bounded; a task streams its
+    range in chunks whatever its size."""
+    whole = sum(stop - start for _, start, stop in parts)
+    step = max(settings.split_bytes, -(-whole // settings.max_ranges))
+    folder = settings.path.rstrip("/")
+    return [
+        ByteRange(f"{folder}/{name}", name, at, min(at + step, stop), to_end and at + step >= stop)
+        for name, start, stop in parts
+        for at in range(start, stop, step)
+    ]
 
 
 def _line_start(source: pa.NativeFile, at: int) -> int:
@@ -132,12 +141,8 @@ class _LinesReader(DataSourceReader):
         self.settings = settings
 
     def partitions(self) -> list[ByteRange]:
-        s = self.settings
-        return [
-            part
-            for info in _listing(s.path, s.names)
-            for part in _ranges(s.path, info.base_name, 0, info.size, s.split_bytes, to_end=True)
-        ]
+        infos = _listing(self.settings.path, self.settings.names)
+        return _plan(self.settings, [(info.base_name, 0, info.size) for info in infos], to_end=True)
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         if partition is None:  # what Spark passes when there is nothing to read
@@ -198,13 +203,9 @@ class _LinesStream(DataSourceStreamReader):
         return now
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
-        s = self.settings
         self.known = end
-        return [
-            part
-            for name, entry in sorted(end.items())
-            for part in _ranges(s.path, name, self._from(start, name, entry), entry["end"], s.split_bytes, False)
-        ]
+        parts = [(name, self._from(start, name, entry), entry["end"]) for name, entry in sorted(end.items())]
+        return _plan(self.settings, parts, to_end=False)
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         return _read(partition, self.settings.chunk_bytes)
@@ -212,7 +213,7 @@ class _LinesStream(DataSourceStreamReader):
 
 class LogLines(DataSource):
     """``format("loglines")``; options ``path``, ``fileNameRegex``, ``splitBytes``,
-    ``chunkBytes`` and, for streams, ``maxBytesPerTrigger``."""
+    ``chunkBytes``, ``maxRanges`` and, for streams, ``maxBytesPerTrigger``."""
 
     @classmethod
     def name(cls) -> str:
