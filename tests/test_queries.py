@@ -10,6 +10,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import __spark_entry__ as entry_points  # noqa: E402
 from compare import connect, duck_rows, spark_rows  # noqa: E402
 
+from tidelog.plans import oracle, queries  # noqa: E402
+
 SF_DIR = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -21,13 +23,13 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(queries.registered()) == set(oracle.oracle())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(queries.registered()))
 def test_query(spark, duck, name):
-    columns, rows = spark_rows(entry_points.queries()[name](spark, SF_DIR))
-    want_columns, want = duck_rows(duck, entry_points.oracle_sql()[name])
+    columns, rows = spark_rows(queries.registered()[name](spark, SF_DIR))
+    want_columns, want = duck_rows(duck, oracle.oracle()[name])
     assert columns == want_columns
     assert rows == want
 
