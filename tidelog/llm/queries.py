@@ -7,20 +7,35 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelog.llm import secrets
+from tidelog.llm.bpe import token_digests
 from tidelog.llm.fertility import fertility_rules
 from tidelog.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.secret_spans(docs, secrets.fit(docs))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return fertility_rules(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_digests(docs, ranks, public_tokenizers.PATTERN)
+
+
 def registered() -> dict[str, Query]:
     found = [
+        op1_secret_scans,
         op4_quality_rules,
+        op7_byte_level_bpe,
     ]
     return {query.__name__: query for query in found}
 
