@@ -11,6 +11,8 @@ from tidelog.llm import secrets
 from tidelog.llm.bpe import token_digests
 from tidelog.llm.fertility import fertility_rules
 from tidelog.llm.frames import table
+from tidelog.llm.packing import packed
+from tidelog.llm.sharding import sharded
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,11 +33,22 @@ def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(docs, ranks, public_tokenizers.PATTERN)
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(table(spark, sf_dir, "documents"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def registered() -> dict[str, Query]:
     found = [
         op1_secret_scans,
         op4_quality_rules,
         op7_byte_level_bpe,
+        op9_sharding,
+        op10_best_fit_packing,
     ]
     return {query.__name__: query for query in found}
 
