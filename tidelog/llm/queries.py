@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import secrets
+from tidelog.llm import neardup, secrets, weaklabels
 from tidelog.llm.bpe import token_digests
 from tidelog.llm.fertility import fertility_rules
 from tidelog.llm.frames import table
@@ -22,11 +22,20 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(docs, secrets.fit(docs))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return fertility_rules(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return weaklabels.quality_scores(docs, weaklabels.fit(docs))
+
+
 def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -45,7 +54,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     found = [
         op1_secret_scans,
+        op2_minhash_near_dedup,
         op4_quality_rules,
+        op6_quality_classifier,
         op7_byte_level_bpe,
         op9_sharding,
         op10_best_fit_packing,
