@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import neardup, secrets, weaklabels
+from tidelog.llm import licenses, neardup, secrets, weaklabels
 from tidelog.llm.bpe import token_digests
 from tidelog.llm.fertility import fertility_rules
 from tidelog.llm.frames import table
@@ -31,6 +31,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility_rules(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return weaklabels.quality_scores(docs, weaklabels.fit(docs))
@@ -56,6 +60,7 @@ def registered() -> dict[str, Query]:
         op1_secret_scans,
         op2_minhash_near_dedup,
         op4_quality_rules,
+        op5_license_scans,
         op6_quality_classifier,
         op7_byte_level_bpe,
         op9_sharding,
@@ -65,4 +70,4 @@ def registered() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    return {}
+    return {"op5_license_scans": licenses.oracle()}
