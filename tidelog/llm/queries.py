@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import licenses, neardup, secrets, weaklabels
+from tidelog.llm import chat, kdsearch, licenses, neardup, secrets, weaklabels
 from tidelog.llm.bpe import token_digests
 from tidelog.llm.fertility import fertility_rules
 from tidelog.llm.frames import table
@@ -26,6 +26,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return fertility_rules(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -46,6 +50,10 @@ def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(docs, ranks, public_tokenizers.PATTERN)
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdsearch.top_inner_products(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"))
 
@@ -59,10 +67,12 @@ def registered() -> dict[str, Query]:
     found = [
         op1_secret_scans,
         op2_minhash_near_dedup,
+        op3_chat_formatting,
         op4_quality_rules,
         op5_license_scans,
         op6_quality_classifier,
         op7_byte_level_bpe,
+        op8_exact_top_k,
         op9_sharding,
         op10_best_fit_packing,
     ]
@@ -70,4 +80,7 @@ def registered() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    return {"op5_license_scans": licenses.oracle()}
+    return {
+        "op5_license_scans": licenses.oracle(),
+        "op8_exact_top_k": kdsearch.oracle(every=100, k=10),
+    }
