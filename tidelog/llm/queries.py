@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,11 +77,13 @@ def registered() -> dict[str, Query]:
         op9_sharding,
         op10_best_fit_packing,
     ]
-    return {query.__name__: query for query in found}
+    return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle() -> dict[str, str]:
-    return {
+    found = {
         "op5_license_scans": licenses.oracle(),
         "op8_exact_top_k": kdsearch.oracle(every=100, k=10),
+        "pipeline": corpus_pipeline.ORACLE_SQL,
     }
+    return {name: sql for name, sql in found.items() if sql}
