@@ -17,7 +17,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm import texts as T
@@ -161,34 +161,40 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _rare_pairs(some: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of one of ``some`` and one of ``members`` that may be similar enough.
+    """Pairs of one of ``some`` (id) and one of ``members`` (id, own) that may be similar enough.
 
-    Two sets at similarity s share one of the rarest (1 - s) n + 1 items of each; what many
-    members have in common is not among these unless it is most of a member.
+    Pairs within one component (``own``) are left out, and by a bound that holds for every
+    pair at similarity s. With the items of each set in order, rarest first, a pair's first
+    common item comes so early that what follows it in either set can make s; what many
+    members share comes late unless it is most of a member. Items of one member are no
+    one's common item.
     """
     top, bottom = LEAST
-    rows = sets.join(members, "id").select("id", F.size("items").alias("n"), F.explode("items").alias("item"))
+    rows = sets.join(members, "id").select("id", "own", F.size("items").alias("n"), F.explode("items").alias("item"))
     rows = written_table(rows.distinct(), "members")
     often = written_table(rows.groupBy("item").agg(F.count("*").alias("often")), "often")
-    from pyspark.sql import Window
-
     place = F.row_number().over(Window.partitionBy("id").orderBy("often", "item"))
-    rare = rows.join(often, "item").withColumn("place", place)
-    rare = written_table(
-        rare.where(bottom * (F.col("place") - 1) <= (bottom - top) * F.col("n")).select("id", "n", "item"), "rare"
+    rest = F.col("n") - place + 1
+    rare = rows.join(often, "item").withColumn("rest", rest)
+    rare = rare.where("often > 1").where(bottom * F.col("rest") >= top * F.col("n"))
+    rare = written_table(rare.select("id", "own", "n", "rest", "item"), "rare")
+    left = rare.join(some, "id").alias("a")
+    right = rare.alias("b")
+    near = (
+        (F.col("a.own") != F.col("b.own"))
+        & ((top + bottom) * F.least("a.rest", "b.rest") >= top * (F.col("a.n") + F.col("b.n")))
     )
-    mine = rare.join(some, "id").select(F.col("id").alias("a"), F.col("n").alias("n_a"), "item")
-    theirs = rare.select(F.col("id").alias("b"), F.col("n").alias("n_b"), "item")
-    near = (bottom * F.least("n_a", "n_b") >= top * F.greatest("n_a", "n_b")) & (F.col("a") != F.col("b"))
-    return mine.join(theirs, "item").where(near).select("a", "b").distinct()
+    found = left.join(right, (F.col("a.item") == F.col("b.item")) & near)
+    return found.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, class_id), one row per row of ``docs``: the least id among its near-duplicates.
 
-    Texts with equal words are one node. Every node is compared with the least node of each
-    of its band buckets, exactly; nodes that this leaves outside of their bucket's component
-    are then compared with all members that share a rare item. Links join to components.
+    Texts with equal words are one node. Every node is compared, exactly, with the node of
+    each of its band buckets that meets most others; nodes that this leaves outside of their
+    bucket's component are then compared with all members that can be similar enough. Links
+    join to components.
 
     Texts without words (null, empty) are alone; rows without id have no class and take part
     in none. Ids name documents: rows that repeat an id are one document. Texts are taken
@@ -203,9 +209,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
         known.groupBy("key").agg(F.min("id").alias("node"), F.first("bands").alias("bands")), "nodes"
     )
     buckets = nodes.select("node", F.explode("bands").alias("bucket")).distinct()
-    centers = buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("size"))
-    centers = written_table(centers.where("size > 1"), "centers")
-    met = buckets.join(centers, "bucket")
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    met = written_table(buckets.join(written_table(sizes, "sizes"), "bucket"), "met")
+    # what a group was copied from meets more of it than a copy does
+    reach = written_table(met.groupBy("node").agg(F.sum("size").alias("reach")), "reach")
+    first = F.max(F.struct("reach", (-F.col("node")).alias("least")))
+    centers = met.join(reach, "node").groupBy("bucket").agg((-first["least"]).alias("center"))
+    met = written_table(met.join(written_table(centers, "centers"), "bucket"), "met")
     stars = met.where("node != center").select(F.col("node").alias("a"), F.col("center").alias("b"))
     stars = written_table(stars.distinct(), "stars")
     wanted = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))).distinct()
@@ -224,7 +234,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     apart = placed.where("own != main")
     if apart.limit(1).count():
         open_ = written_table(apart.select("bucket").distinct(), "open")
-        members = placed.join(open_, "bucket").select(F.col("node").alias("id")).distinct()
+        members = placed.join(open_, "bucket").select(F.col("node").alias("id"), "own").distinct()
         some = apart.select(F.col("node").alias("id")).distinct()
         more = _rare_pairs(written_table(some, "apart"), written_table(members, "open-members"), sets)
         roots = components(links.unionByName(_alike(written_table(more, "rare-pairs"), sets)))
