@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.select import time_range
 from tidelog.plans.jobs import consolidate_logs, consume, dashboard, monitor
-from tidelog.sinks.tables import store, upsert_rows, write_batch
+from tidelog.sinks.tables import compact_date, store, upsert_rows, write_batch
 from tidelog.sources.tables import log_table
 from tidelog.sources.topic import read_messages
 from tidelog.streaming.batches import Targets, batch_action
@@ -47,6 +47,48 @@ def test_rows_without_event_time_are_stored_once(spark, tmp_path):
     assert log_table(spark, str(tmp_path / "stored")).count() == 2
 
 
+def test_equal_messages_without_position_are_all_stored(spark, tmp_path):
+    same = json.dumps({"timestamp": "10:00:00.000", "level": "INFO", "message": "m", "filename": "f"})
+    odd = json.dumps({"timestamp": "10:00:00.000", "level": "INFO", "message": "m", "filename": "f", "pos": "x"})
+    act = batch_action(targets(tmp_path))
+    for batch_id in (0, 0, 1):
+        act(messages(spark, [same] * 3 + [odd] * 2), batch_id)
+    rows = log_table(spark, str(tmp_path / "stored"))
+    assert rows.count() == 10 == rows.select("log_id").distinct().count()
+
+
+def test_replay_under_another_day_never_repeats_a_key(spark, tmp_path):
+    texts = [json.dumps({"timestamp": f"10:00:0{i}.000", "level": "INFO", "message": "m", "filename": "f"}) for i in range(2)]
+    for day in ("2024-01-01", "2024-01-02", "2024-01-01"):
+        goal = Targets(str(tmp_path / "stored"), str(tmp_path / "alerts"), str(tmp_path / "rejects"), day=day)
+        batch_action(goal)(messages(spark, texts), 0)
+    rows = log_table(spark, str(tmp_path / "stored"))
+    assert rows.count() == 4 == rows.select("log_id").distinct().count()
+
+
+def test_only_the_asked_dates_are_listed(spark, tmp_path):
+    rows = times(spark, "f", [(str(i), i * 86400.0) for i in range(30)])
+    wide = rows.selectExpr("log_id", "file_name", "'' timestamp", "log_type", "'' log_message", "event_ts", "0L src_pos")
+    upsert_rows(wide, str(tmp_path / "t"))
+    assert len(log_table(spark, str(tmp_path / "t")).inputFiles()) == 30
+    assert len(log_table(spark, str(tmp_path / "t"), ["2024-01-03"]).inputFiles()) == 1
+    assert log_table(spark, str(tmp_path / "t"), ["2031-01-01"]).count() == 0
+    assert log_table(spark, str(tmp_path / "t"), []).count() == 0
+
+
+def test_compacting_keeps_the_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(4):
+        rows = times(spark, "f", [(f"{i}-{k}", float(k)) for k in range(5)])
+        upsert_rows(
+            rows.selectExpr("log_id", "file_name", "'' timestamp", "log_type", "'' log_message", "event_ts", "0L src_pos"), path
+        )
+    before = sorted(map(tuple, log_table(spark, path).collect()))
+    compact_date(spark, path, "2024-01-01")
+    after = log_table(spark, path)
+    assert sorted(map(tuple, after.collect())) == before and len(after.inputFiles()) == 1
+
+
 def test_batch_of_rejects_only(spark, tmp_path):
     act = batch_action(targets(tmp_path))
     act(messages(spark, ["nonsense", "{}"]), 0)
@@ -94,7 +136,7 @@ def test_write_batch_replaces_its_own_folder(spark, tmp_path):
 
 
 def test_upsert_reads_only_the_batch_dates_and_time_range(spark, tmp_path):
-    from tidelog.operators.merge import new_rows
+    from tidelog.operators.merge import new_rows, reach
     from tidelog.sources.tables import with_event_date
 
     rows = times(spark, "f", [(str(i), i * 3600.0) for i in range(72)])
@@ -102,7 +144,10 @@ def test_upsert_reads_only_the_batch_dates_and_time_range(spark, tmp_path):
     upsert_rows(wide, str(tmp_path / "t"))
     assert log_table(spark, str(tmp_path / "t")).count() == 72
     batch = with_event_date(wide.where("log_id IN ('30', '31')"))
-    fresh = new_rows(batch, log_table(spark, str(tmp_path / "t")))
+    span = reach(batch)
+    near = log_table(spark, str(tmp_path / "t"), span["parts"])
+    assert all("event_date=2024-01-02" in path for path in near.inputFiles()) and near.inputFiles()
+    fresh = new_rows(batch, near, span)
     assert fresh.count() == 0
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan and "2024-01-02" in plan and "GreaterThanOrEqual(event_ts" in plan

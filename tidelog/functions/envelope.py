@@ -97,9 +97,10 @@ def to_log_data(records: DataFrame, day: str | None = None, keep: Sequence[str]
 
     The event time joins the record's own ``log_date`` (else ``day``) with its time
     of day; an unknown date or malformed time gives NULL. The origin in the key is
-    the line's position, or the message's place in the topic if it carries none;
-    the date in the key is the record's own, so a replay under another ``day``
-    keeps its keys.
+    the line's position, else the message's place in its topic, else its landed file
+    and which of that file's equal records it is (``msg_copy``). The date in the key is
+    the one that places the row, so a key is only ever looked up under its own date,
+    and the same message dated otherwise is another row.
     """
 
     def own(name: str, kind: str) -> Column:
@@ -109,6 +110,10 @@ def to_log_data(records: DataFrame, day: str | None = None, keep: Sequence[str]
         own("msg_offset", "bigint").isNotNull(),
         F.concat_ws(":", own("msg_partition", "string"), own("msg_offset", "string")),
     )
+    copy = F.when(
+        own("msg_copy", "bigint").isNotNull(),
+        F.concat_ws("#", own("msg_file", "string"), own("msg_copy", "string")),
+    )
     date = F.coalesce(own("log_date", "string"), F.lit(day).cast("string"))
     rows = records.select(
         *keep,
@@ -118,8 +123,8 @@ def to_log_data(records: DataFrame, day: str | None = None, keep: Sequence[str]
         F.col("message").alias("log_message"),
         event_time(date, time_of_day(F.col("timestamp"))).alias("event_ts"),
         own("pos", "bigint").alias("src_pos"),
-        F.coalesce(own("pos", "string"), place).alias("_origin"),
-        own("log_date", "string").alias("_date"),
+        F.coalesce(own("pos", "string"), place, copy).alias("_origin"),
+        date.alias("_date"),
     )
     return rows.select(
         *keep,

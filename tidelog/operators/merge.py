@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 
@@ -20,24 +20,24 @@ def latest_per_key(rows: DataFrame, key: str = "log_id", version: Sequence[str]
     return picked.select(*[F.col(key) if c == key else F.col(f"_row.{c}") for c in rows.columns])
 
 
+def reach(batch: DataFrame, part: str = "event_date", ts: str = "event_ts") -> Row:
+    """The dates (``parts``, one entry per calendar day) and the time range of a batch."""
+    return batch.agg(F.collect_set(part).alias("parts"), F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+
+
 def new_rows(
-    batch: DataFrame, stored: DataFrame, key: str = "log_id", part: str = "event_date", ts: str = "event_ts"
+    batch: DataFrame, stored: DataFrame, span: Row, key: str = "log_id", part: str = "event_date", ts: str = "event_ts"
 ) -> DataFrame:
     """Distinct rows of ``batch`` whose key is not stored.
 
-    A stored copy has the same date and event time as the row itself. So of the
-    stored table only the batch's dates are listed, and within those only row
-    groups that meet the batch's time range are read, and only their keys. The
-    dates and the range come from one small aggregate (a row with one entry per
-    calendar day).
+    A key holds the row's date and time, so a stored copy has the same ones: within
+    ``span``, the batch's ``reach``, only row groups that meet its time range are
+    read, and only their keys.
     """
-    fresh = batch.dropDuplicates([key])
-    reach = batch.agg(F.collect_set(part).alias("parts"), F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    near = stored.where(F.col(part).isin(reach["parts"]))
-    if reach["lo"] is None:
+    near = stored.where(F.col(part).isin(span["parts"]))
+    if span["lo"] is None:
         near = near.where(F.col(ts).isNull())
     else:
-        lo, hi = (F.lit(str(reach[side])).cast(batch.schema[ts].dataType) for side in ("lo", "hi"))
+        lo, hi = (F.lit(str(span[side])).cast(batch.schema[ts].dataType) for side in ("lo", "hi"))
         near = near.where(F.col(ts).isNull() | F.col(ts).between(lo, hi))
-    known = near.select(key).join(fresh.select(key), key, "left_semi")
-    return fresh.join(known, key, "left_anti")
+    return batch.dropDuplicates([key]).join(near.select(key), key, "left_anti")

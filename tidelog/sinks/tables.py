@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.operators.merge import new_rows
-from tidelog.operators.positions import consolidate
+from tidelog.operators.merge import new_rows, reach
+from tidelog.session import written_table
 from tidelog.sources.tables import log_table, with_event_date
 
 
@@ -18,11 +19,28 @@ def _balanced(rows: DataFrame) -> DataFrame:
 
 
 def upsert_rows(rows: DataFrame, path: str) -> None:
-    """Insert rows by key. The key is made from a row's content and place, so a key
-    already stored holds the same row and is skipped."""
-    dated = with_event_date(rows)
-    fresh = new_rows(dated, log_table(rows.sparkSession, path))
-    _balanced(fresh).write.mode("append").partitionBy("event_date").parquet(path)
+    """Insert rows by key. The key is made from a row's content, place and date, so a
+    key already stored holds the same row and is skipped. The rows are evaluated once
+    and kept while they are compared; of the table only their dates are listed."""
+    dated = with_event_date(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        span = reach(dated)
+        stored = log_table(rows.sparkSession, path, span["parts"])
+        _balanced(new_rows(dated, stored, span)).write.mode("append").partitionBy("event_date").parquet(path)
+    finally:
+        dated.unpersist()
+
+
+def compact_date(spark: SparkSession, path: str, date: str) -> None:
+    """Rewrite the rows of one date in few files, in time order.
+
+    Small batches add a file each; this is for a date that no batch writes to any
+    more. The rows are first written beside the table, so a failure loses nothing.
+    """
+    columns = [name for name in log_table(spark, path).columns if name != "event_date"]
+    rows = written_table(log_table(spark, path, [date]).select(*columns), "compacting")
+    ordered = rows.hint("rebalance").sortWithinPartitions("event_ts")
+    ordered.write.mode("overwrite").parquet(f"{path}/event_date={date}")
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -31,9 +49,13 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def write_consolidated(lines: DataFrame, path: str) -> None:
-    """Replace ``path`` by all lines in file and line order. The result stays many
-    part files, whose names follow that order."""
-    consolidate(lines).select("value").write.mode("overwrite").text(path)
+    """Replace ``path`` by all lines in file and line order.
+
+    ``lines`` come from ``scan_logs``, whose partitions are byte ranges in that order
+    already, so they are written as they are. The result stays many part files, whose
+    names follow the order.
+    """
+    lines.select("value").write.mode("overwrite").text(path)
 
 
 _STORES: dict[str, Callable[[DataFrame, str], None]] = {"table": upsert_rows}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +15,17 @@ UNDATED = "undated"
 STORED = T.StructType([*LOG_DATA.fields, T.StructField("event_date", T.StringType())])
 
 
-def log_table(spark: SparkSession, path: str) -> DataFrame:
+def log_table(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> DataFrame:
     """The stored log table, partitioned by ``event_date`` (text, ``undated`` for
-    rows without an event time). A missing table reads as an empty one."""
+    rows without an event time). A missing table reads as an empty one. With
+    ``dates`` only the folders of these are listed, however many the table has."""
+    reader = spark.read.schema(STORED)
     try:
-        return spark.read.schema(STORED).parquet(path)
+        if dates is None:
+            return reader.parquet(path)
+        if dates:
+            return reader.option("basePath", path).parquet(f"{path}/event_date={{{','.join(sorted(dates))}}}")
+        return spark.createDataFrame([], STORED)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

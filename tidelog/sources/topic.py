@@ -24,7 +24,8 @@ def topic_options(
 
 
 def read_messages(spark: SparkSession, kind: str, **options: str) -> DataFrame:
-    """Stream with a text column ``value``; ``kind`` is ``topic`` or ``folder``."""
+    """Stream with a text column ``value`` and the message's place: partition and
+    offset of a ``topic``, or the landed file of a ``folder``."""
     if kind == "topic":
         stream = spark.readStream.format("kafka").options(**topic_options(**options)).load()
         return stream.select(
@@ -34,7 +35,8 @@ def read_messages(spark: SparkSession, kind: str, **options: str) -> DataFrame:
         )
     if kind == "folder":
         path = options.pop("path")
-        return spark.readStream.options(**options).text(path)
+        landed = spark.readStream.options(**options).text(path)
+        return landed.select("value", F.col("_metadata.file_name").alias("msg_file"))
     raise ValueError(f"unknown message transport {kind!r}")
 
 

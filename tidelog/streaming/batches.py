@@ -6,10 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.functions.envelope import decode, to_log_data
+from tidelog.functions.envelope import FIELDS, decode, to_log_data
 from tidelog.operators.alerts import batch_alerts
 from tidelog.sinks.tables import store, write_batch
 
@@ -32,17 +32,20 @@ def batch_action(targets: Targets) -> Callable[[DataFrame, int], None]:
     save = store(targets.kind)
 
     def act(batch: DataFrame, batch_id: int) -> None:
-        arrival = [c for c in ("msg_partition", "msg_offset") if c in batch.columns]
+        arrival = [c for c in ("msg_partition", "msg_offset", "msg_file") if c in batch.columns]
         decoded = decode(batch.select("value", *arrival)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if decoded.isEmpty():
                 return
-            rows = to_log_data(decoded.where("valid"), targets.day, keep=arrival)
+            placed = decoded.where("valid")
+            if "msg_offset" not in arrival:
+                placed = numbered_copies(placed, batch_id)
+            rows = to_log_data(placed, targets.day, keep=arrival)
             save(rows.drop(*arrival), targets.stored)
             rejects = decoded.where(~F.col("valid")).select("value")
             if not rejects.isEmpty():
                 write_batch(rejects, targets.rejects, batch_id)
-            order = arrival or ("file_name", "src_pos", "timestamp")
+            order = arrival if "msg_offset" in arrival else ("file_name", "src_pos", "timestamp")
             alerts = batch_alerts(rows, order=(*order, "log_id"))
             if not alerts.isEmpty():
                 write_batch(alerts, targets.alerts, batch_id)
@@ -50,3 +53,17 @@ def batch_action(targets: Targets) -> Callable[[DataFrame, int], None]:
             decoded.unpersist()
 
     return act
+
+
+def numbered_copies(rows: DataFrame, batch_id: int) -> DataFrame:
+    """Add ``msg_copy`` to rows without position: which of the equal records of its
+    landed file (else of its batch) a row is.
+
+    Equal records are interchangeable, so any numbering of them is the same on every
+    reading, and none of them is lost to a common key. Only rows without a position
+    are numbered, and only among the equal records of one file.
+    """
+    known = rows if "msg_file" in rows.columns else rows.withColumn("msg_file", F.lit(f"batch {batch_id}"))
+    copies = Window.partitionBy("msg_file", *FIELDS, "log_date").orderBy(F.lit(0))
+    bare = known.where("pos IS NULL").withColumn("msg_copy", F.row_number().over(copies).cast("bigint"))
+    return known.where("pos IS NOT NULL").withColumn("msg_copy", F.lit(None).cast("bigint")).unionByName(bare)
