@@ -98,6 +98,40 @@ def test_tail_starts_over_when_a_file_is_replaced(spark, tmp_path):
     assert [r[1:] for r in got if r[0] == "output2.log"] == [(0, "same head"), (0, "same head"), (10, "x")]
 
 
+def test_tail_notices_a_replaced_file_with_the_same_head(spark, tmp_path):
+    tail = Tail(spark, tmp_path)
+    tail.append("output1.log", "head\nA\nB\n")
+    tail()
+    (tail.logs / "output1.log").write_text("head\nNEW\nA\nB\n")
+    tail.append("output2.log", "head\nsame\n")
+    got = [v for name, _, v in tail() if name == "output1.log"]
+    assert sorted(got) == sorted(["head", "A", "B", "head", "NEW", "A", "B"])
+    (tail.logs / "output2.log").write_text("head\nSAME\n")
+    assert sorted(v for name, _, v in tail() if name == "output2.log") == ["SAME", "head", "head", "same"]
+
+
+def test_tail_releases_a_rested_last_line_once(spark, tmp_path):
+    tail = Tail(spark, tmp_path, lastLineAfterSeconds=0)
+    tail.append("output1.log", "one\ntwo")
+    assert tail() == [("output1.log", 0, "one"), ("output1.log", 4, "two")]
+    assert len(tail()) == 2
+    tail.append("output1.log", "\nthree\n")
+    want = [("output1.log", 0, "one"), ("output1.log", 4, "two"), ("output1.log", 8, "three")]
+    assert tail() == want
+    tail.append("output1.log", "more")
+    tail()
+    tail.append("output1.log", " of it\n")
+    assert tail() == sorted([*want, ("output1.log", 14, "more"), ("output1.log", 18, " of it")])
+
+
+def test_malformed_bytes_and_carriage_returns(spark, tmp_path):
+    (tmp_path / "a.log").write_bytes(b"one\r\ntwo\rx\n\xff\r\n\n\xc3\xa9\n")
+    (tmp_path / "b.log").write_bytes(b"one\r\ntwo\rx\n\r\n\n\xc3\xa9")
+    got = {(n, v) for n, _, v in rows_of(scan_logs(spark, str(tmp_path), chunkBytes=5))}
+    assert {v for n, v in got if n == "a.log"} == {"one", "two\rx", "\ufffd", "", "é"}
+    assert {v for n, v in got if n == "b.log"} == {"one", "two\rx", "", "é"}
+
+
 def test_tail_limits_bytes_per_trigger(spark, tmp_path):
     logs = tmp_path / "logs"
     logs.mkdir()

@@ -6,19 +6,23 @@ Batch and stream give the same rows, so a backfill and a tail agree on positions
 The built-in text source does not notice text appended to a file it has seen. Here
 the stream offset is the length of every file, and a task reads one byte range. A
 line belongs to the range holding its line end; the reader looks back for its
-start. So a last line still being written waits for its line end, and ranges of
-one file are read in parallel without any exchange between them.
+start. So a last line still being written waits for its line end, or until the file
+has rested for ``lastLineAfterSeconds``; ranges of one file are read in parallel
+without any exchange between them.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -29,6 +33,8 @@ PRODUCER_FILES = r"^output[0-9]+\.log$"
 _SCHEMA = "file_name string, pos bigint, value string"
 _LINE_END = b"\n"
 _HEAD = 256
+_TAIL = 256
+_READERS = 16
 _LOOK_BACK = 1 << 16
 
 
@@ -39,6 +45,7 @@ class ByteRange(InputPartition):
     start: int
     stop: int
     to_end: bool
+    fresh: bool = False
 
 
 @dataclass(frozen=True)
@@ -49,6 +56,7 @@ class _Settings:
     chunk_bytes: int
     trigger_bytes: int
     max_ranges: int
+    last_line_after: float
 
     @classmethod
     def of(cls, options: dict[str, str]) -> _Settings:
@@ -62,6 +70,7 @@ class _Settings:
             chunk_bytes=size("chunkBytes", 4 << 20),
             trigger_bytes=size("maxBytesPerTrigger", 0),
             max_ranges=size("maxRanges", 100_000),
+            last_line_after=float(options.get("lastLineAfterSeconds", 60)),
         )
 
 
@@ -74,18 +83,33 @@ def _listing(path: str, names: str) -> list[pafs.FileInfo]:
     return sorted(found, key=lambda i: i.base_name)
 
 
-def _plan(settings: _Settings, parts: list[tuple[str, int, int]], to_end: bool) -> list[ByteRange]:
-    """Byte ranges of ``(name, start, stop)`` parts. Ranges grow with the whole, so
-    that their number, which the driver holds, stays bounded; a task streams its
-    range in chunks whatever its size."""
-    whole = sum(stop - start for _, start, stop in parts)
+@dataclass(frozen=True)
+class _Part:
+    """Bytes of a file to read. ``to_end``: a last line without line end counts;
+    ``fresh``: the line before ``start`` has been read, though it had no line end."""
+
+    name: str
+    start: int
+    stop: int
+    to_end: bool = False
+    fresh: bool = False
+
+
+def _plan(settings: _Settings, parts: list[_Part]) -> list[ByteRange]:
+    """Byte ranges of the parts. Ranges grow with the whole, so that their number,
+    which the driver holds, stays bounded; a task streams its range in chunks
+    whatever its size."""
+    whole = sum(part.stop - part.start for part in parts)
     step = max(settings.split_bytes, -(-whole // settings.max_ranges))
     folder = settings.path.rstrip("/")
-    return [
-        ByteRange(f"{folder}/{name}", name, at, min(at + step, stop), to_end and at + step >= stop)
-        for name, start, stop in parts
-        for at in range(start, stop, step)
-    ]
+    found = []
+    for part in parts:
+        starts = list(range(part.start, part.stop, step)) or ([part.start] if part.to_end else [])
+        for at in starts:
+            last = at + step >= part.stop
+            fresh = part.fresh and at == part.start
+            found.append(ByteRange(f"{folder}/{part.name}", part.name, at, min(at + step, part.stop), part.to_end and last, fresh))
+    return found
 
 
 def _line_start(source: pa.NativeFile, at: int) -> int:
@@ -101,13 +125,21 @@ def _line_start(source: pa.NativeFile, at: int) -> int:
 
 def _batch(name: str, first: int, block: bytes) -> pa.RecordBatch:
     """Lines of a block that ends with a line end."""
-    ends = np.flatnonzero(np.frombuffer(block, dtype=np.uint8) == _LINE_END[0])
+    data = np.frombuffer(block, dtype=np.uint8)
+    ends = np.flatnonzero(data == _LINE_END[0])
     starts = np.append(0, ends[:-1] + 1) + first
-    lines = block.decode("utf-8", errors="replace").split("\n")[:-1]
+    try:
+        block.decode("utf-8")
+    except UnicodeDecodeError:
+        lines = pa.array(block.decode("utf-8", errors="replace").split("\n")[:-1], pa.string())
+    else:  # the bytes between line ends lie side by side: no line becomes a Python string
+        offsets = np.append(0, ends - np.arange(len(ends))).astype(np.int32)
+        kept = data[data != _LINE_END[0]]
+        lines = pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(kept))
     if b"\r\n" in block:
-        lines = [line.removesuffix("\r") for line in lines]
+        lines = pc.replace_substring_regex(lines, r"\r\z", "")
     return pa.RecordBatch.from_arrays(
-        [pa.repeat(name, len(lines)), pa.array(starts, pa.int64()), pa.array(lines, pa.string())],
+        [pa.repeat(name, len(lines)), pa.array(starts, pa.int64()), lines],
         names=["file_name", "pos", "value"],
     )
 
@@ -115,9 +147,12 @@ def _batch(name: str, first: int, block: bytes) -> pa.RecordBatch:
 def _read(part: ByteRange, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     system, inner = pafs.FileSystem.from_uri(part.path)
     with system.open_input_file(inner) as source:
-        first = _line_start(source, part.start)
-        held = [source.read_at(part.start - first, first)] if first < part.start else []
         at = part.start
+        if part.fresh:
+            first = at = at + (source.read_at(1, at) == _LINE_END)
+        else:
+            first = _line_start(source, at)
+        held = [source.read_at(at - first, first)] if first < at else []
         while at < part.stop:
             chunk = source.read_at(min(chunk_bytes, part.stop - at), at)
             if not chunk:
@@ -142,7 +177,7 @@ class _LinesReader(DataSourceReader):
 
     def partitions(self) -> list[ByteRange]:
         infos = _listing(self.settings.path, self.settings.names)
-        return _plan(self.settings, [(info.base_name, 0, info.size) for info in infos], to_end=True)
+        return _plan(self.settings, [_Part(info.base_name, 0, info.size, to_end=True) for info in infos])
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         if partition is None:  # what Spark passes when there is nothing to read
@@ -150,31 +185,53 @@ class _LinesReader(DataSourceReader):
         return _read(partition, self.settings.chunk_bytes)
 
 
+def _digest(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()[:16]
+
+
 class _LinesStream(DataSourceStreamReader):
-    """Offset: per file its read length and a mark of its first line.
+    """Offset: per file its read length, marks of its first line and of the bytes
+    before the read length, and whether a last line without line end was released.
 
-    A file that got shorter, or whose first line changed, was replaced and is read
-    from its start. Both facts are in the offsets, so a replayed batch plans the
-    same ranges.
+    A file that got shorter, or whose first line or bytes before the read length
+    changed, was replaced and is read from its start.
     """
 
     def __init__(self, settings: _Settings):
         self.settings = settings
-        self.seen: dict[str, tuple[object, str]] = {}
+        self.seen: dict[tuple, tuple[object, str]] = {}
         self.known: dict | None = None
 
-    def _mark(self, info: pafs.FileInfo) -> str:
-        version = (info.mtime_ns, info.size)
-        cached = self.seen.get(info.base_name)
-        if cached and cached[0] == version:
-            return cached[1]
-        system, inner = pafs.FileSystem.from_uri(f"{self.settings.path.rstrip('/')}/{info.base_name}")
+    def _marked(self, name: str, start: int, size: int, shorten: Callable[[bytes], bytes | None]) -> str:
+        system, inner = pafs.FileSystem.from_uri(f"{self.settings.path.rstrip('/')}/{name}")
         with system.open_input_file(inner) as source:
-            head = source.read_at(min(_HEAD, info.size), 0)
-        line, end, _ = head.partition(_LINE_END)
-        mark = hashlib.sha256(line).hexdigest()[:16] if end or len(head) == _HEAD else ""
-        self.seen[info.base_name] = (version, mark)
-        return mark
+            data = shorten(source.read_at(size, start))
+        return "" if data is None else _digest(data)
+
+    def _cached(self, key: tuple, version: object, make: Callable[[], str]) -> str:
+        found = self.seen.get(key)
+        if not found or found[0] != version:
+            found = self.seen[key] = (version, make())
+        return found[1]
+
+    def _head(self, info: pafs.FileInfo) -> str:
+        def line(data: bytes) -> bytes | None:
+            first, end, _ = data.partition(_LINE_END)
+            return first if end or len(data) == _HEAD else None
+
+        version = (info.mtime_ns, info.size)
+        return self._cached(
+            (info.base_name, "head"), version, lambda: self._marked(info.base_name, 0, min(_HEAD, info.size), line)
+        )
+
+    def _tail(self, name: str, end: int) -> str:
+        start = max(0, end - _TAIL)
+        return self._marked(name, start, end - start, bytes)
+
+    def _open_line(self, info: pafs.FileInfo) -> bool:
+        """Whether a file that has rested long enough ends without a line end."""
+        rested = time.time_ns() - (info.mtime_ns or 0) >= self.settings.last_line_after * 1e9
+        return rested and self._marked(info.base_name, info.size - 1, 1, bytes) != _digest(_LINE_END)
 
     @staticmethod
     def _from(start: dict, name: str, entry: dict) -> int:
@@ -187,25 +244,47 @@ class _LinesStream(DataSourceStreamReader):
         return {}
 
     def latestOffset(self) -> dict:
-        now = {}
-        for info in _listing(self.settings.path, self.settings.names):
-            if info.size:
-                now[info.base_name] = {"end": info.size, "mark": self._mark(info)}
-        # Spark asks for the latest offset before it tells where a query stands, so
-        # the first batch after a start takes all that is waiting (as byte ranges
-        # read in parallel, like a batch job), and the limit holds from then on.
-        if self.settings.trigger_bytes and self.known is not None:
-            grown = [n for n, e in now.items() if self._from(self.known, n, e) < e["end"]]
-            share = max(1, self.settings.trigger_bytes // max(1, len(grown)))
-            for name in grown:
-                now[name]["end"] = min(now[name]["end"], self._from(self.known, name, now[name]) + share)
+        infos = [info for info in _listing(self.settings.path, self.settings.names) if info.size]
+        with ThreadPoolExecutor(_READERS) as readers:
+            heads = readers.map(self._head, infos)
+            now = {i.base_name: {"end": i.size, "mark": mark} for i, mark in zip(infos, heads, strict=True)}
+            # Spark asks for the latest offset before it tells where a query stands, so
+            # the first batch after a start takes all that is waiting (as byte ranges
+            # read in parallel, like a batch job), and the limit holds from then on.
+            if self.settings.trigger_bytes and self.known is not None:
+                grown = [n for n, e in now.items() if self._from(self.known, n, e) < e["end"]]
+                share = max(1, self.settings.trigger_bytes // max(1, len(grown)))
+                for name in grown:
+                    now[name]["end"] = min(now[name]["end"], self._from(self.known, name, now[name]) + share)
+
+            def finish(info: pafs.FileInfo) -> None:
+                entry, version = now[info.base_name], (info.mtime_ns, info.size)
+                key = (info.base_name, entry["end"])
+                entry["tail"] = self._cached(key, version, lambda: self._tail(*key))
+                entry["closed"] = entry["end"] == info.size and self._open_line(info)
+
+            list(readers.map(finish, infos))
+        self.seen = {key: found for key, found in self.seen.items() if key[1] == "head" or key[1] == now.get(key[0], {}).get("end")}
         self.known = now
         return now
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
         self.known = end
-        parts = [(name, self._from(start, name, entry), entry["end"]) for name, entry in sorted(end.items())]
-        return _plan(self.settings, parts, to_end=False)
+
+        def part(name: str) -> _Part | None:
+            entry, before = end[name], start.get(name, {})
+            begin = self._from(start, name, entry)
+            if begin and "tail" in before and entry.get("tail") != before["tail"] and self._tail(name, begin) != before["tail"]:
+                begin, before = 0, {}
+            closed = bool(entry.get("closed"))
+            released = bool(begin and before.get("closed"))
+            if begin == entry["end"] and (not closed or released):
+                return None
+            return _Part(name, begin, entry["end"], closed, released)
+
+        with ThreadPoolExecutor(_READERS) as readers:
+            parts = readers.map(part, sorted(end))
+            return _plan(self.settings, [found for found in parts if found])
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         return _read(partition, self.settings.chunk_bytes)
@@ -213,7 +292,8 @@ class _LinesStream(DataSourceStreamReader):
 
 class LogLines(DataSource):
     """``format("loglines")``; options ``path``, ``fileNameRegex``, ``splitBytes``,
-    ``chunkBytes``, ``maxRanges`` and, for streams, ``maxBytesPerTrigger``."""
+    ``chunkBytes``, ``maxRanges`` and, for streams, ``maxBytesPerTrigger`` and
+    ``lastLineAfterSeconds``."""
 
     @classmethod
     def name(cls) -> str:
