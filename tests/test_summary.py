@@ -4,7 +4,6 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.operators import splits
 from tidelog.operators.alerts import batch_alerts
 from tidelog.operators.merge import latest_per_key
 from tidelog.operators.ranges import nested_ranges, range_bucket
@@ -88,12 +87,8 @@ def test_profiles(spark):
     assert pattern_rate(df).first().n_rows == 5
 
 
-@pytest.mark.parametrize("large", [False, True])
 @pytest.mark.parametrize("start, stop, limit", [(1, 3, 0), (2, 4, 25), (1, 10, 7), (5, 60, 10_000)])
-def test_holdout_follows_the_running_count(spark, monkeypatch, start, stop, limit, large):
-    if large:
-        monkeypatch.setattr(splits, "GROUP_ROWS", 0)
-        monkeypatch.setattr(splits, "TOP_ROWS", 0)
+def test_holdout_follows_the_running_count(spark, start, stop, limit):
     rng = random.Random(7)
     users = [rng.choice([1, 1, 1, 2, 3, 4, 5, 6]) for _ in range(300)]
     seen, taken, want = {}, 0, []
@@ -111,6 +106,8 @@ def test_folds(spark):
     df = spark.range(10).select(F.col("id").alias("pos"), (-F.col("id")).cast("string").alias("item"))
     folds = kfold_split(df, "pos", 4)
     assert [r.fold for r in folds.orderBy("pos").collect()] == [1] * 4 + [2] * 4 + [3] * 2
+    sparse = kfold_split(df.withColumn("pos", F.col("pos") * 53), "pos", 4)
+    assert [r.fold for r in sparse.orderBy("pos").collect()] == [1] * 4 + [2] * 4 + [3] * 2
     base, test = fold_parts(folds, 2, order=("item",))
     assert [r.item for r in test.collect()] == ["-7", "-6", "-5", "-4"]
     assert base.count() == 6 and base.intersect(test).count() == 0

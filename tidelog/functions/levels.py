@@ -21,13 +21,3 @@ def level_color(level: Column) -> Column:
 
 def level_order(level: Column) -> Column:
     return _lookup(level, {name: i for i, name in enumerate(DASHBOARD_LEVELS)}, "int")
-
-
-def all_levels() -> Column:
-    """Array of ``(ord, level, color)`` in display order."""
-    return F.array(
-        *[
-            F.struct(F.lit(i).alias("ord"), F.lit(name).alias("level"), F.lit(color).alias("color"))
-            for i, (name, color) in enumerate(LEVEL_COLORS.items())
-        ]
-    )

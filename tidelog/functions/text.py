@@ -19,10 +19,6 @@ def strip_blanks(text: Column) -> Column:
     return F.btrim(text, F.lit(_BLANKS))
 
 
-def is_valid_level(token: Column) -> Column:
-    return token.isin(*PRODUCER_LEVELS)
-
-
 def log_level(line: Column) -> Column:
     """First space-separated token that is a producer level, else ``''``.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -25,9 +27,10 @@ def line_numbers(
     name: str = "line_no",
     block: int = BLOCK,
     per_file: bool = False,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add the 0-based number of each row in ``(file, pos)`` order over all files,
-    or starting anew in each file.
+    or starting anew in each file. Columns ``ties`` order rows of one position.
 
     Blocks of positions are counted first. A running sum over the counts, within
     stretches of blocks and then over the stretches, gives every block its first
@@ -48,7 +51,7 @@ def line_numbers(
     within = Window.partitionBy(file_name, "_stretch").orderBy("_block")
     firsts = sizes.withColumn("_part", running("_size", within)).join(bases, [file_name, "_stretch"])
     firsts = firsts.select(file_name, "_block", (F.col("_base") + F.col("_part")).alias("_first"))
-    inside = Window.partitionBy(file_name, "_block").orderBy(pos)
+    inside = Window.partitionBy(file_name, "_block").orderBy(pos, *ties)
     numbered = blocked.join(firsts, [file_name, "_block"])
     return numbered.withColumn(name, F.col("_first") + F.row_number().over(inside) - 1).drop("_first", "_block")
 

@@ -2,34 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.clock import floor_div
 from tidelog.operators.positions import line_numbers
 
 
-# Up to so many rows per user, tasks drop later rows before the shuffle (Spark's
-# own limit for that); up to so many rows in all, a top-n is merged.
-GROUP_ROWS = 1000
-TOP_ROWS = 1_000_000
-
-
-def _numbered(df: DataFrame, user: str, pos: str, stop: int) -> DataFrame:
-    """First ``stop`` rows of each user with their number from 1 (``_n``)."""
-    if stop <= GROUP_ROWS:
-        order = Window.partitionBy(user).orderBy(pos)
-        numbered = df.withColumn("_n", F.row_number().over(order))
-    else:
-        numbered = line_numbers(df, user, pos, "_n", per_file=True).withColumn("_n", F.col("_n") + 1)
-    return numbered.where(F.col("_n") <= stop)
-
-
-def _first(df: DataFrame, pos: str, n: int) -> DataFrame:
-    """The ``n`` rows of smallest position."""
-    if n <= TOP_ROWS:
-        return df.orderBy(pos).limit(n)
-    numbered = line_numbers(df.withColumn("_all", F.lit(0)), "_all", pos, "_m")
-    return numbered.where(F.col("_m") < n).drop("_all", "_m")
+def _overall(df: DataFrame, pos: str, name: str) -> DataFrame:
+    """Add the 0-based number of each row in ``pos`` order."""
+    return line_numbers(df.withColumn("_all", F.lit(0)), "_all", pos, name).drop("_all")
 
 
 def holdout_split(
@@ -38,14 +20,13 @@ def holdout_split(
     """Add ``is_test``: rows number ``start`` to ``stop`` of each user in ``pos``
     order, and of those only the first ``max_test`` overall (0 = no limit).
 
-    A user with very many rows costs no more than any other: for the usual small
-    ``stop``, tasks keep only a user's first rows before the shuffle, and beyond it
-    rows are numbered in blocks of positions. What is joined back is one pair of
-    positions per user.
+    A user with very many rows costs no more than any other: rows are numbered in
+    blocks of positions. What is joined back is one pair of positions per user.
     """
-    picked = _numbered(df.select(user, pos), user, pos, stop).where(F.col("_n") >= start)
+    numbered = line_numbers(df.select(user, pos), user, pos, "_n", per_file=True)
+    picked = numbered.where(F.col("_n").between(start - 1, stop - 1))
     if max_test > 0:
-        picked = _first(picked, pos, max_test)
+        picked = _overall(picked, pos, "_m").where(F.col("_m") < max_test)
     spans = picked.groupBy(user).agg(F.min(pos).alias("_from"), F.max(pos).alias("_to"))
     marked = df.join(spans, user, "left")
     hit = F.col(pos).between(F.col("_from"), F.col("_to"))
@@ -53,9 +34,11 @@ def holdout_split(
 
 
 def kfold_split(df: DataFrame, pos: str, rows_per_fold: int) -> DataFrame:
-    """Add ``fold`` (from 1): consecutive runs of ``rows_per_fold`` positions.
-    Fold i's test part is ``fold = i``, its base part all other rows."""
-    return df.withColumn("fold", (F.floor(F.col(pos) / F.lit(rows_per_fold)) + 1).cast("int"))
+    """Add ``fold`` (from 1): consecutive runs of ``rows_per_fold`` rows in ``pos``
+    order, whatever the gaps between positions. Fold i's test part is ``fold = i``,
+    its base part all other rows."""
+    numbered = _overall(df, pos, "_row")
+    return numbered.withColumn("fold", (floor_div(F.col("_row"), rows_per_fold) + 1).cast("int")).drop("_row")
 
 
 def fold_parts(df: DataFrame, fold: int, order: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:

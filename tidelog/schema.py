@@ -9,7 +9,6 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-RAW_LINES = _struct(file_name=T.StringType(), pos=T.LongType(), value=T.StringType())
 
 LOG_RECORD = _struct(
     timestamp=T.StringType(),
