@@ -251,7 +251,7 @@ FROM messages""",
         ),
         "decode_rejects": _over_logs("SELECT pos AS msg_id, value FROM messages WHERE pos % 10 < 7", _MESSAGES),
         "to_log_data": _over_logs(
-            f"""SELECT sha256(concat_ws(chr(1), filename, '', CAST(pos AS VARCHAR), timestamp, level, message)) AS log_id,
+            f"""SELECT sha256(concat_ws(chr(1), filename, '{queries.DAY}', CAST(pos AS VARCHAR), timestamp, level, message)) AS log_id,
        filename AS file_name, timestamp, level AS log_type, message AS log_message,
        CAST('{queries.DAY} ' || timestamp AS TIMESTAMP) AS event_ts, pos AS src_pos
 FROM records"""
@@ -388,21 +388,45 @@ FROM r a LEFT JOIN reached x ON x.lo = a.lo AND x.hi = a.hi AND x.n = 1""",
         "holdout_split": _holdout(1, 10, 1000),
         "holdout_split_unlimited": _holdout(5, 7, 0),
         "kfold_split": "SELECT o_custkey AS user_id, o_orderkey AS pos, o_totalprice, "
-        "CAST(o_orderkey // 3000 + 1 AS INTEGER) AS fold FROM orders",
+        "CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 3000 + 1 AS INTEGER) AS fold FROM orders",
+        "kfold_sparse": "SELECT o_custkey AS user_id, 53 * o_orderkey AS pos, o_totalprice, "
+        "CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 3000 + 1 AS INTEGER) AS fold FROM orders",
+        "fold_parts": """
+WITH folds AS (
+  SELECT o_custkey AS user_id, o_orderkey AS pos, o_totalprice,
+         CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 3000 + 1 AS INTEGER) AS fold
+  FROM orders
+),
+parts AS (SELECT *, CASE WHEN fold = 2 THEN 'test' ELSE 'base' END AS part FROM folds)
+SELECT *, row_number() OVER (PARTITION BY part ORDER BY pos) - 1 AS place FROM parts""",
+        "time_window_order": _over_logs(
+            f"""SELECT file_name, pos, row_number() OVER (ORDER BY clock, file_name, pos) - 1 AS place
+FROM plain WHERE {_IN_DAY}"""
+        ),
+        "upsert_same_text": _over_logs(
+            """SELECT filename AS file_name, level AS log_type, count(*) AS n_rows, count(*) AS n_keys
+FROM records GROUP BY 1, 2"""
+        ),
+        "upsert_replay_other_day": _over_logs(
+            f"""SELECT event_date, n AS n_rows, n AS n_keys
+FROM (SELECT count(*) AS n FROM records),
+     (SELECT unnest(['{queries.DAY}', '{queries.OTHER_DAY}']) AS event_date)"""
+        ),
+        "consolidated_files": _over_logs("SELECT value FROM plain"),
+        "tail_restart": _over_logs(
+            f"""SELECT timestamp, level AS log_type, message AS log_message,
+       CAST('{queries.DAY} ' || timestamp AS TIMESTAMP) AS event_ts
+FROM records r JOIN plain p USING (pos) WHERE p.{_IN_DAY}"""
+        ),
         "scan_log_dir": _over_logs("SELECT timestamp, level, message FROM records"),
         "delimited_read": """
 SELECT CAST(o_custkey AS INTEGER) AS user_id, CAST(o_orderkey AS INTEGER) AS item_id,
        CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS rating,
        CAST(epoch(o_orderdate) AS BIGINT) AS ts
 FROM orders""",
-        "stream_tumbling": f"""
-WITH hours AS (
-  SELECT date_trunc('hour', ts) AS window_start, count(*) AS n_logs
-  FROM events WHERE event_type = 'error' GROUP BY 1
-)
-SELECT * FROM hours
-WHERE window_start + INTERVAL {queries.SLICE_SECONDS} SECOND
-      <= (SELECT max(ts) FROM events WHERE event_type = 'error')""",
+        "stream_tumbling": """
+SELECT date_trunc('hour', ts) AS window_start, count(*) AS n_logs
+FROM events WHERE event_type = 'error' GROUP BY 1""",
         "stream_anchored": _over_logs(
             "SELECT file_name, CAST(src_pos AS VARCHAR) AS log_id, event_ts, log_type, window_idx, "
             "window_start, false AS is_late FROM labelled",

@@ -15,7 +15,7 @@ from tidelog.operators.alerts import batch_alerts
 from tidelog.operators.anchored import anchored_windows
 from tidelog.operators.merge import latest_per_key
 from tidelog.plans import inputs
-from tidelog.plans.jobs import consume, monitor
+from tidelog.plans.jobs import consolidate_logs, consume, monitor
 from tidelog.schema import RATINGS
 from tidelog.session import scratch_path
 from tidelog.sinks.tables import upsert_rows
@@ -23,7 +23,7 @@ from tidelog.sources.loglines import scan_logs
 from tidelog.sources.tables import delimited, log_table
 from tidelog.sources.topic import read_messages
 from tidelog.streaming.batches import Targets
-from tidelog.streaming.windows import AnchoredTarget, anchored_action, stream_tumbling_count
+from tidelog.streaming.windows import AnchoredTarget, anchored_action, changed_windows, newest_windows, stream_tumbling_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -38,6 +38,8 @@ FILE_WINDOWS = tuple((f"{h:02d}:30:00", f"{h + 8:02d}:29:59.999") for h in range
 DAY_WINDOW = ("08:00", "17:59:59.999")
 STORED_RANGE = ("2024-01-05 06:00:00", "2024-01-17 18:30:00")
 NUMBER_PATTERN = "[1-3][0-9]"
+STREAM_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+OTHER_DAY = "2024-01-02"
 
 
 def _query(run: Query) -> Query:
@@ -238,6 +240,17 @@ def time_window(spark, sf_dir):
     return select.time_window(inputs.log_lines(spark, sf_dir), *DAY_WINDOW)
 
 
+@_query
+def time_window_order(spark, sf_dir):
+    """Lines of a time window with their place in time, file and line order."""
+    lines = select.time_window(inputs.log_lines(spark, sf_dir), *DAY_WINDOW, ordered=False)
+    clock = F.expr("bigint(substring(value, 1, 2)) * 3600000 + bigint(substring(value, 4, 2)) * 60000")
+    clock = clock + F.expr("bigint(substring(value, 7, 2)) * 1000 + bigint(substring(value, 10, 3))")
+    timed = lines.select("file_name", "pos", clock.alias("ms"), F.lit(0).alias("_all"))
+    order = positions.line_numbers(timed, "_all", "ms", "place", block=60_000, ties=("file_name", "pos"))
+    return order.select("file_name", "pos", "place")
+
+
 @_query
 def stored_time_range(spark, sf_dir):
     """A closed range of event times over the written table."""
@@ -405,6 +418,22 @@ def kfold_split(spark, sf_dir):
     return splits.kfold_split(_ratings(spark, sf_dir), "pos", 3000)
 
 
+@_query
+def kfold_sparse(spark, sf_dir):
+    """Folds of a key with gaps: rows are counted, not key values."""
+    sparse = _ratings(spark, sf_dir).withColumn("pos", F.col("pos") * 53)
+    return splits.kfold_split(sparse, "pos", 3000)
+
+
+@_query
+def fold_parts(spark, sf_dir):
+    """Base and test part of one fold, with each row's place in its part."""
+    folds = splits.kfold_split(_ratings(spark, sf_dir), "pos", 3000)
+    base, test = splits.fold_parts(folds, 2)
+    both = base.withColumn("part", F.lit("base")).unionByName(test.withColumn("part", F.lit("test")))
+    return positions.line_numbers(both, "part", "pos", "place", per_file=True)
+
+
 # Files and streams, written to and read from the shared scratch folder
 
 
@@ -431,35 +460,40 @@ def _event_stream(spark, sf_dir):
     return spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-def _finish(stream, spark, label, mode="append"):
-    path = scratch_path(spark, label)
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint")
-    writer.trigger(availableNow=True).format("parquet").option("path", f"{path}/rows").start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
-
-
 @_query
 def stream_tumbling(spark, sf_dir):
-    """Hours with errors before the last event's hour: the watermark has closed
-    those, so they are final."""
+    """All hours with errors, the open one included: each batch gives the windows it
+    changed, and the last state of each counts."""
     rows = _event_stream(spark, sf_dir).where(F.col("event_type") == "error")
     counted = stream_tumbling_count(rows, SLICE_SECONDS, "0 seconds", ts="ts")
-    return _finish(counted, spark, "tumbling")
+    path = scratch_path(spark, "tumbling")
+    writer = counted.writeStream.outputMode("update").option("checkpointLocation", f"{path}/checkpoint")
+    writer = writer.foreachBatch(changed_windows(f"{path}/changes"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return newest_windows(spark.read.parquet(f"{path}/changes"))
 
 
 @_query
 def stream_anchored(spark, sf_dir):
-    logs = inputs.events_as_logs(_event_stream(spark, sf_dir))
+    """Three runs of one query, each after a third of the rows has come: windows that
+    are open at the end of a run go on in the next."""
+    base = scratch_path(spark, "anchored")
+    logs = inputs.events_as_logs(inputs.table(spark, sf_dir, "events"))
     rows = logs.select(
         "file_name",
         F.col("pos").cast("string").alias("log_id"),
         F.col("ts").alias("event_ts"),
         F.col("lvl").alias("log_type"),
     )
-    target = AnchoredTarget(scratch_path(spark, "anchored"))
-    writer = rows.writeStream.foreachBatch(anchored_action(target, KEYED_MINUTES))
-    writer = writer.option("checkpointLocation", f"{target.path}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
+    target = AnchoredTarget(f"{base}/windows")
+    for since, until in zip((None, *STREAM_CUTS), (*STREAM_CUTS, None), strict=True):
+        part = rows if since is None else rows.where(F.col("event_ts") >= F.lit(since).cast("timestamp_ntz"))
+        part = part if until is None else part.where(F.col("event_ts") < F.lit(until).cast("timestamp_ntz"))
+        part.write.mode("append").parquet(f"{base}/rows")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/rows")
+        writer = stream.writeStream.foreachBatch(anchored_action(target, KEYED_MINUTES))
+        writer = writer.option("checkpointLocation", f"{base}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(target.rows).drop("batch_id", "window_end")
 
 
@@ -494,3 +528,63 @@ def stream_files_to_store(spark, sf_dir):
     messages = read_messages(spark, "folder", path=f"{base}/messages")
     consume(messages, targets, f"{base}/consume").trigger(availableNow=True).start().awaitTermination()
     return log_table(spark, targets.stored).select("timestamp", "log_type", "log_message", "event_ts", "event_date")
+
+
+def _consumed(spark, base, checkpoint, day):
+    targets = Targets(f"{base}/stored", f"{base}/alerts", f"{base}/rejects", day=day)
+    messages = read_messages(spark, "folder", path=f"{base}/messages")
+    consume(messages, targets, f"{base}/{checkpoint}").trigger(availableNow=True).start().awaitTermination()
+    return log_table(spark, targets.stored)
+
+
+def _plain_messages(spark, sf_dir, base):
+    """Four-field envelopes without position, very many of them equal."""
+    records = _records(spark, sf_dir).withColumn("timestamp", F.lit("10:00:00.000")).withColumn("message", F.lit("m"))
+    records.select(encode().alias("value")).write.text(f"{base}/messages")
+
+
+def _tally(rows, *by):
+    return rows.groupBy(*by).agg(F.count("*").alias("n_rows"), F.countDistinct("log_id").alias("n_keys"))
+
+
+@_query
+def upsert_same_text(spark, sf_dir):
+    """Equal messages are all stored, and once each when they are consumed again."""
+    base = scratch_path(spark, "same-text")
+    _plain_messages(spark, sf_dir, base)
+    _consumed(spark, base, "first", DAY)
+    return _tally(_consumed(spark, base, "again", DAY), "file_name", "log_type")
+
+
+@_query
+def upsert_replay_other_day(spark, sf_dir):
+    """The same messages dated otherwise are other rows, under other keys."""
+    base = scratch_path(spark, "other-day")
+    _plain_messages(spark, sf_dir, base)
+    _consumed(spark, base, "first", DAY)
+    _consumed(spark, base, "other", OTHER_DAY)
+    return _tally(_consumed(spark, base, "again", OTHER_DAY), "event_date")
+
+
+@_query
+def consolidated_files(spark, sf_dir):
+    """The consolidated writer over written log files."""
+    base = scratch_path(spark, "consolidated")
+    inputs.log_lines(spark, sf_dir).select("value").write.text(f"{base}/logs")
+    consolidate_logs(spark, f"{base}/logs", f"{base}/all", r"^part-.*\.txt$")
+    return spark.read.text(f"{base}/all")
+
+
+@_query
+def tail_restart(spark, sf_dir):
+    """Files that come between two runs of one monitor: every line once."""
+    base = scratch_path(spark, "restart")
+    lines = inputs.log_lines(spark, sf_dir)
+    for part in (0, 1):
+        lines.where(F.col("pos") % 2 == part).select("value").write.mode("append").text(f"{base}/logs")
+        publishing = monitor(
+            spark, f"{base}/logs", [DAY_WINDOW], f"{base}/publish", "folder", names=r"^part-.*\.txt$", path=f"{base}/messages"
+        )
+        publishing.trigger(availableNow=True).start().awaitTermination()
+    stored = _consumed(spark, base, "consume", DAY)
+    return stored.select("timestamp", "log_type", "log_message", "event_ts")

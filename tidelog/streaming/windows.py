@@ -30,6 +30,23 @@ def stream_tumbling_count(
     return start.select(from_micros(rows, ts, "_start").alias("window_start"), "n_logs")
 
 
+def changed_windows(path: str) -> Callable[[DataFrame, int], None]:
+    """Micro-batch action for counts in update mode: each batch's changed windows go to
+    a folder of their own, so the open window is there as well as the closed ones."""
+
+    def act(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, path, batch_id)
+
+    return act
+
+
+def newest_windows(changes: DataFrame, key: str = "window_start", batch: str = "batch_id") -> DataFrame:
+    """The last state of every window: one narrow version per window is aggregated and
+    joined back."""
+    newest = changes.groupBy(key).agg(F.max(batch).alias(batch))
+    return changes.join(newest, [key, batch]).drop(batch)
+
+
 @dataclass(frozen=True)
 class AnchoredTarget:
     """Folder of a streamed anchored-window table: ``rows`` and ``state`` per batch."""
