@@ -164,6 +164,35 @@ def test_time_range_prunes_dates_and_row_groups(spark, tmp_path):
     assert "GreaterThanOrEqual(event_ts" in plan
 
 
+def test_dates_go_on_over_midnight_and_restarts_and_untimed_lines_are_set_aside(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    goal = targets(tmp_path)
+
+    def run(*texts, name="output1.log"):
+        with open(logs / name, "a") as f:
+            f.writelines(f"{text}\n" for text in texts)
+        publishing = monitor(
+            spark, str(logs), [("00:00", "23:59:59.999")], str(tmp_path / "publish"), "folder",
+            day="2024-01-01", names=".*", untimed=str(tmp_path / "untimed"), path=str(tmp_path / "messages"),
+        )
+        publishing.trigger(availableNow=True).start().awaitTermination()
+
+    run("23:59:58.000 [w] INFO app - a", "\tat some.Class", "23:59:59.000 [w] INFO app - b")
+    run("00:00:01.000 [w] INFO app - c", "22:00:00.000 [w] INFO app - d")
+    run("03:00:00.000 [w] INFO app - r", name="app.2024-03-05.log")
+    run("01:00:00.000 [w] INFO app - e", "caused by")
+    stream = read_messages(spark, "folder", path=str(tmp_path / "messages"))
+    consume(stream, goal, str(tmp_path / "consume")).trigger(availableNow=True).start().awaitTermination()
+    found = {r.log_message: str(r.event_ts) for r in log_table(spark, goal.stored).collect()}
+    assert found == {
+        "a": "2024-01-01 23:59:58", "b": "2024-01-01 23:59:59", "c": "2024-01-02 00:00:01",
+        "d": "2024-01-02 22:00:00", "r": "2024-03-05 03:00:00", "e": "2024-01-03 01:00:00",
+    }
+    aside = spark.read.parquet(str(tmp_path / "untimed")).collect()
+    assert sorted((r.file_name, r.value) for r in aside) == [("output1.log", "\tat some.Class"), ("output1.log", "caused by")]
+
+
 def test_pipeline_restarts_without_loss_or_repeats(spark, tmp_path):
     logs = tmp_path / "logs"
     logs.mkdir()

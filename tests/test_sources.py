@@ -3,7 +3,7 @@ import pytest
 from tidelog.schema import RATINGS, USERS
 from tidelog.sources.loglines import scan_logs, tail_logs
 from tidelog.sources.tables import delimited
-from tidelog.sources.topic import read_messages, topic_options, write_messages
+from tidelog.sources.topic import message_sender, read_messages, topic_options
 
 TEXT = b"a\nbb\r\n\nccc\xff\n\xe6\x97\xa5\xe6\x9c\xac\nlast"
 ROWS = [(0, "a"), (2, "bb"), (6, ""), (7, "ccc�"), (12, "日本"), (19, "last")]
@@ -173,4 +173,4 @@ def test_unknown_transport(spark, tmp_path):
     with pytest.raises(ValueError, match="transport"):
         read_messages(spark, "pigeon")
     with pytest.raises(ValueError, match="transport"):
-        write_messages(spark.range(1).selectExpr("'a' AS value"), "pigeon", str(tmp_path))
+        message_sender("pigeon", path=str(tmp_path))

@@ -5,31 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidelog.functions.envelope import encode, parse_line
 from tidelog.operators.anchored import anchored_windows
-from tidelog.operators.select import Window, file_time_window, filter_levels, search, table_view
+from tidelog.operators.select import Window, filter_levels, search, table_view
 from tidelog.operators.summary import level_counts
 from tidelog.operators.windows import level_series
 from tidelog.sources.loglines import PRODUCER_FILES, scan_logs, tail_logs
-from tidelog.sources.topic import write_messages
+from tidelog.sources.topic import message_sender
 from tidelog.sinks.tables import write_consolidated
 from tidelog.streaming.batches import Targets, batch_action
+from tidelog.streaming.publishing import publish_action
 
 BATCH_INTERVAL = "2 seconds"
 
 
-def publish(lines: DataFrame, windows: Sequence[Window], single: bool = True, day: str | None = None) -> DataFrame:
-    """Envelopes of the lines inside their file's time window. Position and date
-    travel as extra fields."""
-    chosen = file_time_window(lines, windows, single, ordered=False)
-    dated = chosen.withColumn("log_date", F.lit(day).cast("string"))
-    records = parse_line(dated, keep=("pos", "log_date"))
-    return records.select(encode(extras=("pos", "log_date")).alias("value"))
-
-
 def monitor(
     spark: SparkSession,
     folder: str,
@@ -40,13 +30,19 @@ def monitor(
     day: str | None = None,
     names: str = PRODUCER_FILES,
     source: dict | None = None,
+    untimed: str | None = None,
     **target: str,
 ) -> DataStreamWriter:
     """Tail all log files of a folder and publish their lines. Offsets are committed
     after a batch is published, so a failure repeats lines and never loses them;
-    the consumer's keys remove the repeats."""
+    the consumer's keys remove the repeats. Lines without a leading time go to the
+    folder ``untimed`` (by default beside the checkpoint), and every file's clock is
+    kept there too, so that its date goes on over midnight and restarts."""
+    base = checkpoint.rstrip("/")
+    send = message_sender(transport, **target)
+    action = publish_action(send, windows, f"{base}-clocks", untimed or f"{base}-untimed", single, day)
     lines = tail_logs(spark, folder, names, **(source or {}))
-    return write_messages(publish(lines, windows, single, day), transport, checkpoint, **target)
+    return lines.writeStream.foreachBatch(action).option("checkpointLocation", checkpoint)
 
 
 def consume(messages: DataFrame, targets: Targets, checkpoint: str, interval: str = BATCH_INTERVAL) -> DataStreamWriter:

@@ -6,9 +6,10 @@ transport has the same shape and needs nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
 
 
 def topic_options(
@@ -40,12 +41,23 @@ def read_messages(spark: SparkSession, kind: str, **options: str) -> DataFrame:
     raise ValueError(f"unknown message transport {kind!r}")
 
 
-def write_messages(messages: DataFrame, kind: str, checkpoint: str, **options: str) -> DataStreamWriter:
-    """Writer of a text column ``value`` without a key."""
-    if kind not in ("topic", "folder"):
-        raise ValueError(f"unknown message transport {kind!r}")
-    writer = messages.select("value").writeStream.option("checkpointLocation", checkpoint)
+def message_sender(kind: str, **options: str) -> Callable[[DataFrame, int], None]:
+    """Sends a batch's text column ``value``, without a key. A folder gets one part per
+    batch, which a second try replaces; a topic may get a batch twice."""
     if kind == "folder":
-        return writer.format("text").option("path", options.pop("path")).options(**options)
-    servers, topic = options.pop("servers"), options.pop("topic")
-    return writer.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).options(**options)
+        path = options.pop("path")
+
+        def land(messages: DataFrame, batch_id: int) -> None:
+            writer = messages.select("value").write.mode("overwrite").options(**options)
+            writer.text(f"{path}/batch_id={batch_id}")
+
+        return land
+    if kind == "topic":
+        servers, topic = options.pop("servers"), options.pop("topic")
+
+        def send(messages: DataFrame, batch_id: int) -> None:
+            writer = messages.select("value").write.format("kafka").options(**options)
+            writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+        return send
+    raise ValueError(f"unknown message transport {kind!r}")
