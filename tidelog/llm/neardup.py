@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from tidelog.llm import texts as T
 from tidelog.llm.components import components
 from tidelog.llm.frames import free_name, written_table
+from tidelog.llm.pieces import forget
 
 SHINGLE = 5
+#: Bytes of texts that are sketched at a time.
+SLICE_BYTES = 2 << 20
 #: 20 bands of 5: of two documents at similarity 0.8 all bands differ once in 2,800 times.
 BANDS, ROWS = 20, 5
 #: Least similarity, as a fraction.
@@ -123,8 +126,9 @@ def sketched(text: Column, bands: int = BANDS, rows: int = ROWS) -> Column:
 
     @F.arrow_udf(SKETCH)
     def sketch(values: pa.Array) -> pa.Array:
+        forget()
         all_keys, all_bands = [], [np.zeros(0, np.int64)]
-        for _, part in T.slices(T.plain(values)):
+        for _, part in T.slices(T.plain(values), SLICE_BYTES):
             value, ends, keys = items(part)
             all_keys += keys
             all_bands.append(band_keys(signatures(value, ends, bands * rows), bands).ravel())
@@ -141,7 +145,7 @@ def layered(text: Column) -> Column:
     @F.arrow_udf("array<bigint>")
     def layer(values: pa.Array) -> pa.Array:
         parts = []
-        for _, part in T.slices(T.plain(values)):
+        for _, part in T.slices(T.plain(values), SLICE_BYTES):
             value, ends, _ = items(part)
             parts.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(value.view(np.int64))))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))

@@ -45,7 +45,7 @@ def _vocabulary(path: str) -> Pieces:
         found = model.encode_batch_fast([v.decode() for v in values], add_special_tokens=False)
         return [one.ids for one in found]
 
-    return Pieces(encode)
+    return Pieces(encode, 600_000)
 
 
 def token_ids(texts: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 import numpy as np
@@ -10,6 +11,16 @@ import pyarrow as pa
 from tidelog.llm.texts import flat_ranges
 
 
+_ALL: weakref.WeakSet[Pieces] = weakref.WeakSet()
+
+
+def forget(but: Pieces | None = None) -> None:
+    """Clears what other operators remember in this process, which serves one after another."""
+    for pieces in _ALL:
+        if pieces is not but and pieces.number:
+            pieces.clear()
+
+
 class Pieces:
     """Remembers the ids of strings; beyond ``most`` strings it starts anew.
 
@@ -17,9 +28,10 @@ class Pieces:
     Memory is bounded by ``most`` and by the distinct strings of one slice.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], most: int = 600_000):
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], most: int = 400_000):
         self.encode, self.most = encode, most
         self.clear()
+        _ALL.add(self)
 
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
@@ -44,6 +56,7 @@ class Pieces:
 
     def ids(self, codes: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all strings one after another, and how many each string has."""
+        forget(self)
         values = distinct.to_pylist()
         at = list(map(self.number.get, values))
         missing = [value for value, known in zip(values, at, strict=True) if known is None]
