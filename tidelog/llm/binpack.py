@@ -1,9 +1,9 @@
 """Bin completion over counts of item sizes.
 
 Items of one size are alike, so a packing is a short list of fillings, each with the
-number of bins that hold it. The search takes the largest size left, lists fillings of the
-room beside it that no exchange for a larger item improves, uses one as often as the counts
-allow, and goes on with what is left. A branch is given up when its waste shows that it
+number of bins that hold it. The search takes the largest size left, lists undominated
+fillings of the room beside it, uses one as often as the counts allow, and goes on with what
+is left. A branch is given up when its waste shows that it
 cannot beat the best packing so far; best-fit decreasing gives the first.
 """
 
@@ -15,7 +15,8 @@ import numpy as np
 
 Filling = tuple[tuple[int, int], ...]  #: (size, how many), largest size first
 
-MOST_NODES, MOST_FILLINGS, FAN = 20_000, 40, 4
+#: Steps of the search, and fillings tried at each.
+MOST_NODES, FAN = 6_000, 3
 
 
 def lower_bound(counts: np.ndarray) -> int:
@@ -71,68 +72,52 @@ def best_fit(counts: np.ndarray) -> list[tuple[int, Filling]]:
     return [(bins, filling) for filling, bins in packed.items()]
 
 
-def fillings(counts: np.ndarray, room: int) -> list[tuple[int, Filling]]:
-    """(waste, filling) of ``room`` by what ``counts`` holds, least waste first.
+def filling(counts: np.ndarray, room: int) -> tuple[int, Filling]:
+    """(waste, filling) that leaves least of ``room``, of the largest sizes that do.
 
-    One item that fills the room dominates all else. Otherwise two or three items that fill
-    it, then fillings that no further item and no larger item in place of one improves.
+    Sums that sizes can make are the bits of an integer, so no two fillings of one sum are
+    both looked at. Sizes join from the largest on until the room can be filled; walking
+    back, a size is used only where the larger ones cannot make the sum. So no further item
+    and no larger item in place of one would fit.
     """
-    there = counts > 0
     if room <= 0:
-        return [(0, ())]
-    if there[room]:
-        return [(0, ((room, 1),))]
-    sizes = np.flatnonzero(there[: room + 1])
-    if not len(sizes):
-        return [(room, ())]
-    found: dict[Filling, int] = {}
-
-    def put(items: list[int], waste: int) -> None:
-        found.setdefault(tuple(sorted(Counter(items).items(), reverse=True)), waste)
-
-    def two(rest: int, top: int) -> list[tuple[int, int]]:
-        larger = sizes[(2 * sizes >= rest) & (sizes < rest) & (sizes <= top)]
-        both = larger[there[rest - larger]]
-        return [(int(x), int(rest - x)) for x in both[::-1][:FAN] if 2 * x > rest or counts[x] > 1]
-
-    for pair in two(room, room):
-        put(list(pair), 0)
-    if not found:
-        for x in sizes[::-1][: 8 * FAN].tolist():
-            for pair in two(room - x, x):
-                if all(counts[s] >= k for s, k in Counter([x, *pair]).items()):
-                    put([x, *pair], 0)
-            if len(found) >= FAN:
-                break
-    if found:
-        return [(0, filling) for filling in found]
-
-    def go(rest: int, top: int, items: list[int]) -> None:
-        if len(found) >= MOST_FILLINGS:
-            return
-        to = int(np.searchsorted(sizes, min(rest, top), "right"))
-        tried = 0
-        while to and tried < FAN:
-            to -= 1
-            size = int(sizes[to])
-            if items.count(size) >= counts[size]:
-                continue
-            tried += 1
-            go(rest - size, size, [*items, size])
-        if not tried:
-            put(items, rest)
-
-    go(room, room, [])
-    keep = []
-    for filling, waste in found.items():
-        used = dict(filling)
-        larger = (
-            np.any((sizes > size) & (sizes <= size + waste) & (counts[sizes] > [used.get(int(s), 0) for s in sizes]))
-            for size in used
-        )
-        if not any(larger):
-            keep.append((waste, filling))
-    return sorted(keep or [(waste, filling) for filling, waste in found.items()])[:FAN]
+        return 0, ()
+    parts: list[tuple[int, int]] = []
+    sums, reached, full, mask = [], 1, 1 << room, (2 << room) - 1
+    for size in np.flatnonzero(counts[: room + 1])[::-1].tolist():
+        left, some = min(int(counts[size]), room // size), 1
+        while left and not reached & full:
+            some = min(some, left)
+            sums.append(reached)
+            parts.append((size, some))
+            reached |= reached << size * some & mask
+            left -= some
+            some *= 2
+        if reached & full:
+            break
+    goal = reached.bit_length() - 1
+    used: Counter[int] = Counter()
+    rest = goal
+    for (size, some), before in zip(reversed(parts), reversed(sums), strict=True):
+        if not before >> rest & 1:
+            used[size] += some
+            rest -= size * some
+    return room - goal, tuple(sorted(used.items(), reverse=True))
+
+
+def fillings(counts: np.ndarray, room: int) -> list[tuple[int, Filling]]:
+    """(waste, filling), least waste first: the best one, then those without its largest size."""
+    found, banned = [], {}
+    for _ in range(FAN):
+        waste, best = filling(counts, room)
+        found.append((waste, best))
+        if not best or best[0][0] == room:
+            break  # nothing fits, or one item that fills the room, which dominates all else
+        banned[best[0][0]] = counts[best[0][0]]
+        counts[best[0][0]] = 0
+    for size, number in banned.items():
+        counts[size] = number
+    return sorted(found, key=lambda one: one[0])
 
 
 def pack(counts: np.ndarray) -> list[tuple[int, Filling]]:
