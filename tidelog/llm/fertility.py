@@ -169,9 +169,9 @@ def bands(measured: DataFrame) -> DataFrame:
 
 
 def measured_rows(
-    docs: DataFrame, vocabulary: str, text: str = "text", lang: str | None = "lang"
+    docs: DataFrame, vocabulary: str, text: str, lang: str | None, keep: list[str]
 ) -> tuple[DataFrame, str]:
-    """``docs`` with a struct column of measures and band keys, stored; and that column's name."""
+    """Columns ``keep`` and a struct of measures and band keys, stored; and its column's name."""
     column = free_name(docs, "fertility")
     found = docs.withColumn(column, measures(F.col(text), vocabulary))
     code = F.col(lang) if lang else F.lit(None).cast("string")
@@ -183,18 +183,25 @@ def measured_rows(
             length_class(F.col(column)["n_words"]).alias("length_class"),
         ),
     )
-    return written_table(found, "fertility"), column
+    return written_table(found.select(*keep, column), "fertility"), column
 
 
-def judged(docs: DataFrame, vocabulary: str, text: str = "text", lang: str | None = "lang") -> tuple[DataFrame, str]:
-    """``docs``, all rows and columns, with a struct column; and that column's name.
+def judged(
+    docs: DataFrame,
+    vocabulary: str,
+    text: str = "text",
+    lang: str | None = "lang",
+    keep: list[str] | None = None,
+) -> tuple[DataFrame, str]:
+    """All rows and columns of ``docs`` (or columns ``keep``) with a struct; and its column's name.
 
     The struct holds the measures, the reasons (``base_failed`` and one flag per measure
     outside its band) and ``kept``. Null and empty texts have no words and fail. Rows count
     as often as they occur; without a language the script's bands hold; other columns of
     any name pass through. An empty table gives an empty table.
     """
-    stored, column = measured_rows(docs, vocabulary, text, lang)
+    keep = docs.columns if keep is None else keep
+    stored, column = measured_rows(docs, vocabulary, text, lang, keep)
     fields = F.col(column)
     bounds = written_table(
         bands(stored.where(~fields["base_failed"]).select(f"{column}.*")), "bands"
@@ -218,12 +225,12 @@ def judged(docs: DataFrame, vocabulary: str, text: str = "text", lang: str | Non
     for out in outside.values():
         kept = kept & ~out
     verdict = F.struct(f"{column}.*", *[c.alias(n) for n, c in outside.items()], kept.alias("kept"))
-    return both.select(*docs.columns, verdict.alias(column)), column
+    return both.select(*keep, verdict.alias(column)), column
 
 
 def fertility_rules(
     docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """One row per document: its id, counts, measures, reasons and ``kept``."""
-    found, column = judged(docs.select(id_col, text, lang), vocabulary, text, lang)
+    found, column = judged(docs.select(id_col, text, lang), vocabulary, text, lang, [id_col])
     return found.select(id_col, f"{column}.*")
