@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import texts as T
 from tidelog.llm.frames import free_name, written_table
+from tidelog.llm.pieces import forget
 
 GOOD, BAD, NONE = 1, -1, 0
 #: Labellers: the vote, and the least and greatest share at which it is cast.
@@ -36,6 +37,8 @@ LABELLERS = {
     "sentences": (GOOD, 0.02, 0.4),  # words that end in a stop or comma
     "short_words": (GOOD, 0.1, 0.9),  # words of at most three bytes, all letters
 }
+#: Bytes of texts that are looked at at a time.
+SLICE_BYTES = 2 << 20
 #: Texts of fewer words get no votes.
 LEAST_WORDS = 10
 #: The pattern of such a text.
@@ -200,7 +203,8 @@ def patterns(text: Column) -> Column:
 
     @F.arrow_udf("int")
     def pattern(values: pa.Array) -> pa.Array:
-        parts = [_pattern(part) for _, part in T.slices(T.plain(values))]
+        forget()
+        parts = [_pattern(part) for _, part in T.slices(T.plain(values), SLICE_BYTES)]
         return pa.array(np.concatenate([np.zeros(0, np.int64), *parts]), pa.int32())
 
     return pattern(text)
@@ -217,10 +221,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Scorer:
         return Scorer(np.zeros(1 << BITS), np.zeros((len(LABELLERS), 3)), 0.0)
     good, _, _ = label_model(numbers, counts)
     likely = F.col("pattern").isin(numbers[good >= 0.5].tolist())
-    chosen = [
-        cast.where(side).orderBy(F.xxhash64("id"), "id").limit(FIT_TEXTS).select("id").distinct()
-        for side in (likely, ~likely)
-    ]
+    chosen = []
+    for side, number in ((likely, counts[good >= 0.5].sum()), (~likely, counts[good < 0.5].sum())):
+        # of many ids only those that hash low are sorted, four times as many as are taken
+        top = (1 << 62) // max(1, int(number) // (4 * FIT_TEXTS))
+        low = F.shiftrightunsigned(F.xxhash64("id"), 2) <= top
+        some = cast.where(side & low).orderBy(F.xxhash64("id"), "id").limit(FIT_TEXTS)
+        chosen.append(some.select("id").distinct())
     # at most 2 * FIT_TEXTS ids, so they may be sent to every task
     some = rows.join(F.broadcast(chosen[0].union(chosen[1]).distinct()), "id").dropDuplicates(["id"])
     texts = T.plain(pa.array([row["text"] for row in some.orderBy("id").collect()], pa.string()))
@@ -241,7 +248,8 @@ def scored(text: Column, scorer: Scorer) -> Column:
     def score(values: pa.Array) -> pa.Array:
         out = [np.zeros(0)]
         place = np.arange(len(LABELLERS))
-        for _, part in T.slices(T.plain(values)):
+        forget()
+        for _, part in T.slices(T.plain(values), SLICE_BYTES):
             cast, size = votes(part)
             total = scorer.constant + scorer.votes[place, cast + 1].sum(axis=1) + _mean_weight(part, scorer.grams)
             out.append(np.where(size > 0, 1 / (1 + np.exp(-np.clip(total, -60, 60))), 0.0))
