@@ -42,6 +42,8 @@ KINDS = [*RULES, LEARNED]
 #: What a text must hold for any rule to match (a wider test, run over whole batches).
 HINT = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"""
 
+#: Bytes of texts that are scanned at a time.
+SLICE_BYTES = 1 << 20
 #: The fit takes at most so many texts that the hint matches and so many others, none
 #: longer than so many characters.
 FIT_TEXTS, FIT_CHARS = 200, 4_000
@@ -114,7 +116,7 @@ def _word_numbers(found: T.Words) -> np.ndarray:
     """A hashed number for each word, the same for upper and lower case."""
     if not len(found.start):
         return np.zeros(0, np.int64)
-    size = 1 << max(22, int(len(found.data)).bit_length())
+    size = 1 << max(20, int(len(found.data)).bit_length())
     if size not in _POWER:
         _POWER.clear()
         _POWER[size] = (_powers(size, FACTOR), _powers(size, pow(FACTOR, -1, 1 << 64)))
@@ -355,7 +357,7 @@ def span_digests(text: Column, field: Field) -> Column:
 
     @F.arrow_udf(SCHEMA)
     def digest(values: pa.Array) -> pa.Array:
-        rows = [row for _, part in T.slices(T.plain(values)) for row in _digest(part, field)]
+        rows = [row for _, part in T.slices(T.plain(values), SLICE_BYTES) for row in _digest(part, field)]
         return pa.array([dict(zip(names, row, strict=True)) for row in rows], kinds)
 
     return digest(text)
@@ -379,7 +381,7 @@ def redacted(text: Column, field: Field, mark: str = "[SECRET]") -> Column:
         forget()
         out = []
         nulls = values.is_null().to_numpy(zero_copy_only=False)
-        for first, part in T.slices(T.plain(values)):
+        for first, part in T.slices(T.plain(values), SLICE_BYTES):
             rows = part.to_pylist()
             for row, spans in all_spans(part, field).items():
                 rows[row] = hidden(rows[row], spans, mark)
