@@ -195,6 +195,48 @@ def test_small_packings_are_best():
     assert exact >= 38
 
 
+def test_all_undominated_fillings_are_listed():
+    def listed(sizes, room):
+        return [filling for _, filling in binpack.fillings(np.bincount(sizes, minlength=room + 1), room)]
+
+    pairs = [((500, 1), (260, 1), (240, 1)), ((500, 1), (300, 1), (200, 1))]
+    assert sorted(listed([500, 300, 260, 240, 200], 1000)) == pairs
+    assert listed([600, 599, 400], 1000) == [((600, 1), (400, 1))]
+
+
+def test_searches_that_end_give_the_fewest_bins():
+    def fewest(items, room):
+        best = len(items)
+
+        def place(k, rooms):
+            nonlocal best
+            if len(rooms) >= best:
+                return
+            if k == len(items):
+                best = len(rooms)
+                return
+            for rest in {r for r in rooms if r >= items[k]}:
+                at = rooms.index(rest)
+                place(k + 1, [*rooms[:at], rest - items[k], *rooms[at + 1 :]])
+            place(k + 1, [*rooms, room - items[k]])
+
+        place(0, [])
+        return best
+
+    cases = [
+        ([46, 25, 24, 22, 21, 21, 20, 17, 17, 16, 15, 11, 9], 55),
+        ([32, 30, 22, 21, 11, 7, 7, 5, 3], 47),
+        ([49, 23, 21, 21, 19, 19, 14, 10, 10, 6], 49),
+    ]
+    rng = random.Random(4)
+    for _ in range(300):
+        room = rng.randint(8, 60)
+        cases.append((sorted((rng.randint(max(1, room // 6), room // 2) for _ in range(11)), reverse=True), room))
+    for items, room in cases:
+        packing = binpack.pack(np.bincount(items, minlength=room + 1))
+        assert sum(bins for bins, _ in packing) == fewest(items, room), (items, room)
+
+
 # Exact top-k
 
 

@@ -1,22 +1,28 @@
 """Bin completion over counts of item sizes.
 
 Items of one size are alike, so a packing is a short list of fillings, each with the
-number of bins that hold it. The search takes the largest size left, lists undominated
-fillings of the room beside it, uses one as often as the counts allow, and goes on with what
-is left. A branch is given up when its waste shows that it
-cannot beat the best packing so far; best-fit decreasing gives the first.
+number of bins that hold it. The search takes the largest size left, lists all undominated
+fillings of the room beside it as they are needed, uses one as often as the counts allow, then
+less often, and goes on with what is left. A branch is given up when its waste shows that it
+cannot beat the best packing so far; best-fit decreasing gives the first. A search that ends
+before MOST_STEPS has proved its packing to be the best.
 """
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 
 Filling = tuple[tuple[int, int], ...]  #: (size, how many), largest size first
 
-#: Steps of the search, and fillings tried at each.
-MOST_NODES, FAN = 6_000, 3
+#: Steps of the search: fillings looked at and fillings used.
+MOST_STEPS = 60_000
+#: So many levels of the search keep their sums; those further up make them again.
+KEPT_LEVELS = 64
 
 
 def lower_bound(counts: np.ndarray) -> int:
@@ -72,56 +78,109 @@ def best_fit(counts: np.ndarray) -> list[tuple[int, Filling]]:
     return [(bins, filling) for filling, bins in packed.items()]
 
 
-def filling(counts: np.ndarray, room: int) -> tuple[int, Filling]:
-    """(waste, filling) that leaves least of ``room``, of the largest sizes that do.
+class Level:
+    """The undominated fillings of a room by what ``counts`` holds now, least waste first.
 
-    Sums that sizes can make are the bits of an integer, so no two fillings of one sum are
-    both looked at. Sizes join from the largest on until the room can be filled; walking
-    back, a size is used only where the larger ones cannot make the sum. So no further item
-    and no larger item in place of one would fit.
+    Sums that sizes can make are the bits of an integer. ``sums(n)`` has those of the n largest
+    sizes, made when first asked for; a size is taken only where the larger ones can make the
+    rest, so no walk ends without a filling.
     """
-    if room <= 0:
-        return 0, ()
-    parts: list[tuple[int, int]] = []
-    sums, reached, full, mask = [], 1, 1 << room, (2 << room) - 1
-    for size in np.flatnonzero(counts[: room + 1])[::-1].tolist():
-        left, some = min(int(counts[size]), room // size), 1
-        while left and not reached & full:
-            some = min(some, left)
-            sums.append(reached)
-            parts.append((size, some))
-            reached |= reached << size * some & mask
-            left -= some
-            some *= 2
-        if reached & full:
-            break
-    goal = reached.bit_length() - 1
-    used: Counter[int] = Counter()
-    rest = goal
-    for (size, some), before in zip(reversed(parts), reversed(sums), strict=True):
-        if not before >> rest & 1:
-            used[size] += some
-            rest -= size * some
-    return room - goal, tuple(sorted(used.items(), reverse=True))
-
-
-def fillings(counts: np.ndarray, room: int) -> list[tuple[int, Filling]]:
-    """(waste, filling), least waste first: the best one, then those without its largest size."""
-    found, banned = [], {}
-    for _ in range(FAN):
-        waste, best = filling(counts, room)
-        found.append((waste, best))
-        if not best or best[0][0] == room:
-            break  # nothing fits, or one item that fills the room, which dominates all else
-        banned[best[0][0]] = counts[best[0][0]]
-        counts[best[0][0]] = 0
-    for size, number in banned.items():
-        counts[size] = number
-    return sorted(found, key=lambda one: one[0])
+
+    def __init__(self, counts: np.ndarray, room: int, first: int = 0) -> None:
+        sizes = np.flatnonzero(counts[: room + 1])[::-1]
+        sizes = sizes[sizes > 0]
+        self.room, self.first = room, first  #: ``first`` is the size that the room is beside
+        self.sizes = array("i", sizes.astype(np.int32).tobytes())
+        self.caps = array("i", np.minimum(counts[sizes], room // np.maximum(sizes, 1)).astype(np.int32).tobytes())
+        #: the sizes as bits, and how many there are of each
+        self.there = sum(1 << size for size in self.sizes)
+        self.counts = counts[: room + 1].copy()
+        self.made = [1]
+        self.options = self._options()
+        self.filling: Filling = ()
+        self.lost = self.times = 0
+        self.used: list[Filling] = []
+
+    def sums(self, n: int) -> int:
+        mask = (2 << self.room) - 1
+        while len(self.made) <= n:
+            size, left = self.sizes[len(self.made) - 1], self.caps[len(self.made) - 1]
+            reached, some = self.made[-1], 1
+            while left:
+                some = min(some, left)
+                reached |= reached << size * some & mask
+                left -= some
+                some *= 2
+            self.made.append(reached)
+        return self.made[n]
+
+    def ways(self, n: int, rest: int) -> Iterator[Filling]:
+        """All choices among the ``n`` largest sizes with sum ``rest``."""
+        if not rest:
+            yield ()
+            return
+        for j in range(bisect_left(self.sizes, -rest, 0, n, key=lambda size: -size), n):
+            size = self.sizes[j]
+            if not self.sums(j + 1) >> rest & 1:
+                continue
+            for times in range(1, min(self.caps[j], rest // size) + 1):
+                if self.sums(j) >> rest - times * size & 1:
+                    for more in self.ways(j, rest - times * size):
+                        yield (*more, (size, times))
+
+    def dominated(self, filling: Filling, waste: int) -> bool:
+        """Some of the items leave their places to one other that is no smaller, and it fits."""
+        there = self.there
+        some = several = 0  # sums of one or more items, of two or more
+        for size, times in filling:
+            if self.counts[size] == times:
+                there &= ~(1 << size)
+            for _ in range(times):
+                several |= (some | several) << size
+                some |= (some | 1) << size
+        if several & there:
+            return True
+        return bool(waste and self._above(some | 1, waste) & there)
+
+    @staticmethod
+    def _above(sums: int, most: int) -> int:
+        """1 to ``most`` more than any of the sums."""
+        reach, width = sums << 1, 1
+        while width < most:
+            step = min(width, most - width)
+            reach |= reach << step
+            width += step
+        return reach
+
+    def _options(self) -> Iterator[tuple[int, Filling] | None]:
+        """(waste, filling with the size it is beside); None for a dominated one."""
+        if self.there >> self.room & 1 and self.room:
+            yield 0, self._with_first(((self.room, 1),))  # dominates all else
+            return
+        for goal in range(self.room, -1, -1):
+            for found in self.ways(len(self.sizes), goal):
+                waste = self.room - goal
+                yield None if self.dominated(found, waste) else (waste, self._with_first(found))
+
+    def _with_first(self, found: Filling) -> Filling:
+        if found and found[0][0] == self.first:
+            return ((self.first, found[0][1] + 1), *found[1:])
+        return ((self.first, 1), *found)
+
+
+def fillings(counts: np.ndarray, room: int) -> Iterator[tuple[int, Filling]]:
+    """(waste, filling): all undominated fillings of ``room``, least waste first."""
+    for found in Level(np.asarray(counts), room).options:
+        if found:
+            yield found[0], found[1][1:]
 
 
 def pack(counts: np.ndarray) -> list[tuple[int, Filling]]:
-    """A packing of all items as (number of bins, filling), within a fixed number of steps."""
+    """A packing of all items as (number of bins, filling), within a fixed number of steps.
+
+    Once all packings with a filling are searched, or all with more uses of it, none that
+    holds it can be better: below and beside it, it need not be used again.
+    """
     counts = np.asarray(counts, np.int64).copy()
     room = len(counts) - 1
     if not counts.any():
@@ -129,45 +188,51 @@ def pack(counts: np.ndarray) -> list[tuple[int, Filling]]:
     best = best_fit(counts)
     fewest, least = sum(bins for bins, _ in best), lower_bound(counts)
     total = int((counts * np.arange(room + 1)).sum())
-    path: list[tuple[int, Filling]] = []
-    choices: list[list[tuple[int, Filling]]] = []
-    bins = waste = nodes = 0
+    searched: set[Filling] = set()
+    bins = waste = steps = 0
 
-    def options() -> list[tuple[int, Filling]]:
+    def level() -> Level:
         size = int(np.flatnonzero(counts)[-1])
         counts[size] -= 1
-        found = [
-            (lost, tuple(sorted((Counter(dict(rest)) + Counter({size: 1})).items(), reverse=True)))
-            for lost, rest in fillings(counts, room - size)
-        ]
+        found = Level(counts, room - size, size)
         counts[size] += 1
-        return found[::-1]  # the best one is taken from the end
-
-    choices.append(options())
-    while choices and fewest > least and nodes < MOST_NODES:
-        if not choices[-1]:
-            choices.pop()
-            if path:
-                times, filling = path.pop()
-                for size, many in filling:
-                    counts[size] += times * many
-                bins -= times
-                waste -= times * (room - sum(s * m for s, m in filling))
+        return found
+
+    def use(one: Level, times: int) -> None:
+        nonlocal bins, waste
+        for size, many in one.filling:
+            counts[size] -= (times - one.times) * many
+        bins += times - one.times
+        waste += (times - one.times) * one.lost
+        one.times = times
+
+    levels = [level()]
+    while levels and fewest > least and steps < MOST_STEPS:
+        steps += 1
+        one = levels[-1]
+        allowed = (fewest - 1) * room - total
+        if one.times > 1:
+            use(one, one.times - 1)
+        else:
+            use(one, 0)
+            found = next(one.options, (room + 1, ()))
+            if found is None or found[1] in searched:
+                continue
+            if waste + found[0] > allowed:  # so do all later ones
+                levels.pop()
+                searched.difference_update(one.used)
+                continue
+            one.lost, one.filling = found
+            searched.add(one.filling)
+            one.used.append(one.filling)
+            times = min(int(counts[size]) // many for size, many in one.filling)
+            use(one, min(times, (allowed - waste) // one.lost) if one.lost else times)
+        if waste > allowed:
             continue
-        nodes += 1
-        lost, filling = choices[-1].pop()
-        times = int(min(counts[size] // many for size, many in filling))
-        if waste + times * lost > (fewest - 1) * room - total:
-            continue
-        for size, many in filling:
-            counts[size] -= times * many
-        path.append((times, filling))
-        bins += times
-        waste += times * lost
         if counts.any():
-            choices.append(options())
-            continue
-        if bins < fewest:
-            best, fewest = list(path), bins
-        choices.append([])
+            levels.append(level())
+            if len(levels) > KEPT_LEVELS:
+                del levels[-KEPT_LEVELS - 1].made[1:]
+        elif bins < fewest:
+            best, fewest = [(one.times, one.filling) for one in levels], bins
     return best
