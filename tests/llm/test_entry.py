@@ -10,7 +10,7 @@ import corpus_pipeline  # noqa: E402
 import pytest  # noqa: E402
 from compare import connect, duck_rows, spark_rows  # noqa: E402
 
-from tidelog.llm import queries  # noqa: E402
+from tidelog.llm import licenses, queries  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -28,6 +28,15 @@ def test_sql_twins(spark, name):
     assert found == duck_rows(connect(SF_DIR), queries.oracle()[name])
 
 
+def test_licenses_of_the_twin_and_short_ones(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = licenses.license_matches(docs, licenses.TEMPLATES)
+    assert spark_rows(found) == duck_rows(connect(SF_DIR), licenses.oracle())  # the twin has no shingles under five words
+    short = queries.registered()["op5_license_scans"](spark, SF_DIR).where("license = 'All-rights-reserved'")
+    have = docs.where("lower(text) rlike 'all\\\\W+rights\\\\W+reserved'")
+    assert {r.doc_id for r in short.collect()} == {r.doc_id for r in have.collect()} != set()
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     ids = {r.doc_id for r in docs.select("doc_id").collect()}

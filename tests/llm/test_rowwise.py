@@ -300,6 +300,22 @@ def test_license_matches_are_those_of_all_windows(make_docs, odd_docs):
     assert sorted(got) == sorted(want) and len(want) >= len(notices)
 
 
+def test_short_notices_are_matched_as_a_whole(make_docs, odd_docs):
+    rows = [(600 + i, f"one two. {notice} three") for i, notice in enumerate(licenses.SHORT_NOTICES.values())]
+    rows += [(800, "ALL RIGHTS RESERVED"), (801, "all rights are reserved"), (802, "GNU GPL"), (803, "cc by sa 4 1")]
+    found = licenses.license_matches(odd_docs.unionByName(make_docs(rows)))
+    want = [(600 + i, name, 1.0, 1) for i, name in enumerate(licenses.SHORT_NOTICES)]
+    got = [(r.doc_id, r.license, r.containment, r.first_word) for r in found.collect()]
+    assert sorted(got) == sorted([*want, (800, "All-rights-reserved", 1.0, 0)])
+    one = licenses.license_matches(make_docs([(1, "Copyleft"), (2, "copy left")]), {"one-word": "copyleft"})
+    assert [tuple(r) for r in one.collect()] == [(1, "one-word", 1.0, 0)]
+
+
+def test_templates_that_cannot_be_matched_are_an_error(no_docs):
+    with pytest.raises(ValueError, match="blank"):
+        licenses.license_matches(no_docs, {"blank": "* * *"})
+
+
 def test_bands_hardly_ever_miss():
     assert max(licenses.miss_chance(len(t.split()) - 4) for t in licenses.TEMPLATES.values()) < 1e-6
 

@@ -6,6 +6,9 @@ template if they agree in one of the bands, each of one hash function; where it
 of the template, all bands miss less than once in a million times (see ``miss_chance``).
 What meets is decided by the share of the template's shingles that the window has.
 
+A template of fewer than SHINGLE words is one shingle of all its words, and is looked for among
+the shingles of that length.
+
 All of it is DataFrame functions. A band can only agree where the template's least shingle
 stands, so windows without any of these need no signature.
 """
@@ -64,6 +67,34 @@ TEMPLATES = {
     ),
 }
 
+#: Short notices, and versions that TEMPLATES has not. Each is one or two shingles,
+#: so it is matched as a whole only; none is part of a notice in TEMPLATES.
+SHORT_NOTICES = {
+    "All-rights-reserved": "All rights reserved.",
+    "Apache-1.0-short": "Apache License 1.0",
+    "Apache-1.0-version": "Apache License, Version 1.0",
+    "Apache-1.1-short": "Apache License 1.1",
+    "Apache-1.1-version": "Apache License, Version 1.1",
+    "Apache-2.0-short": "Apache License 2.0",
+    "GPL-2.0-short": "GNU GPL v2",
+    "GPL-2.0-version": "GNU General Public License, version 2",
+    "GPL-3.0-short": "GNU GPL v3",
+    "LGPL-2.1-short": "GNU LGPL v2.1",
+    "LGPL-2.1-version": "GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0-short": "GNU LGPL v3",
+    "LGPL-3.0-version": "GNU Lesser General Public License, version 3",
+    "AGPL-3.0-short": "GNU AGPL v3",
+    "AGPL-3.0-version": "GNU Affero General Public License, version 3",
+    "CC0-1.0-short": "CC0 1.0",
+    **{
+        f"CC-{kind}-{version}-short": f"CC {kind} {version}"
+        for kind in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")
+        for version in ("3.0", "4.0")
+        if (kind, version) != ("BY-NC", "4.0")
+    },
+}
+NOTICES = TEMPLATES | SHORT_NOTICES
+
 
 def words(text: Column) -> Column:
     """Runs of letters and digits in lower case (null: none)."""
@@ -71,13 +102,13 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda word: word != "")
 
 
-def shingles(found: Column) -> Column:
-    """A hash for each run of SHINGLE words."""
+def shingles(found: Column, length: int = SHINGLE) -> Column:
+    """A hash for each run of ``length`` words."""
     each = F.transform(
-        F.sequence(F.lit(0), F.size(found) - SHINGLE),
-        lambda i: F.xxhash64(*[F.get(found, i + step) for step in range(SHINGLE)]),
+        F.sequence(F.lit(0), F.size(found) - length),
+        lambda i: F.xxhash64(*[F.get(found, i + step) for step in range(length)]),
     )
-    return F.when(F.size(found) >= SHINGLE, each).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(found) >= length, each).otherwise(F.array().cast("array<bigint>"))
 
 
 def least_of(hashes: Column, band: Column) -> Column:
@@ -97,37 +128,44 @@ def miss_chance(size: int, share: float = LEAST) -> float:
 
 
 def _templates(docs: DataFrame, templates: Mapping[str, str]) -> DataFrame:
-    """license, hashes, least (one for each band), size, stride: one row per template."""
+    """license, length (of its shingles), hashes, least (one for each band): one row per template."""
     rows = docs.sparkSession.createDataFrame(sorted(templates.items()), "license string, notice string")
     bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
     rows = rows.select("license", F.explode(F.array(words(F.col("notice")))).alias("words"))
-    rows = rows.select("license", F.explode(F.array(shingles(F.col("words")))).alias("hashes"))
-    found = rows.select("license", F.array_distinct("hashes").alias("hashes"))
-    found = found.where(F.size("hashes") > 0)
+    own = shingles(F.col("words"))
+    for length in range(1, SHINGLE):
+        own = F.when(F.size("words") == length, shingles(F.col("words"), length)).otherwise(own)
+    rows = rows.select("license", F.least(F.size("words"), F.lit(SHINGLE)).alias("length"), F.explode(F.array(own)).alias("hashes"))
+    found = rows.select("license", "length", F.array_distinct("hashes").alias("hashes"))
     return found.withColumn("least", F.transform(bands, lambda b: least_of(F.col("hashes"), b)))
 
 
 def license_matches(
     docs: DataFrame,
-    templates: Mapping[str, str] = TEMPLATES,
+    templates: Mapping[str, str] = NOTICES,
     id_col: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """(id, license, containment, first_word), one row per document and license found in it.
 
     ``containment`` is the best window's share of the template's shingles and ``first_word``
-    where the first such window begins (words counted from 0). Null, empty and short texts
-    have no matches, nor has a template of fewer than SHINGLE words. Rows that repeat an id
+    where the first such window begins (words counted from 0). Null and empty texts have no
+    matches. A template without words cannot be matched and is an error. Rows that repeat an id
     count as one document; other columns play no part; an empty table gives an empty table.
     ``templates`` is a parameter of some hundreds of short texts at most.
     """
     known = _templates(docs, templates).collect()  # one row per template
+    wordless = [row["license"] for row in known if not row["hashes"]]
+    if wordless:
+        raise ValueError(f"templates without words: {wordless}")
     if not known:
         nothing = docs.select(F.col(id_col)).limit(0)
         return nothing.select(id_col, *[F.lit(None).cast(k).alias(n) for n, k in (("license", "string"), ("containment", "double"), ("first_word", "bigint"))])
     # each step is the one row of an explode, so that no later step repeats it
     rows = docs.select(F.col(id_col).alias("id_"), F.explode(F.array(words(F.col(text)))).alias("words_"))
-    rows = rows.select("id_", F.explode(F.array(shingles(F.col("words_")))).alias("hashes_"))
+    lengths = sorted({row["length"] for row in known})
+    runs = F.struct(*[shingles(F.col("words_"), length).alias(f"hashes_{length}") for length in lengths])
+    rows = rows.select("id_", F.explode(F.array(runs)).alias("runs_")).select("id_", "runs_.*")
     # which shingle has the least value under a band, found again by hashing all of them
     spread = docs.sparkSession.createDataFrame(
         [(row["license"], row["hashes"], row["least"]) for row in known],
@@ -142,9 +180,12 @@ def license_matches(
         ).alias("heads"),
     ).collect()
     minima = {row["license"]: row["heads"] for row in heads}
-    every = sorted({value for values in minima.values() for value in values})
-    rows = rows.where(F.arrays_overlap("hashes_", _longs(every)))
-    candidates = [_windows(row["license"], len(row["hashes"]), minima[row["license"]]) for row in known]
+    meets = F.lit(False)
+    for length in lengths:
+        every = sorted({value for row in known if row["length"] == length for value in minima[row["license"]]})
+        meets = meets | F.arrays_overlap(f"hashes_{length}", _longs(every))
+    rows = rows.where(meets)
+    candidates = [_windows(row["license"], row["length"], len(row["hashes"]), minima[row["license"]]) for row in known]
     windows = rows.select("id_", F.explode(F.concat(*candidates)).alias("w")).select("id_", "w.*")
     met = windows.join(F.broadcast(spread), "license").where(
         F.exists(F.transform("least", lambda m, b: least_of(F.col("window"), b) == m), lambda same: same)
@@ -159,12 +200,13 @@ def license_matches(
     )
 
 
-def _windows(name: str, size: int, heads: list[int]) -> Column:
-    """The windows of a template in which one of its least shingles stands."""
+def _windows(name: str, length: int, size: int, heads: list[int]) -> Column:
+    """The windows of a template in which one of its least shingles, ``length`` words each, stands."""
+    hashes = F.col(f"hashes_{length}")
     stride, own = _stride(size), _longs(heads)
     width = size + stride
     at = F.filter(
-        F.sequence(F.lit(0), F.size("hashes_") - 1), lambda i: F.array_contains(own, F.get("hashes_", i))
+        F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: F.array_contains(own, F.get(hashes, i))
     )
 
     def over(i: Column) -> Column:
@@ -175,7 +217,7 @@ def _windows(name: str, size: int, heads: list[int]) -> Column:
         return F.struct(
             F.lit(name).alias("license"),
             (number * stride).cast("bigint").alias("first_word"),
-            F.slice("hashes_", number * stride + 1, F.lit(width)).alias("window"),
+            F.slice(hashes, number * stride + 1, F.lit(width)).alias("window"),
         )
 
     return F.transform(F.array_distinct(F.flatten(F.transform(at, over))), window)
