@@ -66,6 +66,19 @@ def test_bands_reject_what_is_unlike_its_language(make_docs):
     assert sum(clean) >= 0.95 * len(clean)
 
 
+def test_copies_of_a_text_do_not_make_the_band(make_docs):
+    rng = random.Random(3)
+    common = "the house stood by a river people walked along old road water ran under bridge and then home".split()
+    rows = [(i, " ".join(rng.choice(common) for _ in range(90))) for i in range(120)]
+    odd = " ".join("".join(rng.choice("xzqkvj") for _ in range(9)) for _ in range(90))
+    copies = [(500 + i, odd) for i in range(200)]
+    found = fertility.fertility_rules(make_docs([*rows, *copies]).withColumn("lang", F.lit("EN")), PIECES)
+    kept = {r.doc_id: r.kept for r in found.collect() if not r.base_failed}
+    assert not any(kept.get(i) for i, _ in copies)
+    clean = [kept[i] for i, _ in rows if i in kept]
+    assert len(clean) > 100 and sum(clean) >= 0.95 * len(clean)
+
+
 def test_fertility_measures(spark):
     texts = ["the cat and the dog", "ሴስ", ""]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")

@@ -7,7 +7,7 @@ values; listings, shouting, symbol noise and repeated runs do not. Each language
 script, where no language is given) and length class gets a band around its median, as
 wide as the middle of its texts is wide; texts outside any band are rejected.
 
-The bands are counted over all documents. Their number has a fixed bound, as languages are
+The bands are counted over all distinct texts, however many copies a text has. Their number has a fixed bound, as languages are
 codes of two or three letters, scripts are a fixed list and length classes are powers of two.
 """
 
@@ -148,10 +148,12 @@ def length_class(n_words: Column) -> Column:
 def bands(measured: DataFrame) -> DataFrame:
     """Low and high bounds of each measure by band_key and length_class.
 
-    ``measured`` holds those two columns and the measures, one row per text that passed
-    the base rules. At most 18,252 language codes and 8 scripts by 64 length classes.
+    ``measured`` holds those two columns, the measures and text_hash, one row per document that
+    passed the base rules; rows alike in all of these count once. At most 18,252 language codes
+    and 8 scripts by 64 length classes.
     """
-    middle = measured.groupBy("band_key", "length_class").agg(
+    once = measured.select("band_key", "length_class", "text_hash", *MEASURES).distinct()
+    middle = once.groupBy("band_key", "length_class").agg(
         *[
             F.percentile_approx(name, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(name)
             for name in MEASURES
@@ -181,11 +183,17 @@ def measured_rows(
             f"{column}.*",
             band_key(code, F.col(column)["script"]).alias("band_key"),
             length_class(F.col(column)["n_words"]).alias("length_class"),
+            F.xxhash64(F.col(text)).alias("text_hash"),
         ),
     )
     return written_table(found.select(*keep, column), "fertility"), column
 
 
+def fields_of(stored: DataFrame, column: str) -> list[str]:
+    """Names of the fields of a struct column."""
+    return stored.schema[column].dataType.names
+
+
 def judged(
     docs: DataFrame,
     vocabulary: str,
@@ -196,8 +204,8 @@ def judged(
     """All rows and columns of ``docs`` (or columns ``keep``) with a struct; and its column's name.
 
     The struct holds the measures, the reasons (``base_failed`` and one flag per measure
-    outside its band) and ``kept``. Null and empty texts have no words and fail. Rows count
-    as often as they occur; without a language the script's bands hold; other columns of
+    outside its band) and ``kept``. Null and empty texts have no words and fail. Copies of a text
+    count once for the bands and are judged alike; without a language the script's bands hold; other columns of
     any name pass through. An empty table gives an empty table.
     """
     keep = docs.columns if keep is None else keep
@@ -224,7 +232,8 @@ def judged(
     kept = ~fields["base_failed"]
     for out in outside.values():
         kept = kept & ~out
-    verdict = F.struct(f"{column}.*", *[c.alias(n) for n, c in outside.items()], kept.alias("kept"))
+    shown = [fields[name].alias(name) for name in fields_of(stored, column) if name != "text_hash"]
+    verdict = F.struct(*shown, *[c.alias(n) for n, c in outside.items()], kept.alias("kept"))
     return both.select(*keep, verdict.alias(column)), column
 
 
