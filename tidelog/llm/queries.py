@@ -8,12 +8,14 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, kdsearch, licenses, neardup, secrets, weaklabels
+from tidelog.llm import chat, decontam, kdsearch, licenses, neardup, secrets, weaklabels
+from tidelog.llm.alignment import aligned
 from tidelog.llm.bpe import token_digests
 from tidelog.llm.fertility import fertility_rules
 from tidelog.llm.frames import table
 from tidelog.llm.packing import packed
 from tidelog.llm.sharding import sharded
+from tidelog.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +66,20 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return aligned(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontam.hit_counts(decontam.contaminated(docs, benchmark))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 def registered() -> dict[str, Query]:
     found = [
         op1_secret_scans,
@@ -76,6 +92,9 @@ def registered() -> dict[str, Query]:
         op8_exact_top_k,
         op9_sharding,
         op10_best_fit_packing,
+        op11_tokenizer_alignment,
+        op12_benchmark_decontamination,
+        op13_embedding_whitening,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
@@ -84,6 +103,7 @@ def oracle() -> dict[str, str]:
     found = {
         "op5_license_scans": licenses.oracle(),
         "op8_exact_top_k": kdsearch.oracle(every=100, k=10),
+        "op12_benchmark_decontamination": decontam.oracle(),
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: sql for name, sql in found.items() if sql}
