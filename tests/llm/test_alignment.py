@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -88,17 +89,19 @@ def test_alignment_of_long_and_repeated_texts(odd_docs, odd_rows, no_docs):
     assert alignment.aligned(no_docs, A, B).count() == 0
 
 
-def test_what_is_remembered_is_cleared_between_blocks(monkeypatch):
-    import pyarrow as pa
+def test_forgotten_chunks_are_aligned_anew(make_docs, monkeypatch):
+    monkeypatch.setattr(alignment, "KNOWN_BYTES", 0)
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 200)
+    rows = [(i, f"one two{i % 7} three  four\nfive, six {'seven ' * i}") for i in range(60)]
+    assert sorted(map(tuple, alignment.aligned(make_docs(rows), A, B).collect()), key=repr) == brute(rows)[0]
 
-    own = alignment.Aligner(A, B)
-    texts = pa.array(["one two", "two three  four"], pa.large_string())
-    block = alignment._Block(own, 0)
-    first = block.documents(pa.array([1, 2]), texts)
-    own.clear()
-    again = alignment._Block(own, 1)
-    assert again.documents(pa.array([1, 2]), texts)["groups_sha256"] == first["groups_sha256"]
-    assert sum(again.same) == sum(block.same) > 0
+
+def test_times_are_added_beyond_what_one_number_holds():
+    key, times = np.array([5, 3, 5, 1 << 50]), np.array([1, 2, 1 << 40, 3])
+    for top in (3, 4):
+        found = alignment._added(key[:top], np.minimum(times[:top], 9 if top == 3 else 1 << 40))
+        want = ([3, 5], [2, 10]) if top == 3 else ([3, 5, 1 << 50], [2, (1 << 40) + 1, 3])
+        assert (found[0].tolist(), found[1].tolist()) == want
 
 
 def test_identity_map_has_the_same_bytes():

@@ -32,8 +32,8 @@ from tidelog.llm.pieces import forget
 SLICE_BYTES = 1 << 20
 #: A block of documents ends after so many bytes of text.
 BLOCK_BYTES = 16 << 20
-#: What a process remembers of chunks at most, beyond those of the block at work.
-KNOWN_BYTES = 48 << 20
+#: What a process remembers of chunks, beyond those of one slice.
+KNOWN_BYTES = 64 << 20
 #: Pairs that are listed at a time.
 PAIRS = 1 << 20
 
@@ -60,7 +60,7 @@ class Vocabulary:
 
 
 class Aligner:
-    """Aligns chunks, each distinct one once; what it remembers is cleared between blocks.
+    """Aligns chunks, each distinct one once as long as it is remembered.
 
     A chunk's links are kept as references with the number of times each occurs: -1 - a for the
     pair of an id ``a`` of A with the id of B of the same bytes, else the number of a pair.
@@ -94,9 +94,11 @@ class Aligner:
         }
         #: For each id of A the id of B with the same bytes, or -1.
         self.same = np.array([of_bytes.get(token, -1) for token in self.a.tokens], np.int64)
-        self.clear()
+        self.pair: dict[int, int] = {}
+        self.forget()
 
-    def clear(self) -> None:
+    def forget(self) -> None:
+        """Forgets the chunks. The numbers of pairs stay: a block's documents refer to them."""
         self.number: dict[bytes, int] = {}
         self.shown: list[bytes] = []
         self.size = 0
@@ -108,11 +110,10 @@ class Aligner:
         self.refs = np.zeros(4096, np.int64)
         self.times = np.zeros(4096, np.int64)
         self.used = 0
-        self.pair: dict[int, int] = {}
 
     def remembered(self) -> int:
         """About how many bytes."""
-        return self.size + 150 * len(self.number) + 16 * self.used + 120 * len(self.pair)
+        return self.size + 200 * len(self.number) + 16 * self.used
 
     def _ids(self, chunks: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         strings = [chunk.decode() for chunk in chunks]
@@ -294,21 +295,21 @@ def chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, offsets, np.searchsorted(ends, offsets[:-1], "right") - 1
 
 
-#: One row per document (code null), then rows of the block: a chunk's references, a pair, an id of A.
+#: One row per document (kind document), then rows of the block: a pair and its number, an id of A. ``once``
+#: are the references of the document that occur once, ``refs`` and ``times`` the others.
 BLOCK = (
     "block bigint, kind string, id_ {id}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
-    "groups_sha256 string, codes array<int>, times array<bigint>, code bigint, a int, b int, n bigint"
+    "groups_sha256 string, once array<int>, refs array<int>, times array<bigint>, number int, a int, b int, n bigint"
 )
 
 
 class _Block:
-    """Counts of documents of one block, by reference."""
+    """Documents of one block, and by reference how many of them hold it."""
 
     def __init__(self, own: Aligner, number: int):
         self.own, self.number, self.bytes = own, number, 0
         self.same = np.zeros(len(own.same), np.int64)
         self.pairs = np.zeros(1024, np.int64)
-        self.chunks = np.zeros(1024, bool)
 
     def documents(self, ids: pa.Array, texts: pa.Array) -> dict[str, pa.Array]:
         """The rows of the documents of a slice (null texts: empty)."""
@@ -316,8 +317,7 @@ class _Block:
         some = np.flatnonzero(pc.binary_length(texts).to_numpy() > 0)
         counts = np.zeros((n, 4), np.int64)
         digests = [""] * n
-        codes, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        per = np.zeros(n, np.int64)
+        text, refs, times = (np.zeros(0, np.int64) for _ in range(3))
         if len(some):
             led = pc.binary_join_element_wise(PREFIX, texts.take(pa.array(some)), pa.scalar("", pa.large_string()))
             data, offsets, owner = chunks(led)
@@ -333,54 +333,55 @@ class _Block:
             for row, a, b in zip(some.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
                 if b > a:
                     digests[row] = hashlib.sha256(b";".join([shown[c] for c in listed[a:b]])).hexdigest()
-            wide = len(own.number)
-            key, times = np.unique(owner * wide + number, return_counts=True)
-            text, codes = np.divmod(key, wide)
-            per[some] = np.bincount(text, minlength=len(some))
-            self._count(text, codes)
-        lists = np.append(0, np.cumsum(per)).astype(np.int32)
+            text, refs, times = self._references(owner, number)
+            self._count(refs)
+        many = times > 1
+        lists = [np.bincount(some[text[side]], minlength=n) for side in (~many, many)] if len(some) else [np.zeros(n)] * 2
+        once, more = (pa.array(np.append(0, np.cumsum(per)).astype(np.int32)) for per in lists)
         self.bytes += int(pc.sum(pc.binary_length(texts)).as_py() or 0)
         return {
-            "kind": pa.array(["document"] * n),
+            "kind": pa.array(["document"] * n, pa.string()),
             "id_": ids,
             **{name: pa.array(counts[:, k]) for k, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))},
-            "groups_sha256": pa.array(digests),
-            "codes": pa.ListArray.from_arrays(pa.array(lists), pa.array(codes.astype(np.int32))),
-            "times": pa.ListArray.from_arrays(pa.array(lists), pa.array(times)),
+            "groups_sha256": pa.array(digests, pa.string()),
+            "once": pa.ListArray.from_arrays(once, pa.array(refs[~many].astype(np.int32))),
+            "refs": pa.ListArray.from_arrays(more, pa.array(refs[many].astype(np.int32))),
+            "times": pa.ListArray.from_arrays(more, pa.array(times[many])),
         }
 
-    def _count(self, text: np.ndarray, codes: np.ndarray) -> None:
-        """Adds the documents (numbers ``text``) that hold each reference of their chunks."""
+    def _references(self, owner: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, reference, times) of the texts' chunks, equal ones added up, in order."""
+        own = self.own
+        text, chunk = owner, number
+        times = np.ones(len(text), np.int64)
+        if len(text):
+            key, times = np.unique(owner * len(own.number) + number, return_counts=True)
+            text, chunk = np.divmod(key, len(own.number))
+        many = own.many[chunk]
+        at = T.flat_ranges(own.first[chunk], many)
+        wide = len(own.same) + len(own.pair)
+        key = np.repeat(text, many) * wide + own.refs[at] + len(own.same)
+        key, times = _added(key, np.repeat(times, many) * own.times[at])
+        text, ref = np.divmod(key, wide)
+        return text, ref - len(own.same), times
+
+    def _count(self, refs: np.ndarray) -> None:
+        """Adds one document for each of its references."""
         own = self.own
-        self.chunks, self.pairs = _room(self.chunks, len(own.number)), _room(self.pairs, len(own.pair))
-        self.chunks[codes] = True
-        many = own.many[codes]
-        ref = own.refs[T.flat_ranges(own.first[codes], many)] + len(own.same)
-        key = np.sort(np.repeat(text, many) * (len(own.same) + len(own.pair)) + ref)
-        ref = key[np.append(True, key[1:] != key[:-1])[: len(key)]] % (len(own.same) + len(own.pair))
-        count = np.bincount(ref, minlength=len(own.same) + len(own.pair))
+        self.pairs = _room(self.pairs, len(own.pair))
+        count = np.bincount(refs + len(own.same), minlength=len(own.same) + len(own.pair))
         self.same += count[: len(own.same)][::-1]  # reference -1 - a
         self.pairs[: len(own.pair)] += count[len(own.same) :]
 
     def totals(self) -> Iterator[dict[str, pa.Array]]:
-        """The rows of the chunks, the pairs and the ids of A that the block's documents hold."""
+        """The rows of the pairs and the ids of A that the block's documents hold."""
         own = self.own
-        for codes in np.array_split(np.flatnonzero(self.chunks), 1 + int(self.chunks.sum()) // 50_000):
-            many = own.many[codes]
-            at = T.flat_ranges(own.first[codes], many)
-            lists = pa.array(np.append(0, np.cumsum(many)).astype(np.int32))
-            yield {
-                "kind": pa.array(["chunk"] * len(codes), pa.string()),
-                "code": pa.array(codes),
-                "codes": pa.ListArray.from_arrays(lists, pa.array(own.refs[at].astype(np.int32))),
-                "times": pa.ListArray.from_arrays(lists, pa.array(own.times[at])),
-            }
         keys = np.fromiter(own.pair, np.int64, len(own.pair))
         held = np.flatnonzero(self.pairs[: len(keys)])
         a, b = np.divmod(keys[held], len(own.b.tokens))
         yield {
             "kind": pa.array(["pair"] * len(held), pa.string()),
-            "code": pa.array(held),
+            "number": pa.array(held.astype(np.int32)),
             "a": pa.array(a.astype(np.int32)),
             "b": pa.array(b.astype(np.int32)),
             "n": pa.array(self.pairs[held]),
@@ -389,6 +390,20 @@ class _Block:
         yield {"kind": pa.array(["same"] * len(a), pa.string()), "a": pa.array(a.astype(np.int32)), "n": pa.array(self.same[a])}
 
 
+def _added(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of the times of each."""
+    if not len(key):
+        return key, times
+    if key.max() < 1 << 43 and times.max() < 1 << 20:  # one number holds both, and sorts faster
+        both = np.sort(key << 20 | times)
+        key, times = both >> 20, both & ((1 << 20) - 1)
+    else:
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], times[order]
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[heads], np.add.reduceat(times, heads)
+
+
 def blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text: str) -> DataFrame:
     """Documents in blocks, with what each block holds (see BLOCK)."""
     rows = docs.select(F.col(id_col).alias("id_"), F.col(text).alias("text_"))
@@ -404,25 +419,29 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text: str) ->
             ids, all_texts = (batch.column(batch.schema.get_field_index(n)) for n in ("id_", "text_"))
             for at, part in T.slices(T.plain(all_texts), SLICE_BYTES):
                 if block is None:
-                    if own.remembered() > KNOWN_BYTES:
-                        own.clear()
+                    own.pair.clear()
+                    own.forget()
                     block = _Block(own, number)
                     number += 1
+                elif own.remembered() > KNOWN_BYTES:
+                    own.forget()
                 yield _batch(block.documents(ids.slice(at, len(part)), part), block.number, ids.type)
                 if block.bytes >= BLOCK_BYTES:
                     yield from (_batch(found, block.number, ids.type) for found in block.totals())
                     block = None
         if block is not None:
             yield from (_batch(found, block.number, ids.type) for found in block.totals())
+        own.forget()
 
     return rows.mapInArrow(align, schema)
 
 
 def _batch(found: dict[str, pa.Array], block: int, id_type: pa.DataType) -> pa.RecordBatch:
     """A record batch of BLOCK; columns that are not given are null."""
-    longs = ("n_a", "n_b", "n_groups", "n_links", "code", "n")
-    kinds = {"id_": id_type, "groups_sha256": pa.string(), "a": pa.int32(), "b": pa.int32()}
-    kinds |= {name: pa.int64() for name in longs} | {"codes": pa.list_(pa.int32()), "times": pa.list_(pa.int64())}
+    kinds = {"id_": id_type, "groups_sha256": pa.string(), "times": pa.list_(pa.int64())}
+    kinds |= {name: pa.int64() for name in ("n_a", "n_b", "n_groups", "n_links", "n")}
+    kinds |= {name: pa.int32() for name in ("number", "a", "b")}
+    kinds |= {name: pa.list_(pa.int32()) for name in ("once", "refs")}
     n = len(found["kind"])
     names = [part.strip().split(" ")[0] for part in BLOCK.split(",")]
     columns = {"block": pa.array(np.full(n, block, np.int64))} | found
@@ -466,8 +485,8 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     Texts that are null or empty, or whose tokens' bytes are not space and text (a text with
     U+2581), have no tokens: zeros and an empty string. Repeated rows count and are returned as often
     as they occur, rows without id as well; other columns play no part; an empty table gives an
-    empty table. A task holds a block of documents without their texts and its distinct chunks;
-    a single text is held whole, with its distinct linked pairs.
+    empty table. A task holds a block of documents without their texts and what it remembers of
+    chunks; a single text is held whole, with its distinct linked pairs.
     """
     size = len(aligner(a_path, b_path).same)
     stored = written_table(blocks(docs, a_path, b_path, id_col, text), "alignment")
@@ -475,16 +494,13 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     same = _vector(regular, "n", size)
     totals = written_table(pair_counts(stored), "pairs")
     best = np.maximum(same, _vector(totals.groupBy("a").agg(F.max("documents").alias("n")), "n", size))
-    held = stored.where("kind = 'pair'").select(F.col("block").alias("holder"), F.col("code").alias("pair"), "a", "b")
+    held = stored.where("kind = 'pair'").select(F.col("block").alias("holder"), F.col("number").alias("pair"), "a", "b")
     answers = held.join(totals, ["a", "b"]).select("holder", "pair", "documents", "a")
     kind = stored.schema["id_"].dataType.simpleString()
 
-    def weigh(block: pa.Table, known: pa.Table) -> pa.Table:
-        is_doc = pc.equal(block.column("kind"), "document")
-        found = block.filter(is_doc)
-        n_best, count_sum = _weighed(found, block.filter(pc.invert(is_doc)), known, same, best)
-        names = ["id_", "n_a", "n_b", "n_groups", "n_links"]
-        columns = {name: found.column(name) for name in names}
+    def weigh(found: pa.Table, known: pa.Table) -> pa.Table:
+        n_best, count_sum = _weighed(found, known, same, best)
+        columns = {name: found.column(name) for name in ("id_", "n_a", "n_b", "n_groups", "n_links")}
         columns |= {"n_best": pa.array(n_best), "count_sum": pa.array(count_sum)}
         return pa.table(columns | {"groups_sha256": found.column("groups_sha256")})
 
@@ -492,7 +508,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
         f"id_ {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
         "n_best bigint, count_sum bigint, groups_sha256 string"
     )
-    own = stored.where("kind in ('document', 'chunk')").drop("a", "b", "n")
+    own = stored.where("kind = 'document'").drop("kind", "number", "a", "b", "n")
     found = own.groupBy("block").cogroup(answers.groupBy("holder")).applyInArrow(weigh, schema)
     return found.withColumnRenamed("id_", id_col)
 
@@ -505,9 +521,7 @@ def _lists(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     return ends - ends[0], column.flatten().to_numpy().astype(np.int64)
 
 
-def _weighed(
-    found: pa.Table, dictionary: pa.Table, known: pa.Table, same: np.ndarray, best: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
+def _weighed(found: pa.Table, known: pa.Table, same: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links of best pairs and sums of counts of each document of a block."""
     number = known.column("pair").to_numpy()
     width = int(number.max(initial=-1)) + 1
@@ -516,16 +530,11 @@ def _weighed(
     is_best[number] = total[number] == best[known.column("a").to_numpy()]
     # by reference: -1 - a counts from the end
     total, is_best = np.concatenate([total, same[::-1]]), np.concatenate([is_best, (same == best)[::-1]])
-    ends, refs = _lists(dictionary, "codes")
-    _, times = _lists(dictionary, "times")
-    codes = dictionary.column("code").to_numpy()
-    values = np.zeros((int(codes.max(initial=-1)) + 1, 2), np.int64)
-    run = np.zeros((len(refs) + 1, 2), np.int64)
-    run[1:, 0], run[1:, 1] = np.cumsum(times * is_best[refs]), np.cumsum(times * total[refs])
-    values[codes] = run[ends[1:]] - run[ends[:-1]]
-    ends, codes = _lists(found, "codes")
+    once_ends, once = _lists(found, "once")
+    ends, refs = _lists(found, "refs")
     _, times = _lists(found, "times")
-    run = np.zeros((len(codes) + 1, 2), np.int64)
-    run[1:] = np.cumsum(times[:, None] * values[codes], axis=0)
-    sums = run[ends[1:]] - run[ends[:-1]]
-    return sums[:, 0], sums[:, 1]
+    sums = []
+    for value in (is_best, total):
+        run, more = np.append(0, np.cumsum(value[once])), np.append(0, np.cumsum(times * value[refs]))
+        sums.append(run[once_ends[1:]] - run[once_ends[:-1]] + more[ends[1:]] - more[ends[:-1]])
+    return sums[0], sums[1]
