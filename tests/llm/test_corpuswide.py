@@ -90,6 +90,23 @@ def test_one_of_each_class_stays(odd_rows, make_docs):
     assert ids.count(None) == 2
 
 
+def test_repeated_ids_with_other_words_are_kept(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(rng.choice("abcdefgh") * 3 + str(rng.randrange(90)) for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (1, b), (2, c), (0, a + " more"), (1, a), (2, c + "  "), (7, d), (7, d), (3, None), (3, ""), (4, "  ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 keep_id", "2 words_key")
+    kept = sorted((r.doc_id, r.text or "") for r in neardup.one_of_each(docs).collect())
+    assert [i for i, _ in kept] == [0, 1, 2, 3, 3, 4, 7] and (0, a + " more") in kept and (1, b) in kept
+    found = {}
+    for r in neardup.classes(docs).collect():
+        found.setdefault(r.doc_id, set()).add(r.class_id)
+    assert found[0] < found[1] and len(found[1]) == 2 and found[2] == {2} and found[7] == {7}
+    clash = spark.createDataFrame([(1, a), (1, b)], "doc_id bigint, text string")
+    names = {r.class_id for r in neardup.classes(clash).collect()}
+    assert len(names) == 2 and 1 in names and min(names) < 0
+    assert neardup.one_of_each(clash).count() == 2
+
+
 def test_signatures_agree_as_often_as_texts_are_alike():
     rows = near_copies(3, 60, 2)
     texts = [t for _, t in sorted(rows)]
@@ -248,17 +265,20 @@ def test_search_is_that_of_all_pairs(spark, monkeypatch):
     rows += [(1000 + i, rows[7][1]) for i in range(40)]
     rows += [(2000, None), (2100, [0.5, None, 1.0, 1.0]), (2200, [float("nan"), 0.0, 0.0, 0.0]), (2300, [float("inf"), 0.0, 0.0, 0.0])]
     rows += [(None, [1.0, 1.0, 1.0, 1.0]), (3, rows[3][1]), (2400, [0.25, 0.5])]
+    rows += [(5, [9.0, -9.0, 9.0, -9.0]), (5, [-9.0, 9.0, 9.0, 9.0]), (100, [9.0, 9.0, -9.0, 9.0]), (2400, [0.5, 0.5])]
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").selectExpr("*", "1 shard", "2 v")
     found = kdsearch.top_inner_products(vectors, every=100, k=10).collect()
-    known = {
-        i: np.floor(1024 * np.array(v, float)).astype(int)
+    known = [
+        (i, np.floor(1024 * np.array(v, float)).astype(int))
         for i, v in rows
         if i is not None and v is not None and None not in v and np.isfinite(v).all()
-    }
+    ]
     want = []
-    for q in known:
+    for own, (q, asked) in enumerate(known):
         if q % 100 == 0:
-            scores = [(-int(known[q] @ v), c) for c, v in known.items() if c != q and len(v) == len(known[q])]
+            scores = [
+                (-int(asked @ v), c) for row, (c, v) in enumerate(known) if row != own and len(v) == len(asked)
+            ]
             want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(sorted(scores)[:10])]
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == sorted(want)
     assert kdsearch.top_inner_products(vectors.limit(0), every=100, k=10).count() == 0
@@ -267,11 +287,11 @@ def test_search_is_that_of_all_pairs(spark, monkeypatch):
 def test_tree_propagates_a_known_score():
     rng = np.random.default_rng(5)
     points = rng.integers(-50, 50, (3000, 6))
-    tree = kdsearch.Tree.load(kdsearch.Tree.build(np.arange(3000), points).dump())
+    tree = kdsearch.Tree.load(kdsearch.Tree.build(np.arange(3000), np.arange(3000) + 7, points).dump())
     query = rng.integers(-50, 50, 6)
     whole = tree.search(query, -1, 10)
     scores = sorted(((int(p @ query), -i) for i, p in enumerate(points)), reverse=True)[:10]
-    assert whole == [(s, -i) for s, i in scores]
+    assert whole == [(s, -i, 7 - i) for s, i in scores]
     assert tree.search(query, -1, 10, whole[4][0]) == [hit for hit in whole if hit[0] >= whole[4][0]][:10]
 
 

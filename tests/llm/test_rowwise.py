@@ -226,6 +226,32 @@ def test_field_learns_shapes_and_stays_off_clean_text(spark):
     assert not any(i >= 20 for i in spans)
 
 
+def test_copies_neither_crowd_nor_empty_the_sample(spark, monkeypatch):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(300)]
+
+    def prose(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    def secret():
+        return "password=" + "".join(rng.choice("0123456789abcdef") for _ in range(20))
+
+    copied = f"{prose(10)} {secret()}"
+    own = [f"{prose(12)} {secret()} {prose(5)}" for _ in range(30)]
+    long = [f"{prose(3000)} {secret()} {prose(3000)}" for _ in range(5)]
+    chosen = []
+    monkeypatch.setattr(secrets, "fit_field", lambda texts: chosen.extend(texts))
+    rows = [(i, t) for i, t in enumerate([copied] * 20_000 + own + long + [prose(20) for _ in range(40)] + [None, ""])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    secrets.fit(docs)
+    assert chosen.count(copied) == 1 and set(own) <= set(chosen)
+    assert all(len(t) <= secrets.FIT_CHARS for t in chosen)
+    assert sum("password=" in t for t in chosen) == 1 + 30 + 5 and len(chosen) == 1 + 30 + 5 + 40
+    chosen.clear()
+    secrets.fit(docs.where("text is null"))
+    assert chosen == []
+
+
 def test_redaction(make_docs):
     docs = make_docs([*SECRETS, (1, None), (2, "plain")])
     clean = secrets.redact_column(docs, secrets.fit_field([]))

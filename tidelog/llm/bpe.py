@@ -105,7 +105,7 @@ class Coder:
         )
         self.of_two = [self.ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         self.known: dict[str, list[int]] = {}
-        self.pieces = Pieces(self.encode_chunks)
+        self.pieces = Pieces(self.encode_chunks, 72 << 20)
         size = max(self.values, default=-1) + 1
         lengths = np.zeros(size, np.int64)
         by_rank = sorted((rank, token) for token, rank in self.ranks.items())

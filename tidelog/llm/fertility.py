@@ -13,8 +13,6 @@ codes of two or three letters, scripts are a fixed list and length classes are p
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,8 +20,10 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import texts as T
 from tidelog.llm.frames import free_name, written_table
-from tidelog.llm.pieces import Pieces
+from tidelog.llm.pieces import Pieces, held
 
+#: Bytes of texts that are measured at a time.
+SLICE_BYTES = 1 << 20
 #: Fewer words than this fail, as does a larger share of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 20, 0.30
 #: Half width of a band in spreads. A spread is half the distance between the quartiles,
@@ -56,8 +56,11 @@ SCRIPT_OF[0xE3:0xEE] = 6
 SCRIPT_OF[0xEE:0xF5] = 7
 
 
-@lru_cache(maxsize=2)
 def _vocabulary(path: str) -> tuple[Pieces, np.ndarray]:
+    return held(("fertility", path), lambda: _pieces(path))
+
+
+def _pieces(path: str) -> tuple[Pieces, np.ndarray]:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -124,7 +127,7 @@ def measures(text: Column, vocabulary: str) -> Column:
 
     @F.arrow_udf(SCHEMA)
     def measure(values: pa.Array) -> pa.Array:
-        parts = [_measured(part, vocabulary) for _, part in T.slices(T.plain(values))]
+        parts = [_measured(part, vocabulary) for _, part in T.slices(T.plain(values), SLICE_BYTES)]
         columns = [
             pa.array(np.concatenate([p[name] for p in parts]) if parts else [], arrow[kind])
             for name, kind in kinds

@@ -23,22 +23,22 @@ from tidelog.llm.frames import written_table
 SHARD_ROWS, BLOCK_ROWS, LEAF = 8_192, 4_096, 48
 SCALE = 1024
 
-HITS = "array<struct<vec_id bigint, score bigint>>"
-ARROW_HITS = pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.int64())]))
+HITS = "array<struct<vec_id bigint, score bigint, row bigint>>"
+ARROW_HITS = pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.int64()), ("row", pa.int64())]))
 
 
 class Tree:
-    """Points in leaf order, and the nodes of a KD-tree with their boxes."""
+    """Points in leaf order with their ids and row numbers, and the nodes of a KD-tree with their boxes."""
 
-    def __init__(self, ids, points, low, high, start, stop, left, right):
-        self.ids, self.points, self.low, self.high = ids, points, low, high
+    def __init__(self, ids, rows, points, low, high, start, stop, left, right):
+        self.ids, self.rows, self.points, self.low, self.high = ids, rows, points, low, high
         self.start, self.stop, self.left, self.right = start, stop, left, right
         limit = float(np.abs(points).max(initial=0))
         self.limit = limit
 
     @classmethod
-    def build(cls, ids: np.ndarray, points: np.ndarray) -> Tree:
-        order = np.argsort(ids, kind="stable")
+    def build(cls, ids: np.ndarray, rows: np.ndarray, points: np.ndarray) -> Tree:
+        order = np.lexsort((rows, ids))
         nodes: list[list] = []  # start, stop, left, right
 
         def split(start: int, stop: int) -> int:
@@ -59,20 +59,20 @@ class Tree:
         sorted_points = points[order]
         low = np.stack([sorted_points[a:b].min(axis=0) for a, b, _, _ in nodes])
         high = np.stack([sorted_points[a:b].max(axis=0) for a, b, _, _ in nodes])
-        return cls(ids[order], sorted_points, low, high, *table.T)
+        return cls(ids[order], rows[order], sorted_points, low, high, *table.T)
 
     def dump(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, ids=self.ids, points=self.points, low=self.low, high=self.high, start=self.start, stop=self.stop, left=self.left, right=self.right)
+        np.savez(out, ids=self.ids, rows=self.rows, points=self.points, low=self.low, high=self.high, start=self.start, stop=self.stop, left=self.left, right=self.right)
         return out.getvalue()
 
     @classmethod
     def load(cls, data: bytes) -> Tree:
         with np.load(io.BytesIO(data)) as found:
-            return cls(*(found[name] for name in ("ids", "points", "low", "high", "start", "stop", "left", "right")))
+            return cls(*(found[name] for name in ("ids", "rows", "points", "low", "high", "start", "stop", "left", "right")))
 
-    def search(self, query: np.ndarray, own: int, k: int, least: int | None = None) -> list[tuple[int, int]]:
-        """(score, id), best first, ties to the smaller id, of points but ``own``.
+    def search(self, query: np.ndarray, own: int, k: int, least: int | None = None) -> list[tuple[int, int, int]]:
+        """(score, id, row), best first, ties to the smaller id, then row, of points but the row ``own``.
 
         With ``least``, only points of at least this score: the k-th that is known elsewhere.
         """
@@ -84,7 +84,7 @@ class Tree:
         ask = query.astype(kind)
         most = np.maximum(self.low.astype(kind) * ask, self.high.astype(kind) * ask).sum(axis=1).tolist()
         points = self._as(kind)
-        heap: list[tuple[int, int]] = []  # the k best, the least first; ids negative
+        heap: list[tuple[int, int, int]] = []  # the k best, the least first; ids and rows negative
         open_ = [(-most[0], 0)]
         heapify(open_)
         while open_:
@@ -100,15 +100,15 @@ class Tree:
             a, b = self.start[node], self.stop[node]
             scores = points[a:b] @ ask
             for place in (np.flatnonzero(scores >= kth) if kth is not None else range(b - a)):
-                vec = int(self.ids[a + place])
-                if vec == own:
+                row = int(self.rows[a + place])
+                if row == own:
                     continue
-                entry = (int(scores[place]), -vec)
+                entry = (int(scores[place]), -int(self.ids[a + place]), -row)
                 if len(heap) < k:
                     heappush(heap, entry)
                 elif entry > heap[0]:
                     heapreplace(heap, entry)
-        return [(score, -vec) for score, vec in sorted(heap, reverse=True)]
+        return [(score, -vec, -row) for score, vec, row in sorted(heap, reverse=True)]
 
     def _as(self, kind) -> np.ndarray:
         if not hasattr(self, "_cast") or self._cast.dtype != kind:
@@ -122,8 +122,8 @@ def _stack(column: pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(lists), -1)
 
 
-def _hits(found: list[tuple[int, int]]) -> list[dict]:
-    return [{"vec_id": vec, "score": score} for score, vec in found]
+def _hits(found: list[tuple[int, int, int]]) -> list[dict]:
+    return [{"vec_id": vec, "score": score, "row": row} for score, vec, row in found]
 
 
 def top_inner_products(
@@ -132,27 +132,27 @@ def top_inner_products(
     """(query_id, rank, vec_id, score) of rows whose id is divisible by ``every``.
 
     Components x count as floor(1024 * x). Rows without id or vector, or with a null or
-    non-finite component, take no part; nor do vectors of another length meet. Rows that
-    repeat an id are one row, that of the least vector. Other columns play no part; an empty
-    table gives an empty table.
+    non-finite component, take no part; nor do vectors of another length meet. A query meets all
+    rows but itself: each of the rows that repeat an id is a candidate, and a query with ten
+    hits of its own if the id is divisible. Other columns play no part; an empty table gives an
+    empty table.
     """
     whole = F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * SCALE).cast("bigint"))
     fit = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector).isNotNull() & fit)
     points = rows.select(F.col(id_col).cast("bigint").alias("vec_id"), whole.alias("v"))
+    # rows are numbered once and for all in a stored table
+    points = written_table(points.withColumn("row", F.monotonically_increasing_id()), "points")
     points = points.withColumn("size", F.size("v"))
     shards = 1 + points.count() // SHARD_ROWS
-    points = points.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    points = points.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
 
     def build(group: pa.Table) -> pa.Table:
-        group = group.sort_by("vec_id")
-        ids, mine = group.column("vec_id").to_numpy(), _stack(group.column("v"))
-        order = np.lexsort([*mine.T[::-1], ids])
-        keep = order[np.append(True, ids[order][1:] != ids[order][:-1])]
-        ids, mine = ids[keep], mine[keep]
-        tree = Tree.build(ids, mine)
+        ids, numbers = group.column("vec_id").to_numpy(), group.column("row").to_numpy()
+        mine = _stack(group.column("v"))
+        tree = Tree.build(ids, numbers, mine)
         asked = np.flatnonzero(ids % every == 0)
-        found = [tree.search(mine[at], int(ids[at]), k) for at in asked]
+        found = [tree.search(mine[at], int(numbers[at]), k) for at in asked]
         shard, size = group.column("shard")[0].as_py(), group.column("size")[0].as_py()
         n = len(asked)
         return pa.table(
@@ -161,40 +161,45 @@ def top_inner_products(
                 "size": pa.array([size] * (n + 1), pa.int32()),
                 "tree": pa.array([tree.dump(), *[None] * n], pa.binary()),
                 "query_id": pa.array([None, *ids[asked].tolist()], pa.int64()),
+                "query_row": pa.array([None, *numbers[asked].tolist()], pa.int64()),
                 "v": pa.array([None, *mine[asked].tolist()], pa.list_(pa.int64())),
                 "least": pa.array([None, *[f[-1][0] if len(f) == k else None for f in found]], pa.int64()),
                 "hits": pa.array([None, *[_hits(f) for f in found]], ARROW_HITS),
             }
         )
 
-    schema = f"shard int, size int, tree binary, query_id bigint, v array<bigint>, least bigint, hits {HITS}"
+    schema = f"shard int, size int, tree binary, query_id bigint, query_row bigint, v array<bigint>, least bigint, hits {HITS}"
     first = written_table(points.groupBy("size", "shard").applyInArrow(build, schema), "trees")
     queries = first.where("query_id is not null")
     blocks = 1 + queries.count() // BLOCK_ROWS
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_row"), F.lit(blocks)).cast("int"))
     trees = first.where("tree is not null").select(
         "size", "shard", "tree", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     )
     sent = queries.select(
-        "size", F.col("shard").alias("home"), "query_id", "v", "least", "block",
+        "size", F.col("shard").alias("home"), "query_id", "query_row", "v", "least", "block",
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
     ).where("shard != home")
 
     def search(tree_rows: pa.Table, asked: pa.Table) -> pa.Table:
-        ids, hits = [], []
+        ids, numbers, hits = [], [], []
         if tree_rows.num_rows and asked.num_rows:
             tree = Tree.load(tree_rows.column("tree")[0].as_py())
             least = asked.column("least").to_pylist()
-            for query_id, vec, bound in zip(asked.column("query_id").to_pylist(), _stack(asked.column("v")), least, strict=True):
+            keys = zip(asked.column("query_id").to_pylist(), asked.column("query_row").to_pylist(), strict=True)
+            for (query_id, row), vec, bound in zip(keys, _stack(asked.column("v")), least, strict=True):
                 ids.append(query_id)
-                hits.append(_hits(tree.search(vec, query_id, k, bound)))
-        return pa.table({"query_id": pa.array(ids, pa.int64()), "hits": pa.array(hits, ARROW_HITS)})
+                numbers.append(row)
+                hits.append(_hits(tree.search(vec, row, k, bound)))
+        return pa.table({"query_id": pa.array(ids, pa.int64()), "query_row": pa.array(numbers, pa.int64()), "hits": pa.array(hits, ARROW_HITS)})
 
     keys = ("size", "shard", "block")
-    second = trees.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(search, f"query_id bigint, hits {HITS}")
-    both = queries.select("query_id", "hits").unionByName(second)
-    found = both.select("query_id", F.explode("hits").alias("hit")).select("query_id", "hit.vec_id", "hit.score")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    second = trees.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(
+        search, f"query_id bigint, query_row bigint, hits {HITS}"
+    )
+    both = queries.select("query_id", "query_row", "hits").unionByName(second)
+    found = both.select("query_id", "query_row", F.explode("hits").alias("hit")).select("query_id", "query_row", "hit.*")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
@@ -202,15 +207,15 @@ def oracle(every: int, k: int) -> str:
     """The same by comparing all pairs of a query and a row."""
     return f"""
         WITH fit AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT row_number() OVER () AS number, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scores AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
+            SELECT q.number AS query, q.vec_id AS query_id, c.number, c.vec_id,
                    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-            FROM fit q JOIN fit c ON q.vec_id % {every} = 0 AND q.vec_id <> c.vec_id),
+            FROM fit q JOIN fit c ON q.vec_id % {every} = 0 AND q.number <> c.number),
         ranked AS (
-            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id, number) AS INTEGER) AS rank
             FROM scores)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {k}"""

@@ -227,19 +227,23 @@ def _longs(values: list[int]) -> Column:
     return F.array(*[F.lit(value).cast("bigint") for value in values])
 
 
-def oracle(templates: Mapping[str, str] = TEMPLATES) -> str:
+def oracle(templates: Mapping[str, str] = NOTICES) -> str:
     """The matches in SQL: every window of every template, without hashing."""
     notices = ", ".join(f"('{name}', '{notice.replace(chr(39), chr(39) * 2)}')" for name, notice in templates.items())
     split = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
-    runs = "[array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]"
+    runs = "[array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]"
     return f"""
         WITH notices(license, notice) AS (VALUES {notices}),
         t1 AS (SELECT license, {split.format('notice')} AS w FROM notices),
-        t2 AS (SELECT license, list_distinct({runs}) AS want FROM t1 WHERE len(w) >= 5),
-        t AS (SELECT *, len(want) AS size, greatest(1, len(want) // 3) AS stride FROM t2),
+        -- a notice is compared by runs of five words, a shorter one by all its words
+        t2 AS (SELECT license, w, CAST(least(len(w), {SHINGLE}) AS INTEGER) AS k FROM t1),
+        t3 AS (SELECT license, k, list_distinct({runs}) AS want FROM t2),
+        t AS (SELECT *, len(want) AS size, greatest(1, len(want) // 3) AS stride FROM t3),
         d1 AS (SELECT doc_id, {split.format("coalesce(text, '')")} AS w FROM documents),
-        d AS (SELECT doc_id, {runs} AS have FROM d1 WHERE len(w) >= 5),
-        near AS (SELECT * FROM d, t WHERE len(list_intersect(have, want)) >= {LEAST} * size),
+        d AS (
+            SELECT doc_id, k, {runs} AS have
+            FROM d1 JOIN (SELECT DISTINCT k FROM t2) ON len(w) >= k),
+        near AS (SELECT * FROM d JOIN t USING (k) WHERE len(list_intersect(have, want)) >= {LEAST} * size),
         windows AS (
             SELECT doc_id, license, want, size, b * stride AS first_word,
                    have[b * stride + 1:b * stride + size + stride] AS got

@@ -45,10 +45,7 @@ def items(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
     key. A shingle's further occurrences are layers with numbers of their own.
     """
     found = T.words(texts)
-    codes, distinct = T.coded(found.values())
-    hashed = np.fromiter(
-        (xxhash.xxh3_64_intdigest(v) for v in distinct.to_pylist()), np.uint64, len(distinct)
-    )[codes] if len(codes) else np.zeros(0, np.uint64)
+    hashed = _hashed(found)
     count = np.diff(found.first)
     per = np.where(count > 0, np.maximum(count - SHINGLE + 1, 1), 0)
     at = T.flat_ranges(found.first[:-1], per)
@@ -69,12 +66,29 @@ def items(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
         layer[order] = turn
         more = layer > 0
         value[more] = T.mixed(value[more] + T.mixed(layer[more]))
+    return value, np.append(0, np.cumsum(per)), _keys(found, hashed)
+
+
+def _hashed(found: T.Words) -> np.ndarray:
+    """A hash of each word."""
+    codes, distinct = T.coded(found.values())
+    if not len(codes):
+        return np.zeros(0, np.uint64)
+    return np.fromiter((xxhash.xxh3_64_intdigest(v) for v in distinct.to_pylist()), np.uint64, len(distinct))[codes]
+
+
+def _keys(found: T.Words, hashed: np.ndarray) -> list[bytes | None]:
     wire = hashed.astype("<u8")
-    keys = [
+    return [
         hashlib.md5(wire[a:b]).digest() if b > a else None
         for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True)
     ]
-    return value, np.append(0, np.cumsum(per)), keys
+
+
+def keys_of(texts: pa.Array) -> list[bytes | None]:
+    """The key of each text's words, as ``items`` gives it."""
+    found = T.words(texts)
+    return _keys(found, _hashed(found))
 
 
 def signatures(value: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
@@ -140,19 +154,31 @@ def sketched(text: Column, bands: int = BANDS, rows: int = ROWS) -> Column:
 
 
 def layered(text: Column) -> Column:
-    """The layers of ``text`` as an array: distinct numbers."""
+    """A struct of the key of the words of ``text`` and its layers: distinct numbers."""
 
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf("key binary, items array<bigint>")
     def layer(values: pa.Array) -> pa.Array:
-        parts = []
+        all_keys, parts = [], [pa.array([], pa.list_(pa.int64()))]
         for _, part in T.slices(T.plain(values), SLICE_BYTES):
-            value, ends, _ = items(part)
+            value, ends, keys = items(part)
+            all_keys += keys
             parts.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(value.view(np.int64))))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+        return pa.StructArray.from_arrays([pa.array(all_keys, pa.binary()), pa.concat_arrays(parts)], ["key", "items"])
 
     return layer(text)
 
 
+def word_key(text: Column) -> Column:
+    """The key of the words of ``text``; null if there are none."""
+
+    @F.arrow_udf("binary")
+    def keyed(values: pa.Array) -> pa.Array:
+        forget()
+        return pa.array([key for _, part in T.slices(T.plain(values), SLICE_BYTES) for key in keys_of(part)], pa.binary())
+
+    return keyed(text)
+
+
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar enough; b may be in very many pairs."""
     top, bottom = LEAST
@@ -192,26 +218,16 @@ def _rare_pairs(some: DataFrame, members: DataFrame, sets: DataFrame) -> DataFra
     return found.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, class_id), one row per row of ``docs``: the least id among its near-duplicates.
-
-    Texts with equal words are one node. Every node is compared, exactly, with the node of
-    each of its band buckets that meets most others; nodes that this leaves outside of their
-    bucket's component are then compared with all members that can be similar enough. Links
-    join to components.
-
-    Texts without words (null, empty) are alone; rows without id have no class and take part
-    in none. Ids name documents: rows that repeat an id are one document. Texts are taken
-    whole; other columns play no part; an empty table gives an empty table.
-    """
+def _classed(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: (id, key of the words, bands) by row, and (key, class_id) by distinct words."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text"))
     sketches = written_table(
         rows.select("id", sketched(F.col("text")).alias("s")).select("id", "s.*"), "sketches"
     )
     known = sketches.where("id is not null and key is not null")
-    nodes = written_table(
-        known.groupBy("key").agg(F.min("id").alias("node"), F.first("bands").alias("bands")), "nodes"
-    )
+    # ids may repeat with other words, so nodes have numbers of their own
+    nodes = known.groupBy("key").agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
+    nodes = written_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("bucket")).distinct()
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     met = written_table(buckets.join(written_table(sizes, "sizes"), "bucket"), "met")
@@ -222,10 +238,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     met = written_table(met.join(written_table(centers, "centers"), "bucket"), "met")
     stars = met.where("node != center").select(F.col("node").alias("a"), F.col("center").alias("b"))
     stars = written_table(stars.distinct(), "stars")
-    wanted = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))).distinct()
-    sets = written_table(
-        rows.join(written_table(wanted, "wanted"), "id").select("id", layered(F.col("text")).alias("items")), "sets"
-    )
+    wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    wanted = written_table(nodes.select("node", "key", F.col("least").alias("id")).join(wanted, "node"), "wanted")
+    # of the texts of a node's least id, those with the node's words
+    texts = rows.join(wanted.withColumnRenamed("key", "own_key"), "id").select("node", "own_key", layered(F.col("text")).alias("s"))
+    sets = texts.where("s.key = own_key").select(F.col("node").alias("id"), "s.items")
+    if known.count() > known.select("id", "key").distinct().count():
+        sets = sets.groupBy("id").agg(F.first("items").alias("items"))  # rows that repeat id and words
+    sets = written_table(sets, "sets")
     links = written_table(_alike(stars, sets), "alike")
     roots = components(links)
 
@@ -242,16 +262,49 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
         some = apart.select(F.col("node").alias("id")).distinct()
         more = _rare_pairs(written_table(some, "apart"), written_table(members, "open-members"), sets)
         roots = components(links.unionByName(_alike(written_table(more, "rare-pairs"), sets)))
-    named = written_table(rooted(nodes.select("key", "node"), "node", "class_id").select("key", "class_id"), "classes")
+    belongs = written_table(rooted(nodes.select("key", "node", "least"), "node", "class").select("key", "class", "least"), "classes")
+    least = belongs.groupBy("class").agg(F.min("least").alias("least"))
+    turn = F.row_number().over(Window.partitionBy("least").orderBy("class"))
+    # an id names one class; a further class of nothing but taken ids has a negative name
+    names = least.select("class", F.when(turn == 1, F.col("least")).otherwise(-1 - F.col("class")).alias("class_id"))
+    named = belongs.join(written_table(names, "names"), "class").select("key", "class_id")
+    return sketches, written_table(named, "named")
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, class_id), one row per row of ``docs``: the least id among its near-duplicates.
+
+    Texts with equal words are one node. Every node is compared, exactly, with the node of
+    each of its band buckets that meets most others; nodes that this leaves outside of their
+    bucket's component are then compared with all members that can be similar enough. Links
+    join to components.
+
+    Texts without words (null, empty) are alone; rows without id have no class and take part
+    in none. Rows that repeat an id with other words belong to the classes of their words; where two
+    classes have the same least id, one of them has a negative number. Texts are taken whole;
+    other columns play no part; an empty table gives an empty table.
+    """
+    sketches, named = _classed(docs, id_col, text)
     found = sketches.select("id", "key").join(named, "key", "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id"))
     return found.select(F.col("id").alias(id_col), own.alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each class, that of the least id; rows without id stay."""
-    found = classes(docs, id_col, text)
-    keep = free_name(docs, "keep")
-    least = found.select(F.col("class_id").alias(keep)).where(f"{keep} is not null").distinct()
-    kept = docs.join(written_table(least, "kept"), F.col(id_col).cast("bigint") == F.col(keep)).drop(keep)
-    return kept.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one row of each class: of the least id, and of its texts that with the least key.
+
+    Of rows that agree in id and words, any one stays. Rows without id, and texts without words,
+    all stay: they are in no class or alone. An empty table gives an empty table.
+    """
+    sketches, named = _classed(docs, id_col, text)
+    first = F.min(F.struct("id", "key"))
+    known = sketches.where("id is not null").select("id", "key")
+    chosen = known.join(named, "key").groupBy("class_id").agg(first.alias("first"))
+    keep_id, keep_key = free_name(docs, "keep_id"), free_name(docs, "keep_key")
+    chosen = written_table(chosen.select(F.col("first.id").alias(keep_id), F.col("first.key").alias(keep_key)), "kept")
+    words = free_name(docs, "words_key")
+    wordless = ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) | F.col(id_col).isNull()
+    kept = docs.where(~wordless).join(chosen, F.col(id_col).cast("bigint") == F.col(keep_id))
+    kept = kept.withColumn(words, word_key(F.col(text))).where(F.col(words) == F.col(keep_key))
+    kept = kept.dropDuplicates([keep_id, keep_key]).drop(keep_id, keep_key, words)
+    return kept.unionByName(docs.where(wordless))

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +19,11 @@ from pyspark.sql import functions as F
 from tidelog.llm import texts as T
 from tidelog.llm.binpack import pack
 from tidelog.llm.frames import ranked, written_table
-from tidelog.llm.pieces import Pieces
+from tidelog.llm.pieces import Pieces, held
 
 ROOM, SEPARATOR = 2048, 0
+#: Bytes of texts that are encoded at a time.
+SLICE_BYTES = 1 << 20
 #: Rows that one ranking task takes.
 RANK_ROWS = 200_000
 PIECE = "array<struct<piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>>>"
@@ -33,8 +34,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-@lru_cache(maxsize=2)
 def _vocabulary(path: str) -> Pieces:
+    return held(("packing", path), lambda: _pieces(path))
+
+
+def _pieces(path: str) -> Pieces:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -45,7 +49,7 @@ def _vocabulary(path: str) -> Pieces:
         found = model.encode_batch_fast([v.decode() for v in values], add_special_tokens=False)
         return [one.ids for one in found]
 
-    return Pieces(encode, 600_000)
+    return Pieces(encode)
 
 
 def token_ids(texts: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +69,7 @@ def token_ids(texts: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]
     starts[found.start] = True
     starts[cuts] = True
     starts = np.flatnonzero(starts)
-    place = np.append(0, np.cumsum(inside))
+    place = np.append(np.int32(0), np.cumsum(inside, dtype=np.int32))
     offsets = np.append(place[starts], place[-1])
     codes, distinct = T.coded(T.strings(offsets, data[inside]))
     ids, counts = _vocabulary(vocabulary).ids(codes, distinct)
@@ -115,7 +119,7 @@ def cut_pieces(text: Column, vocabulary: str, room: int = ROOM, with_ids: bool =
 
     @F.arrow_udf(PIECE)
     def cut(values: pa.Array) -> pa.Array:
-        parts = [pa.array(_cut(part, vocabulary, room, with_ids), kind) for _, part in T.slices(T.plain(values))]
+        parts = [pa.array(_cut(part, vocabulary, room, with_ids), kind) for _, part in T.slices(T.plain(values), SLICE_BYTES)]
         return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     return cut(text)

@@ -1,34 +1,64 @@
-"""Token ids of many strings, each distinct string encoded once."""
+"""What a worker process keeps: one operator's resources, and the token ids of many strings.
+
+Worker processes serve one operator after another, so what one of them leaves behind would
+add up. A process holds the resources of the operator at work only (see ``held``), and
+remembers strings up to a number of bytes.
+"""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import weakref
-from collections.abc import Callable
+from collections.abc import Callable, Hashable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 
 from tidelog.llm.texts import flat_ranges
 
-
 _ALL: weakref.WeakSet[Pieces] = weakref.WeakSet()
+_HELD: dict[Hashable, Any] = {}
+
+
+def _give_back() -> None:
+    """Hands freed memory back to the machine, as far as the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept until another operator of this process asks for something else."""
+    if key not in _HELD:
+        forget()
+        _HELD[key] = make()
+    return _HELD[key]
 
 
 def forget(but: Pieces | None = None) -> None:
-    """Clears what other operators remember in this process, which serves one after another."""
-    for pieces in _ALL:
-        if pieces is not but and pieces.number:
-            pieces.clear()
+    """Drops what other operators hold and remember in this process."""
+    others = [pieces for pieces in _ALL if pieces is not but and pieces.number]
+    for pieces in others:
+        pieces.clear()
+    if but is None and _HELD:
+        _HELD.clear()
+        others = others or [None]
+    if others:
+        _give_back()
 
 
 class Pieces:
-    """Remembers the ids of strings; beyond ``most`` strings it starts anew.
+    """Remembers the ids of strings; beyond ``most`` bytes it starts anew.
 
     ``encode`` takes a list of distinct byte strings and gives a list of ids for each.
     Memory is bounded by ``most`` and by the distinct strings of one slice.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], most: int = 400_000):
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], most: int = 48 << 20):
         self.encode, self.most = encode, most
         self.clear()
         _ALL.add(self)
@@ -39,6 +69,7 @@ class Pieces:
         self.count = np.zeros(1024, np.int64)
         self.pool = np.zeros(4096, np.int32)
         self.used = 0
+        self.size = 0
 
     def _add(self, values: list[bytes]) -> None:
         found = self.encode(values)
@@ -52,6 +83,7 @@ class Pieces:
         self.count[at : at + len(values)] = counts
         self.pool[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
+        self.size += _bytes(values) + 4 * len(ids)
         self.number.update(zip(values, range(at, at + len(values)), strict=True))
 
     def ids(self, codes: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +93,7 @@ class Pieces:
         at = list(map(self.number.get, values))
         missing = [value for value, known in zip(values, at, strict=True) if known is None]
         if missing:
-            if len(self.number) + len(missing) > self.most:
+            if self.number and self.size + _bytes(missing) > self.most:
                 self.clear()
                 missing = values
             self._add(missing)
@@ -71,6 +103,11 @@ class Pieces:
         return self.pool[flat_ranges(self.start[at][codes], counts)], counts
 
 
+def _bytes(values: list[bytes]) -> int:
+    """About what strings take as keys: their bytes, an object, an entry and two numbers each."""
+    return sum(map(len, values)) + 160 * len(values)
+
+
 def _room(array: np.ndarray, size: int) -> np.ndarray:
     if size <= len(array):
         return array

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import texts as T
 from tidelog.llm.frames import free_name
-from tidelog.llm.pieces import forget
+from tidelog.llm.pieces import held
 
 #: The rules, in the order in which equal starts are listed, the group whose
 #: length counts and the least length.
@@ -44,8 +44,8 @@ HINT = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]
 
 #: Bytes of texts that are scanned at a time.
 SLICE_BYTES = 1 << 20
-#: The fit takes at most so many texts that the hint matches and so many others, none
-#: longer than so many characters.
+#: The fit takes at most so many distinct texts that the hint matches and so many others. Of
+#: longer texts than so many characters it takes that much, around the first hint if there is one.
 FIT_TEXTS, FIT_CHARS = 200, 4_000
 FIT_ROUNDS, FIT_STEP, FIT_DECAY, FIT_LINE = 30, 0.7, 1.0, 64
 
@@ -109,18 +109,13 @@ def _powers(size: int, factor: int) -> np.ndarray:
     return np.multiply.accumulate(run)
 
 
-_POWER: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
 def _word_numbers(found: T.Words) -> np.ndarray:
     """A hashed number for each word, the same for upper and lower case."""
     if not len(found.start):
         return np.zeros(0, np.int64)
     size = 1 << max(20, int(len(found.data)).bit_length())
-    if size not in _POWER:
-        _POWER.clear()
-        _POWER[size] = (_powers(size, FACTOR), _powers(size, pow(FACTOR, -1, 1 << 64)))
-    up, down = _POWER[size]
+    inverse = pow(FACTOR, -1, 1 << 64)
+    up, down = held(("secrets", size), lambda: (_powers(size, FACTOR), _powers(size, inverse)))
     total = np.add.reduceat(LOWER[found.data] * up[: len(found.data)], found.start)
     return (T.mixed(total * down[found.start]) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
@@ -284,17 +279,28 @@ def fit_field(texts: list[str]) -> Field:
 
 
 def fit(docs: DataFrame, text: str = "text") -> Field:
-    """The field fitted on a bounded sample of ``docs``: FIT_TEXTS hinted and as many other texts."""
-    short = docs.select(F.col(text).alias("t")).where(F.length("t").between(1, FIT_CHARS))
-    hinted = F.col("t").rlike(HINT.replace("(?i:", "(?:(?i)"))
-    many, few = short.agg(F.count_if(~hinted), F.count_if(hinted)).first()
+    """The field fitted on a bounded sample of ``docs``: FIT_TEXTS hinted and as many other texts.
+
+    Copies of a text count once, so that they neither crowd the sample nor thin it out. Null and
+    empty texts are not looked at; a table without others gives a field that tags nothing.
+    """
+    hint = HINT.replace("(?i:", "(?:(?i)")
+    rows = docs.select(F.col(text).alias("t")).where(F.length("t") > 0)
+    rows = rows.select("t", F.xxhash64("t").alias("hash"), F.col("t").rlike(hint).alias("hinted"))
+    distinct = F.approx_count_distinct("hash")
+    counts = {row["hinted"]: row["n"] for row in rows.groupBy("hinted").agg(distinct.alias("n")).collect()}
+    room = F.length("t") - FIT_CHARS
+    around = F.regexp_instr("t", F.lit(hint)) - FIT_CHARS // 2
+    first = F.when(F.col("hinted"), around).otherwise(F.pmod("hash", F.greatest(room, F.lit(1))) + 1)
+    first = F.greatest(F.lit(1), F.least(first, room + 1)).cast("int")
+    part = F.when(room > 0, F.substring("t", first, F.lit(FIT_CHARS))).otherwise(F.col("t"))
     chosen = []
-    for side, number in ((hinted, few), (~hinted, many)):
-        # of many texts only those that hash low are sorted, four times as many as are taken
-        top = (1 << 62) // max(1, number // (4 * FIT_TEXTS)) if number else 0
-        low = F.shiftrightunsigned(F.xxhash64("t"), 2) <= top
-        some = short.where(side & low).orderBy(F.xxhash64("t"), "t").limit(FIT_TEXTS)
-        chosen += [row["t"] for row in some.collect()]
+    for side, number in sorted(counts.items(), reverse=True):
+        # of many texts only those that hash low are sorted, some four times as many as are taken
+        top = (1 << 62) // max(1, number // (4 * FIT_TEXTS))
+        low = F.shiftrightunsigned("hash", 2) <= top
+        some = rows.where((F.col("hinted") == side) & low).select("hash", part.alias("part")).distinct()
+        chosen += [row["part"] for row in some.orderBy("hash", "part").limit(FIT_TEXTS).collect()]
     return fit_field(chosen)
 
 
@@ -378,7 +384,6 @@ def redacted(text: Column, field: Field, mark: str = "[SECRET]") -> Column:
 
     @F.arrow_udf("string")
     def redact(values: pa.Array) -> pa.Array:
-        forget()
         out = []
         nulls = values.is_null().to_numpy(zero_copy_only=False)
         for first, part in T.slices(T.plain(values), SLICE_BYTES):

@@ -186,7 +186,7 @@ def lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     offsets = np.zeros(len(start) + 1, np.int64)
     np.cumsum(stop - start, out=offsets[1:])
     codes, _ = coded(strings(offsets, data[data != 10]))
-    run = np.zeros(len(data) + 1, np.int64)
+    run = np.zeros(len(data) + 1, np.int32)  # a text has less than 2**31 bytes
     np.cumsum(~SPACE[data], out=run[1:])
     wordy = run[stop] > run[start]
     return text[wordy], codes[wordy], start[wordy]
