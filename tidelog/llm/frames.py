@@ -8,7 +8,19 @@ from pyspark.sql import functions as F
 from tidelog.session import written_table
 
 
+#: Rows go to Python workers and back in batches of about so many bytes.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4MB"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Sets the size of Arrow batches where the session does not: a batch is otherwise 10,000 texts."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder, to be worked on in bounded batches."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,4 +54,4 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], spread: Column,
     )
 
 
-__all__ = ["free_name", "ranked", "table", "written_table"]
+__all__ = ["bounded_batches", "free_name", "ranked", "table", "written_table"]
