@@ -1,7 +1,7 @@
 import pytest
 
 from tidelog.schema import RATINGS, USERS
-from tidelog.sources.loglines import scan_logs, tail_logs
+from tidelog.sources.loglines import _last_offset, scan_logs, tail_logs
 from tidelog.sources.tables import delimited
 from tidelog.sources.topic import message_sender, read_messages, topic_options
 
@@ -149,6 +149,61 @@ def test_tail_limits_bytes_per_trigger(spark, tmp_path):
     assert [v for _, _, v in rows_of(spark.read.parquet(str(tmp_path / "rows")))] == [f"line {i}" for i in range(100)]
 
 
+def _run_until(query_of, most):
+    """Runs a tail until its batch after ``most`` fails (None: to the end); rows by batch."""
+    left = [most]
+
+    def act(batch, batch_id):
+        if left[0] is not None:
+            left[0] -= 1
+            if left[0] < 0:
+                raise RuntimeError("stopped")
+        batch.write.mode("overwrite").parquet(f"{query_of.rows}/batch_id={batch_id}")
+
+    query = query_of().foreachBatch(act).start()
+    try:
+        query.processAllAvailable()
+    except Exception:
+        assert most is not None
+    query.stop()
+
+
+def test_a_backlog_is_read_in_bounded_batches_after_every_start(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    for name in ("output1.log", "output2.log"):
+        (logs / name).write_text("".join(f"{name} {i}\n" for i in range(250)))
+
+    def start():
+        tail = tail_logs(spark, str(logs), maxBytesPerTrigger=600, checkpointLocation=str(tmp_path / "checkpoint"))
+        return tail.writeStream.option("checkpointLocation", str(tmp_path / "checkpoint"))
+
+    start.rows = str(tmp_path / "rows")
+    for most in (2, 1, 0, None):
+        _run_until(start, most)
+        with open(logs / "output2.log", "a") as f:
+            f.writelines(f"more {most} {i}\n" for i in range(100))
+    _run_until(start, None)
+    rows = spark.read.parquet(start.rows)
+    per_batch = [r["count"] for r in rows.groupBy("batch_id").count().collect()]
+    assert max(per_batch) <= 600 // 13 + 2 + 30 and len(per_batch) >= 12
+    want = [f"{name} {i}" for name in ("output1.log", "output2.log") for i in range(250)]
+    want += [f"more {most} {i}" for most in (2, 1, 0, None) for i in range(100)]
+    assert sorted(r.value for r in rows.collect()) == sorted(want)
+
+
+def test_the_offset_of_a_checkpoint(tmp_path):
+    folder = tmp_path / "offsets"
+    assert _last_offset(str(tmp_path), 0) == {}
+    folder.mkdir()
+    for name, text in (("9", 'v1\n{}\n{"a": 1}'), ("10", 'v1\n{"x": 2}\n{"b": 2}\n-'), (".11.crc", "x"), ("11.tmp", "y")):
+        (folder / name).write_text(text)
+    assert _last_offset(str(tmp_path), 0) == {"b": 2}
+    assert _last_offset(str(tmp_path), 1) == {} and _last_offset(str(tmp_path), 2) is None
+    (folder / "12").write_text("v2\n{}\n{}")
+    assert _last_offset(str(tmp_path), 0) is None
+
+
 def test_delimited(spark, tmp_path):
     (tmp_path / "ratings.tsv").write_text("196\t242\t3\t881250949\n186\t302\t3\t891717742\n")
     (tmp_path / "users.txt").write_text('1|24|M|technician|08544\n2|53|F|other|"9404\n')

@@ -41,7 +41,7 @@ def monitor(
     base = checkpoint.rstrip("/")
     send = message_sender(transport, **target)
     action = publish_action(send, windows, f"{base}-clocks", untimed or f"{base}-untimed", single, day)
-    lines = tail_logs(spark, folder, names, **(source or {}))
+    lines = tail_logs(spark, folder, names, **({"checkpointLocation": checkpoint} | (source or {})))
     return lines.writeStream.foreachBatch(action).option("checkpointLocation", checkpoint)
 
 

@@ -39,6 +39,7 @@ stored AS (
   FROM logs
 )"""
 
+# The dashboard's colour and place of each level.
 _COLORS = "CASE {0} WHEN 'WARN' THEN '#f64740' WHEN 'ERROR' THEN '#c3423f' WHEN 'SEVERE' THEN '#fabc2a' " \
           "WHEN 'WARNING' THEN '#5c80bc' WHEN 'DEBUG' THEN '#1c5253' WHEN 'INFO' THEN '#453643' END"
 _ORDER = "CAST(CASE {0} WHEN 'WARN' THEN 0 WHEN 'ERROR' THEN 1 WHEN 'SEVERE' THEN 2 WHEN 'WARNING' THEN 3 " \
@@ -413,6 +414,9 @@ FROM (SELECT count(*) AS n FROM records),
      (SELECT unnest(['{queries.DAY}', '{queries.OTHER_DAY}']) AS event_date)"""
         ),
         "consolidated_files": _over_logs("SELECT value FROM plain"),
+        "tail_backlog": _over_logs(
+            "SELECT value, count(*) AS times, CAST(3 AS BIGINT) AS runs, true AS bounded FROM plain GROUP BY value"
+        ),
         "tail_restart": _over_logs(
             f"""SELECT timestamp, level AS log_type, message AS log_message,
        CAST('{queries.DAY} ' || timestamp AS TIMESTAMP) AS event_ts

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from tidelog.plans.jobs import consolidate_logs, consume, monitor
 from tidelog.schema import RATINGS
 from tidelog.session import scratch_path
 from tidelog.sinks.tables import upsert_rows
-from tidelog.sources.loglines import scan_logs
+from tidelog.sources.loglines import scan_logs, tail_logs
 from tidelog.sources.tables import delimited, log_table
 from tidelog.sources.topic import read_messages
 from tidelog.streaming.batches import Targets
@@ -574,6 +575,52 @@ def consolidated_files(spark, sf_dir):
     return spark.read.text(f"{base}/all")
 
 
+class _TailRun:
+    """Keeps a run's lines by batch; the batch after ``most`` others fails before it is kept."""
+
+    def __init__(self, path: str, run: int, most: int | None):
+        self.path, self.run, self.left = path, run, most
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.left is not None:
+            self.left -= 1
+            if self.left < 0:
+                raise RuntimeError("this run ends here")
+        rows = batch.select("value", F.lit(self.run).alias("run"))
+        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+
+
+@_query
+def tail_backlog(spark, sf_dir):
+    """A backlog read in bounded batches by three runs of one query, of which two fail in their
+    third batch: how often each line was read, in how many runs, and whether no batch was larger
+    than the limit (and, as lines are read whole, a line of each file)."""
+    base = scratch_path(spark, "backlog")
+    lines = inputs.log_lines(spark, sf_dir).select("value")
+    lines.write.text(f"{base}/logs")
+    size = F.octet_length("value") + 1
+    whole, longest = lines.agg(F.sum(size), F.max(size)).first()
+    limit = max(1, whole // 12)
+    tail = tail_logs(spark, f"{base}/logs", r"^part-.*\.txt$", maxBytesPerTrigger=limit, checkpointLocation=f"{base}/tail")
+    for run, most in enumerate((2, 2, None)):
+        kept = _TailRun(f"{base}/rows", run, most)
+        query = tail.writeStream.foreachBatch(kept).option("checkpointLocation", f"{base}/tail").start()
+        try:
+            query.processAllAvailable()
+        except StreamingQueryException:
+            if most is None:
+                raise
+        query.stop()
+    read = spark.read.parquet(f"{base}/rows")
+    files = spark.read.text(f"{base}/logs").select(F.col("_metadata.file_name").alias("name")).distinct().count()
+    largest = read.groupBy("batch_id").agg(F.sum(size).alias("bytes")).agg(F.max("bytes")).first()[0]
+    found = read.groupBy("value").agg(F.count("*").alias("times"))
+    runs = read.select("run").distinct().count()
+    return found.select(
+        "value", "times", F.lit(runs).alias("runs"), F.lit(largest <= limit + files * longest).alias("bounded")
+    )
+
+
 @_query
 def tail_restart(spark, sf_dir):
     """Files that come between two runs of one monitor: every line once."""

@@ -14,6 +14,7 @@ without any exchange between them.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import time
 from collections.abc import Callable, Iterator
@@ -57,6 +58,8 @@ class _Settings:
     trigger_bytes: int
     max_ranges: int
     last_line_after: float
+    checkpoint: str | None = None
+    source_index: int = 0
 
     @classmethod
     def of(cls, options: dict[str, str]) -> _Settings:
@@ -71,6 +74,8 @@ class _Settings:
             trigger_bytes=size("maxBytesPerTrigger", 0),
             max_ranges=size("maxRanges", 100_000),
             last_line_after=float(options.get("lastLineAfterSeconds", 60)),
+            checkpoint=options.get("checkpointLocation"),
+            source_index=size("sourceIndex", 0),
         )
 
 
@@ -185,6 +190,28 @@ class _LinesReader(DataSourceReader):
         return _read(partition, self.settings.chunk_bytes)
 
 
+def _last_offset(checkpoint: str, source_index: int) -> dict | None:
+    """The newest offset of a source in a query's checkpoint: where the query stands, whether
+    or not its batch was finished, as a batch that was not is run again up to there.
+
+    ``{}`` if the query has no batch yet; None if the offset is not to be read.
+    """
+    system, inner = pafs.FileSystem.from_uri(checkpoint)
+    folder = pafs.FileSelector(f"{inner.rstrip('/')}/offsets", recursive=False, allow_not_found=True)
+    batches = [int(info.base_name) for info in system.get_file_info(folder) if info.base_name.isdigit()]
+    if not batches:
+        return {}
+    with system.open_input_stream(f"{folder.base_dir}/{max(batches)}") as source:
+        version, _, *offsets = source.read().decode().split("\n")
+    if version != "v1" or source_index >= len(offsets):
+        return None
+    try:
+        found = json.loads(offsets[source_index])
+    except ValueError:  # a source without offset yet
+        return {}
+    return found if isinstance(found, dict) else None
+
+
 def _digest(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()[:16]
 
@@ -241,6 +268,7 @@ class _LinesStream(DataSourceStreamReader):
         return 0
 
     def initialOffset(self) -> dict:
+        self.known = {}
         return {}
 
     def latestOffset(self) -> dict:
@@ -248,9 +276,12 @@ class _LinesStream(DataSourceStreamReader):
         with ThreadPoolExecutor(_READERS) as readers:
             heads = readers.map(self._head, infos)
             now = {i.base_name: {"end": i.size, "mark": mark} for i, mark in zip(infos, heads, strict=True)}
-            # Spark asks for the latest offset before it tells where a query stands, so
-            # the first batch after a start takes all that is waiting (as byte ranges
-            # read in parallel, like a batch job), and the limit holds from then on.
+            # Spark asks for the latest offset before it tells where a query stands. A new
+            # query stands at the start; a restarted one is found in its checkpoint. Without
+            # that the first batch after a start takes all that is waiting, as byte ranges read in
+            # parallel, like a batch job.
+            if self.settings.trigger_bytes and self.known is None and self.settings.checkpoint:
+                self.known = _last_offset(self.settings.checkpoint, self.settings.source_index)
             if self.settings.trigger_bytes and self.known is not None:
                 grown = [n for n, e in now.items() if self._from(self.known, n, e) < e["end"]]
                 share = max(1, self.settings.trigger_bytes // max(1, len(grown)))
@@ -292,8 +323,9 @@ class _LinesStream(DataSourceStreamReader):
 
 class LogLines(DataSource):
     """``format("loglines")``; options ``path``, ``fileNameRegex``, ``splitBytes``,
-    ``chunkBytes``, ``maxRanges`` and, for streams, ``maxBytesPerTrigger`` and
-    ``lastLineAfterSeconds``."""
+    ``chunkBytes``, ``maxRanges`` and, for streams, ``maxBytesPerTrigger``,
+    ``lastLineAfterSeconds``, ``checkpointLocation`` (the query's, so that the limit holds from
+    the first batch after a restart) and ``sourceIndex`` (which of the query's sources this is)."""
 
     @classmethod
     def name(cls) -> str:
