@@ -1,13 +1,12 @@
 import random
 
-import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidelog.operators import anchored
-from tidelog.operators.anchored import BucketSweep, StepTable, anchored_windows, window_openings
+from tidelog.operators.anchored import anchored_windows, resumed_windows, window_openings
 from tidelog.operators.windows import chart_series, level_series, tumbling_count
 
 EPOCH = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
@@ -79,11 +78,14 @@ JOINS = {
 }
 
 
-@pytest.mark.parametrize("fan, join", [(2, "broadcast"), (3, "sorted"), (64, "sorted"), (4, "skewed")])
-@pytest.mark.parametrize("minutes", [0.05, 1, 30])
-def test_many_buckets_keys_and_a_hot_key(spark, monkeypatch, fan, join, minutes):
-    monkeypatch.setattr(anchored, "FAN", fan)
-    rng = random.Random(fan)
+@pytest.mark.parametrize(
+    "stream, join, minutes",
+    [(1 << 20, "sorted", 1), (1 << 20, "skewed", 0.05), (200, "broadcast", 1), (60, "skewed", 30), (0, "sorted", 30)],
+)
+def test_few_and_many_times_keys_and_a_hot_key(spark, monkeypatch, stream, join, minutes):
+    monkeypatch.setattr(anchored, "STREAM_ROWS", stream)
+    monkeypatch.setattr(anchored, "SLICE_ROWS", 150)
+    rng = random.Random(stream)
     keys = [rng.choice("aaaabcd") for _ in range(1500)]
     # Gaps, a crowded minute and repeated times.
     seconds = [
@@ -107,37 +109,50 @@ def test_many_buckets_keys_and_a_hot_key(spark, monkeypatch, fan, join, minutes)
             assert [w for _, w in mine] == fold([t for t, _ in mine], length)
 
 
-times_strategy = st.lists(st.integers(0, 400), min_size=1, max_size=80, unique=True).map(sorted)
-
-
-@settings(max_examples=300, deadline=None)
-@given(times_strategy, st.integers(1, 40), st.integers(1, 7), st.integers(1, 5))
-def test_step_tables_follow_the_chain(times, length, fan, batch):
-    """Composed bucket tables take any incoming end to where the plain chain goes."""
-    arr = np.array(times, dtype=np.int64)
-    width = fan * length
-    total = StepTable.empty()
-    for bucket in sorted({t // width for t in times}):
-        part = arr[arr // width == bucket]
-        sweep = BucketSweep(bucket * width + length, length)
-        for i in range(0, len(part), batch):
-            sweep.feed(part[i : i + batch])
-        total = total.then(sweep.finish())
-    start = (times[0] // width) * width
-    for until in range(start - 1, start + length):
-        expect, opened = until, 0
-        for t in times:
-            if t > expect:
-                expect, opened = t + length, opened + 1
-        end, count = total.apply(np.array([until]))
-        assert (end[0], count[0]) == (expect, opened)
-
-
-def test_shuffles_are_shared(spark):
-    plan = window_openings(at_seconds(spark, [0, 1, 2]))
-    plan.collect()
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in text
+def follower(times, length):
+    return [next((u for u in times if u > t + length), None) for t in times]
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(-300, 300), min_size=1, max_size=80, unique=True).map(sorted), st.integers(1, 60))
+def test_slices_give_every_time_its_follower(spark, monkeypatch, times, length):
+    monkeypatch.setattr(anchored, "SLICE_ROWS", 9)
+    df = spark.createDataFrame([("a", t) for t in times] + [("b", times[0])], "k string, us bigint")
+    found = {(r.k, r.us): r.nxt for r in anchored._followers(df, length).collect()}
+    want = {("a", t): u for t, u in zip(times, follower(times, length), strict=True)}
+    assert found == want | {("b", times[0]): None}
+
+
+def test_one_crowded_hour_is_many_slices_of_like_size(spark, monkeypatch):
+    """All times within a third of one window: no task has more than a few of them."""
+    monkeypatch.setattr(anchored, "SLICE_ROWS", 1000)
+    stored = {}
+    write = anchored.written_table
+
+    def seen(df, label):
+        stored[label] = write(df, label)
+        return stored[label]
+
+    monkeypatch.setattr(anchored, "written_table", seen)
+    df = spark.range(20_000).select(F.lit("a").alias("k"), (F.col("id") * 180_000).alias("us"))
+    assert anchored._followers(df, 180 * anchored.MINUTE).where("nxt is not null").count() == 0
+    sizes = [r["count"] for r in stored["time-slices"].groupBy("_slice").count().collect()]
+    assert len(sizes) >= 35 and max(sizes) <= 2_500
+
+
+def test_many_times_go_on_from_an_open_window(spark, monkeypatch):
+    rng = random.Random(5)
+    seconds = sorted(rng.choice([rng.uniform(0, 600), rng.uniform(0, 9000)]) for _ in range(600))
+    df = at_seconds(spark, seconds, k=["a"] * 600)
+    whole = {r.n: r.window_idx for r in anchored_windows(df, keys=("k",)).collect()}
+    monkeypatch.setattr(anchored, "STREAM_ROWS", 10)
+    monkeypatch.setattr(anchored, "SLICE_ROWS", 50)
+    carried = spark.createDataFrame([], anchored.CARRIED)
+    found = {}
+    for part in (df.where("n < 250"), df.where("n >= 250")):
+        rows, carried = resumed_windows(part, carried, keys=("k",))
+        found |= {r.n: r.window_idx for r in rows.collect()}
+    assert found == whole
 
 
 def test_level_series_is_dense(spark):

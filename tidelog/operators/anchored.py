@@ -5,18 +5,21 @@ its end belong to it; the first event after the end opens the next window, at it
 own time. Each opening depends on the one before, so this is a chain, and neither
 ``window()`` nor ``session_window()`` can express it.
 
-The chain is cut so that no task holds a whole key:
-
-1. Distinct times are put in buckets of ``FAN`` window lengths. A window end that
-   reaches a bucket from outside lies less than one window length inside it, so
-   few of the bucket's events can be the first to open a window there. For each
-   of those, one sorted pass finds the end of the last window opened in the bucket
-   and how many were opened. Times stream through the pass; it keeps no more than
-   about two window lengths of them.
-2. The step tables of ``FAN`` neighbouring buckets are composed to one table, and
-   per key these are walked in order, which needs one lookup per table.
-3. The walk's results go back down to the buckets. Each bucket, now knowing the
-   window end it starts from, emits its real openings.
+A key of few distinct times is one streamed pass over them in order. A key of many
+is cut by its data, not by its clock:
+
+1. Distinct times, and the window end each would have as an opening, are put in
+   slices of equal size, however crowded an hour is. Inside a slice a running value
+   gives every end the first time after it; ends past a slice's last time take the
+   next slice's first one. So every time knows its follower.
+2. Cells of one window length hold one opening at most. Neighbouring cells are joined
+   to blocks of 2, 4, 8 ... cells. A window reaches a block from outside in its first
+   cell or opens at its first time, so only these times matter there: the tables
+   "time -> first opening beyond the block, openings until then" halve from level to
+   level, and each comes from the one before by one equality join.
+3. Where few times are left, one streamed pass follows the chain over whole blocks. On
+   the way back each level tells the opening in the second half of every block that was
+   entered in its first half, down to the cells.
 4. Two openings are more than a window length apart, so a time cell of that length
    holds at most one, and rows of a cell belong either to it or to the window that
    reaches in from the cell before. Rows find their window by an equality join on
@@ -31,17 +34,18 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidelog.functions.clock import floor_div, from_micros, micros
 from tidelog.session import written_table
 
-# Window lengths per bucket, and buckets per composed table.
-FAN = 64
+# Distinct times of a key that one task streams through, and rows of a slice of larger keys.
+STREAM_ROWS = 1 << 20
+SLICE_ROWS = 1 << 20
 
 MINUTE = 60_000_000
-_BEFORE_ALL = int(np.iinfo(np.int64).min)
+_BEFORE_ALL, _AFTER_ALL = int(np.iinfo(np.int64).min), int(np.iinfo(np.int64).max)
 _FLUSH_ROWS = 1 << 16
 
 Batches = Iterator[pa.RecordBatch]
@@ -87,192 +91,53 @@ def _columns(k: str, rows: int, **columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=["k", *columns])
 
 
-class StepTable:
-    """Sorted steps ``anchor -> (end, opened)``: a window end ``u`` coming in from
-    outside uses the first step whose anchor is later than ``u``; past the last
-    step nothing is opened and ``u`` stays."""
-
-    def __init__(self, anchor: np.ndarray, end: np.ndarray, opened: np.ndarray):
-        self.anchor, self.end, self.opened = anchor, end, opened
-
-    @classmethod
-    def empty(cls) -> StepTable:
-        none = np.empty(0, dtype=np.int64)
-        return cls(none, none, none)
-
-    def merged(self) -> StepTable:
-        """Neighbouring steps with equal outcome become one, at the last anchor."""
-        if len(self.anchor) < 2:
-            return self
-        differs = (self.end[1:] != self.end[:-1]) | (self.opened[1:] != self.opened[:-1])
-        kept = np.append(np.flatnonzero(differs), len(self.anchor) - 1)
-        return StepTable(self.anchor[kept], self.end[kept], self.opened[kept])
-
-    def apply(self, until: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.anchor, until, side="right")
-        inside = at < len(self.anchor)
-        safe = np.minimum(at, len(self.anchor) - 1)
-        return np.where(inside, self.end[safe], until), np.where(inside, self.opened[safe], 0)
-
-    def then(self, later: StepTable) -> StepTable:
-        """This table followed by that of a later bucket."""
-        if not len(self.anchor):
-            return later
-        end, opened = later.apply(self.end)
-        # An end that leaves this table unchanged lies before the later bucket,
-        # so only that bucket's first step can serve it.
-        return StepTable(
-            np.append(self.anchor, later.anchor[:1]),
-            np.append(end, later.end[:1]),
-            np.append(self.opened + opened, later.opened[:1]),
-        ).merged()
-
-    def batch(self, k: str, **member: int) -> pa.RecordBatch:
-        return _columns(k, len(self.anchor), **member, anchor=self.anchor, until=self.end, opened=self.opened)
-
-
-class BucketSweep:
-    """Streams the sorted distinct times of one bucket and yields its step table.
-
-    All possible openings start a chain. Chains advance in rounds, one window per
-    round, and stay in order: no end of a round lies past the first end of the
-    next. So the ends wait in one queue, each chunk of times serves its front, and
-    no time is kept. Chains that reach the same event go on as one.
-    """
-
-    def __init__(self, first_limit: int, length: int):
-        self.limit, self.length = first_limit, length
-        self.entering: list[np.ndarray] | None = []
-        # Per possible opening: its time, its chain in ``live``, windows opened.
-        self.anchor = self.slot = self.opened = None
-        # Ends of this round's chains, how many advanced, and where they went.
-        self.live, self.served, self.moved = None, 0, []
-
-    def feed(self, times: np.ndarray) -> None:
-        if self.entering is not None:
-            # The first time at or past the limit is still a possible opening.
-            stop = int(np.searchsorted(times, self.limit, side="left")) + 1
-            self.entering.append(times[:stop])
-            if stop > len(times):
-                return
-            self._enter()
-        while True:
-            waiting = self.live[self.served :]
-            ready = waiting[: np.searchsorted(waiting, times[-1], side="left")]
-            if not len(ready):
-                return
-            self.moved.append(times[np.searchsorted(times, ready, side="right")] + self.length)
-            self.served += len(ready)
-            if self.served < len(self.live):
-                return
-            self._next_round()
-
-    def _enter(self) -> None:
-        self.anchor = np.concatenate(self.entering)
-        self.entering = None
-        self.live = self.anchor + self.length
-        self.slot = np.arange(len(self.anchor), dtype=np.int32)
-        self.opened = np.ones(len(self.anchor), dtype=np.int32)
-
-    def _next_round(self) -> None:
-        ends = np.concatenate(self.moved)
-        fresh = np.append(True, ends[1:] != ends[:-1])
-        self.live, self.served, self.moved = ends[fresh], 0, []
-        self.slot = (np.cumsum(fresh, dtype=np.int32) - 1)[self.slot]
-        self.opened += 1
-        differs = (self.slot[1:] != self.slot[:-1]) | (self.opened[1:] != self.opened[:-1])
-        kept = np.append(np.flatnonzero(differs), len(self.slot) - 1)
-        self.anchor, self.slot, self.opened = self.anchor[kept], self.slot[kept], self.opened[kept]
-
-    def finish(self) -> StepTable:
-        if self.entering is not None:
-            self._enter()
-        ends = np.concatenate([*self.moved, self.live[self.served :]])
-        opened = self.opened.astype(np.int64) + (self.slot < self.served)
-        return StepTable(self.anchor, ends[self.slot], opened).merged()
-
-
-def _sweep(length: int):
-    """Rows sorted by (k, bucket, us) to the step table of each bucket."""
-
-    def tables(batches: Batches) -> Batches:
-        pieces = _pieces(batches, ["k", "bucket"], ["us"])
-        for (k, bucket), parts in groupby(pieces, key=lambda p: p[0]):
-            state = BucketSweep((bucket * FAN + 1) * length, length)
-            for _, (times,) in parts:
-                state.feed(times)
-            yield state.finish().batch(k, bucket=bucket)
-
-    return lambda batches: _packed(tables(batches))
-
-
-_STEPS = ["anchor", "until", "opened"]
-
-
-def _compose(batches: Batches) -> Batches:
-    """Rows sorted by (k, super, bucket, anchor) to one step table per super."""
-
-    def tables() -> Batches:
-        pieces = _pieces(batches, ["k", "super", "bucket"], _STEPS)
-        for (k, sup), members in groupby(pieces, key=lambda p: p[0][:2]):
-            total = StepTable.empty()
-            for _, parts in groupby(members, key=lambda p: p[0]):
-                columns = zip(*[arrays for _, arrays in parts])
-                total = total.then(StepTable(*[np.concatenate(c) for c in columns]))
-            yield total.batch(k, super=sup)
-
-    return _packed(tables())
-
-
-def _walk(batches: Batches) -> Batches:
-    """Rows sorted by (k, span, member, anchor), each with the state that enters
-    its span, to the state that enters every member."""
-
-    def states() -> Batches:
-        pieces = _pieces(batches, ["k", "span", "member"], [*_STEPS, "in_until", "in_idx"])
-        for (k, _), members in groupby(pieces, key=lambda p: p[0][:2]):
-            until = idx = None
-            seen = []
-            for (_, _, member), parts in groupby(members, key=lambda p: p[0]):
-                step = None
-                for _, (anchor, end, opened, in_until, in_idx) in parts:
-                    if until is None:
-                        until, idx = int(in_until[0]), int(in_idx[0])
-                    at = int(np.searchsorted(anchor, until, side="right"))
-                    if step is None and at < len(anchor):
-                        step = int(end[at]), int(opened[at])
-                seen.append((member, until, idx))
-                if step:
-                    until, idx = step[0], idx + step[1]
-            member, in_until, in_idx = zip(*seen)
-            yield _columns(k, len(seen), member=member, in_until=in_until, in_idx=in_idx)
-
-    return _packed(states())
-
-
 def _openings(length: int):
-    """Rows sorted by (k, bucket, us), each with the state that enters its bucket,
-    to the real openings."""
+    """Rows sorted by (k, us), each with the state that enters its key, to the openings."""
 
     def found(batches: Batches) -> Batches:
-        pieces = _pieces(batches, ["k", "bucket"], ["us", "in_until", "in_idx"])
-        for (k, _), parts in groupby(pieces, key=lambda p: p[0]):
-            until = first = None
-            opened = []
+        pieces = _pieces(batches, ["k"], ["us", "in_until", "in_idx"])
+        for (k,), parts in groupby(pieces, key=lambda p: p[0]):
+            until = idx = None
             for _, (times, in_until, in_idx) in parts:
                 if until is None:
-                    until, first = int(in_until[0]), int(in_idx[0])
+                    until, idx = int(in_until[0]), int(in_idx[0])
+                opened = []
                 at = int(np.searchsorted(times, until, side="right"))
                 while at < len(times):
                     opened.append(int(times[at]))
                     until = opened[-1] + length
                     at = int(np.searchsorted(times, until, side="right"))
-            if opened:
-                yield _columns(k, len(opened), window_idx=first + np.arange(len(opened)), us=opened)
+                if opened:
+                    yield _columns(k, len(opened), window_idx=idx + np.arange(len(opened)), us=opened)
+                    idx += len(opened)
 
     return lambda batches: _packed(found(batches))
 
 
+def _followed(batches: Batches) -> Batches:
+    """Rows sorted by (k, us), each with its follower, the openings until there and the
+    number its key starts with, to the rows on the way from each key's first row."""
+
+    def found() -> Batches:
+        pieces = _pieces(batches, ["k"], ["us", "nxt", "steps", "in_idx"])
+        for (k,), parts in groupby(pieces, key=lambda p: p[0]):
+            goal = idx = None
+            for _, (us, nxt, steps, in_idx) in parts:
+                if goal is None:
+                    goal, idx = int(us[0]), int(in_idx[0])
+                met = []
+                at = int(np.searchsorted(us, goal))
+                while at < len(us) and us[at] == goal:
+                    met.append((idx, goal))
+                    goal, idx = int(nxt[at]), idx + int(steps[at])
+                    at = int(np.searchsorted(us, goal))
+                if met:
+                    numbers, starts = zip(*met)
+                    yield _columns(k, len(met), window_idx=numbers, us=starts)
+
+    return _packed(found())
+
+
 def _key(keys: Sequence[str]) -> Column:
     return F.to_json(F.struct(*keys)) if keys else F.lit("")
 
@@ -284,6 +149,9 @@ def _length(minutes: float) -> int:
     return length
 
 
+_OPENINGS = "k string, window_idx bigint, us bigint"
+
+
 def window_openings(
     df: DataFrame,
     ts: str = "event_ts",
@@ -295,62 +163,100 @@ def window_openings(
 
     ``carried`` (``k, start, idx``) gives the window a key has open already; rows
     up to its end must have been taken out before.
-
-    The two left joins keep their left side as it is partitioned (every bucket and
-    super has exactly one entering state), and as they add no filter to it, both
-    uses of ``placed`` and of ``tables`` share one shuffle.
     """
     length = _length(minutes)
-    # Buckets, and the groups of buckets, follow each other in time, so sorting by
-    # key and time also puts them in order.
-    # A single chain has no key column until rows go to Python: the optimizer would
-    # drop a constant from some partitionings and joins only, and shuffles that
-    # should match or be shared would differ.
-    on = ["k"] if keys else []
-    k = F.col("k") if keys else F.lit("").alias("k")
-    times = df.where(F.col(ts).isNotNull()).select(
-        *[_key(keys).alias(name) for name in on], micros(df, ts).alias("us")
-    )
-    bucketed = times.distinct().withColumn("bucket", floor_div(F.col("us"), FAN * length))
-    placed = bucketed.repartition(*on, "bucket")
-    tables = (
-        placed.sortWithinPartitions(*on, "us")
-        .select(k, "bucket", "us")
-        .mapInArrow(_sweep(length), "k string, bucket bigint, anchor bigint, until bigint, opened bigint")
-        .select(*on, "bucket", *_STEPS, floor_div(F.col("bucket"), FAN).alias("super"))
-        .repartition(*on, "super")
-    )
-    supers = (
-        tables.sortWithinPartitions(*on, "anchor")
-        .select(k, "super", "bucket", *_STEPS)
-        .mapInArrow(_compose, "k string, super bigint, anchor bigint, until bigint, opened bigint")
-    )
-    state = "k string, member bigint, in_until bigint, in_idx bigint"
-    entering = supers.select("k", F.lit(0).alias("span"), F.col("super").alias("member"), *_STEPS)
+    times = df.where(F.col(ts).isNotNull()).select(_key(keys).alias("k"), micros(df, ts).alias("us"))
+    times = written_table(times.distinct(), "times")
+    if carried is not None:
+        carried = carried.select("k", (F.col("start") + length).alias("in_until"), (F.col("idx") + 1).alias("in_idx"))
+    if times.count() <= STREAM_ROWS:
+        return _streamed(times, length, carried)
+    crowded = times.groupBy("k").count().where(F.col("count") > STREAM_ROWS).select("k")
+    crowded = written_table(crowded, "crowded-keys")
+    if not crowded.limit(1).count():
+        return _streamed(times, length, carried)
+    few = _streamed(times.join(crowded, "k", "left_anti"), length, carried)
+    return few.unionByName(_doubled(times.join(crowded, "k", "left_semi"), length, carried))
+
+
+def _entered(rows: DataFrame, carried: DataFrame | None) -> DataFrame:
+    """Rows with the end and the next number that their key comes with."""
+    none = {"in_until": _BEFORE_ALL, "in_idx": 0}
     if carried is None:
-        entering = entering.withColumn("in_until", F.lit(_BEFORE_ALL)).withColumn("in_idx", F.lit(0).cast("bigint"))
-    else:
-        ends = carried.select("k", (F.col("start") + length).alias("in_until"), (F.col("idx") + 1).alias("in_idx"))
-        entering = entering.join(ends, "k", "left").fillna({"in_until": _BEFORE_ALL, "in_idx": 0})
-    into_supers = (
-        entering.repartition("k")
-        .sortWithinPartitions("k", "anchor")
-        .mapInArrow(_walk, state)
-        .select(*on, F.col("member").alias("super"), "in_until", "in_idx")
-    )
-    into_buckets = (
-        tables.join(into_supers, [*on, "super"], "left")
-        .select(k, F.col("super").alias("span"), F.col("bucket").alias("member"), *_STEPS, "in_until", "in_idx")
-        .sortWithinPartitions(*on, "anchor")
-        .mapInArrow(_walk, state)
-        .select(*on, F.col("member").alias("bucket"), "in_until", "in_idx")
-    )
-    return (
-        placed.join(into_buckets, [*on, "bucket"], "left")
-        .select(k, "bucket", "us", "in_until", "in_idx")
-        .sortWithinPartitions(*on, "us")
-        .mapInArrow(_openings(length), "k string, window_idx bigint, us bigint")
-    )
+        return rows.select("*", *[F.lit(v).cast("bigint").alias(n) for n, v in none.items()])
+    return rows.join(carried, "k", "left").fillna(none)
+
+
+def _streamed(times: DataFrame, length: int, carried: DataFrame | None) -> DataFrame:
+    rows = _entered(times, carried).select("k", "us", "in_until", "in_idx")
+    return rows.repartition("k").sortWithinPartitions("k", "us").mapInArrow(_openings(length), _OPENINGS)
+
+
+def _followers(times: DataFrame, length: int) -> DataFrame:
+    """``(k, us, nxt)``: every time with the first one after the window it would open."""
+    data = times.select("k", F.col("us").alias("at"), F.lit(0).alias("ask"))
+    asks = times.select("k", (F.col("us") + length).alias("at"), F.lit(1).alias("ask"))
+    slices = 1 + 2 * times.count() // SLICE_ROWS
+    cut = data.unionByName(asks).repartitionByRange(slices, "k", "at", "ask")
+    cut = written_table(cut.withColumn("_slice", F.spark_partition_id()), "time-slices")
+    time = F.when(F.col("ask") == 0, F.col("at"))
+
+    def later(value: Column, window: WindowSpec) -> Column:
+        """The nearest value among later rows: the window runs backwards."""
+        return F.last(value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
+
+    edges = cut.groupBy("k", "_slice").agg(F.min(time).alias("_head"))
+    backwards = Window.partitionBy("k").orderBy(F.desc("_slice"))
+    edges = edges.select("k", "_slice", later(F.col("_head"), backwards).alias("_after"))
+    # of a time and a window end that are equal, the end comes last: the time is in the window
+    inside = Window.partitionBy("k", "_slice").orderBy(F.desc("at"), F.desc("ask"))
+    found = cut.withColumn("_in", later(time, inside)).where("ask = 1").join(edges, ["k", "_slice"])
+    return found.select("k", (F.col("at") - length).alias("us"), F.coalesce("_in", "_after").alias("nxt"))
+
+
+def _doubled(times: DataFrame, length: int, carried: DataFrame | None) -> DataFrame:
+    """Openings of keys with very many times."""
+    times = written_table(times, "crowded-times")
+    origin = written_table(times.groupBy("k").agg(F.min("us").alias("_first")), "first-times")
+    rows = _followers(times, length).join(origin, "k")
+    cells = [floor_div(F.col(of) - F.col("_first"), length).alias(name) for of, name in (("us", "cell"), ("nxt", "ncell"))]
+    one = F.lit(1).cast("bigint").alias("steps")
+    levels = [written_table(rows.select("k", "us", "nxt", *cells, one), "followers")]
+
+    def block(cell: str, level: int) -> Column:
+        return F.shiftright(cell, level)
+
+    def goes(level: int) -> Column:
+        """Whether a row in the first half of its block has its follower in the second."""
+        return (block("cell", level) % 2 == 0) & (block("ncell", level) == block("cell", level) + 1)
+
+    last_cell = levels[0].agg(F.max("cell")).first()[0]
+    while last_cell >> (len(levels) - 1):
+        level, rows = len(levels) - 1, levels[-1]
+        if rows.groupBy("k").count().agg(F.max("count")).first()[0] <= STREAM_ROWS:
+            break
+        second = block("cell", level) % 2 == 1
+        heads = rows.where(second).groupBy("k", block("cell", level).alias("_block"))
+        heads = heads.agg(F.min(F.struct("us", "nxt", "cell", "ncell", "steps")).alias("_r")).select("k", "_r.*")
+        kept = rows.where(~second).unionByName(heads)
+        beyond = rows.where(second).select(
+            "k", F.col("us").alias("nxt"), F.col("nxt").alias("_nxt"), F.col("ncell").alias("_ncell"), F.col("steps").alias("_steps")
+        )
+        jumped = kept.where(goes(level)).join(beyond, ["k", "nxt"])
+        jumped = jumped.select(
+            "k", "us", F.col("_nxt").alias("nxt"), "cell", F.col("_ncell").alias("ncell"), (F.col("steps") + F.col("_steps")).alias("steps")
+        )
+        stays = kept.where(~F.coalesce(goes(level), F.lit(False)))
+        levels.append(written_table(stays.unionByName(jumped), "followers"))
+
+    top = _entered(levels.pop(), carried).withColumn("nxt", F.coalesce("nxt", F.lit(_AFTER_ALL)))
+    top = top.select("k", "us", "nxt", "steps", "in_idx").repartition("k").sortWithinPartitions("k", "us")
+    entries = written_table(top.mapInArrow(_followed, _OPENINGS), "entries")
+    for level in reversed(range(len(levels))):
+        through = levels[level].where(goes(level)).join(entries, ["k", "us"])
+        reached = through.select("k", (F.col("window_idx") + F.col("steps")).alias("window_idx"), F.col("nxt").alias("us"))
+        entries = written_table(entries.unionByName(reached), "entries")
+    return entries
 
 
 def _labelled(df: DataFrame, opened: DataFrame, ts: str, length: int, keys: Sequence[str]) -> DataFrame:
