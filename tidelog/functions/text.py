@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.schema import PRODUCER_LEVELS
 
+# The form of a time of day, and what parts a line's head from its message.
 TIME_PATTERN = r"[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3}"
 MESSAGE_SEPARATOR = " - "
 
