@@ -102,6 +102,18 @@ def test_holdout_follows_the_running_count(spark, start, stop, limit):
     assert [r.is_test for r in got] == want
 
 
+@pytest.mark.parametrize("limit", [0, 3])
+def test_holdout_of_tied_positions_and_missing_ones(spark, limit):
+    rows = [("u", p, f"i{k}") for k, p in enumerate((10, 20, 20, 20, 30))] + [("v", 20, "x"), ("v", 20, "x"), ("v", 20, "x")]
+    rows += [(None, 1, "n"), ("u", None, "n")]
+    df = spark.createDataFrame(rows, "user string, pos bigint, item string")
+    found = [sorted(map(tuple, holdout_split(df.repartition(k), "user", "pos", 1, 2, limit).collect()), key=repr) for k in (1, 4)]
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    hits = [r for r in found[0] if r[3]]
+    assert [r[:2] for r in hits if r[0] == "u"] == [("u", 10), ("u", 20)]
+    assert sum(r[0] == "v" for r in hits) == (2 if limit == 0 else 1)
+
+
 def test_folds(spark):
     df = spark.range(10).select(F.col("id").alias("pos"), (-F.col("id")).cast("string").alias("item"))
     folds = kfold_split(df, "pos", 4)
