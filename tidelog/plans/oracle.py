@@ -137,6 +137,11 @@ ranked AS (
 ),
 marks AS (SELECT file_name, clock AS last_tod, pos AS last_pos FROM ranked WHERE n = 1)"""
 
+_ORDER_SPANS = """r AS (
+  SELECT DISTINCT lo, hi FROM (
+    SELECT min(l_shipdate) AS lo, max(l_shipdate) AS hi FROM lineitem GROUP BY l_orderkey)
+)"""
+
 _BUCKETS = "CASE " + " ".join(
     f"WHEN value >= {lo} AND value <= {hi} THEN '{name}'" for name, lo, hi in queries.SCORE_RANGES
 ) + " ELSE 'other' END"
@@ -382,6 +387,39 @@ SELECT a.lo, a.hi,
          AS is_overlapping,
        x.reach_lo, x.reach_hi
 FROM r a LEFT JOIN reached x ON x.lo = a.lo AND x.hi = a.hi AND x.n = 1""",
+        "range_lookup": """
+WITH r AS (
+  SELECT p_retailprice * p_size AS lo, p_retailprice * p_size + p_size * 20 AS hi, CAST(p_partkey AS VARCHAR) AS name
+  FROM part
+),
+v AS (SELECT DISTINCT l_extendedprice FROM lineitem),
+met AS (
+  SELECT l_extendedprice, name, row_number() OVER (PARTITION BY l_extendedprice ORDER BY lo, hi, name) AS n
+  FROM v JOIN r ON l_extendedprice >= lo AND l_extendedprice <= hi
+)
+SELECT l_orderkey, l_linenumber, l.l_extendedprice, coalesce(name, 'other') AS bucket
+FROM lineitem l LEFT JOIN met ON met.l_extendedprice = l.l_extendedprice AND n = 1""",
+        "container_counts": f"""
+WITH {_ORDER_SPANS}
+SELECT lo, hi, count(o) FILTER (a AND NOT o) AS n_around, count(o) FILTER (b AND NOT o) AS n_inside FROM (
+  SELECT r.lo, r.hi, s.lo = r.lo AND s.hi = r.hi AS o,
+         s.lo <= r.lo AND s.hi >= r.hi AS a, s.lo >= r.lo AND s.hi <= r.hi AS b
+  FROM r JOIN r s ON s.lo <= r.hi AND s.hi >= r.lo
+) GROUP BY lo, hi""",
+        "innermost_containers": f"""
+WITH RECURSIVE {_ORDER_SPANS},
+around AS (
+  SELECT r.lo, r.hi, s.lo AS up_lo, s.hi AS up_hi,
+         row_number() OVER (PARTITION BY r.lo, r.hi ORDER BY s.lo DESC, s.hi) AS n
+  FROM r JOIN r s ON s.lo <= r.lo AND s.hi >= r.hi AND (s.lo <> r.lo OR s.hi <> r.hi)
+),
+links AS (SELECT r.lo, r.hi, up_lo, up_hi FROM r LEFT JOIN around a ON a.lo = r.lo AND a.hi = r.hi AND n = 1),
+chain AS (
+  SELECT *, CAST(0 AS BIGINT) AS depth FROM links WHERE up_lo IS NULL
+  UNION ALL
+  SELECT l.*, depth + 1 FROM links l JOIN chain c ON l.up_lo = c.lo AND l.up_hi = c.hi
+)
+SELECT * FROM chain""",
         "pattern_rate": _over_logs(_rate("stored", "log_message", "log_type", queries.NUMBER_PATTERN)),
         "pattern_rate_documents": _rate("documents", "text", "lang", "[A-Z][5-9a-z][f-w]"),
         "length_profile": _over_logs(_profile("stored", "log_message", "log_type", 9, 50)),

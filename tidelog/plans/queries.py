@@ -14,6 +14,7 @@ from tidelog.functions.text import file_instance, log_level, log_message, log_ti
 from tidelog.operators import positions, ranges, select, splits, summary, windows
 from tidelog.operators.alerts import batch_alerts
 from tidelog.operators.anchored import anchored_windows
+from tidelog.operators.intervals import container_counts, innermost_containers, range_lookup
 from tidelog.operators.merge import latest_per_key
 from tidelog.plans import inputs
 from tidelog.plans.jobs import consolidate_logs, consume, monitor
@@ -376,6 +377,34 @@ def nested_ranges(spark, sf_dir):
     return ranges.nested_ranges(spans.agg(F.min("value").alias("lo"), F.max("value").alias("hi")))
 
 
+@_query
+def q_range_lookup(spark, sf_dir):
+    """Prices of all lines in price ranges of all parts."""
+    parts = inputs.table(spark, sf_dir, "part")
+    least = F.col("p_retailprice") * F.col("p_size")
+    ranges = parts.select(
+        least.alias("lo"), (least + F.col("p_size") * 20).alias("hi"), F.col("p_partkey").cast("string").alias("name")
+    )
+    lines = inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return range_lookup(lines, "l_extendedprice", ranges)
+
+
+def _order_spans(spark, sf_dir):
+    """From the first to the last shipping of every order."""
+    lines = inputs.table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+    return lines.agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi"))
+
+
+@_query
+def q_container_counts(spark, sf_dir):
+    return container_counts(_order_spans(spark, sf_dir))
+
+
+@_query
+def q_innermost_containers(spark, sf_dir):
+    return innermost_containers(_order_spans(spark, sf_dir))
+
+
 @_query
 def pattern_rate(spark, sf_dir):
     return summary.pattern_rate(inputs.stored_rows(spark, sf_dir), pattern=NUMBER_PATTERN, by=("log_type",))
