@@ -8,7 +8,7 @@ from tidelog.plans.jobs import consolidate_logs, consume, dashboard, monitor
 from tidelog.sinks.tables import compact_date, store, upsert_rows, write_batch
 from tidelog.sources.tables import log_table
 from tidelog.sources.topic import read_messages
-from tidelog.streaming.batches import Targets, batch_action
+from tidelog.streaming.batches import Targets, batch_action, numbered_copies
 from tidelog.streaming.windows import AnchoredTarget, anchored_action, stream_tumbling_count
 
 
@@ -57,6 +57,32 @@ def test_equal_messages_without_position_are_all_stored(spark, tmp_path):
     assert rows.count() == 10 == rows.select("log_id").distinct().count()
 
 
+def test_copies_are_numbered_without_gaps_in_parts(spark):
+    schema = "msg_file string, timestamp string, level string, message string, filename string, log_date string, pos bigint"
+    kinds = {"hot": 1000, "two": 2, "one": 1, "full": 16, "over": 17, None: 5}
+    rows = [("f", "t", "INFO", text, "n", None, None) for text, n in kinds.items() for _ in range(n)]
+    rows += [("g", "t", "INFO", "hot", "n", None, None)] * 3 + [("f", "t", "INFO", "hot", "n", None, 7)]
+    found = numbered_copies(spark.createDataFrame(rows, schema).repartition(3), 0, copies=16)
+    got = {}
+    for r in found.collect():
+        got.setdefault((r.msg_file, r.message, r.pos), []).append(r.msg_copy)
+    want = {("f", text, None): list(range(1, n + 1)) for text, n in kinds.items()}
+    want |= {("g", "hot", None): [1, 2, 3], ("f", "hot", 7): [None]}
+    assert {key: sorted(numbers) if key[2] is None else numbers for key, numbers in got.items()} == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_count" in plan
+
+
+def test_a_batch_writes_only_the_parts_it_has(spark, tmp_path):
+    act = batch_action(targets(tmp_path))
+    act(messages(spark, []), 0)
+    assert not list(tmp_path.iterdir())
+    act(messages(spark, ["bad"]), 1)
+    assert [p.name for p in tmp_path.iterdir()] == ["rejects"]
+    act(messages(spark, [envelope(1)]), 2)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["rejects", "stored"]
+
+
 def test_replay_under_another_day_never_repeats_a_key(spark, tmp_path):
     texts = [json.dumps({"timestamp": f"10:00:0{i}.000", "level": "INFO", "message": "m", "filename": "f"}) for i in range(2)]
     for day in ("2024-01-01", "2024-01-02", "2024-01-01"):
