@@ -350,3 +350,35 @@ def test_odd_turns(spark):
     assert sum(r.n_turns for r in found) == 4 and sum(r.n_merged for r in found) == 2
     assert legal("".join(r.rendered for r in found))
     assert chat.formatted(turns.limit(0)).count() == 0
+
+
+def test_turns_come_in_the_stated_order_in_one_chunk(spark):
+    rows = [(1, t, r, f"<{t}>") for t, r in ((0, "assistant"), (-1, "user"), (-5000, "assistant"), (None, "user"), (90_000, "user"))]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    (found,) = chat.formatted(turns).collect()
+    assert found.chunk == 0 and found.n_turns == 5 and found.cost == 3
+    assert re.findall(r"<(None|-?\d+)>", found.rendered) == ["None", "-5000", "-1", "0", "90000"]
+
+
+def test_long_conversations_are_cut_by_place(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", 10)
+    monkeypatch.setattr(chat, "SLICE", 16)
+    rng = random.Random(3)
+    # equal turns, turns of one number, turns without number, in conversations of many lengths
+    rows = [(1, 5, "user", "same")] * 45
+    rows += [(2, rng.choice([None, -7, 0, 9_999]), rng.choice(["user", "assistant"]), f"t{k:03}") for k in range(63)]
+    rows += [(3 + n, k, "user", f"t{k:03}") for n in range(12) for k in range(n + 1)]
+    rows += [(1, 99, "assistant", "end")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    found = {}
+    for r in sorted(chat.formatted(turns).collect(), key=lambda r: (r.conv_id, r.chunk)):
+        found.setdefault(r.conv_id, []).append(r)
+    lengths = {c: sum(r[0] == c for r in rows) for c in {r[0] for r in rows}}
+    for c, chunks in found.items():
+        full, rest = divmod(lengths[c], 10)
+        assert [(r.chunk, r.n_turns) for r in chunks] == list(enumerate([10] * full + [rest] * (rest > 0)))
+        text = "".join(r.rendered for r in chunks)
+        wanted = sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        assert re.findall(r"same|t\d{3}|end(?!\|)", text) == [r[3] for r in wanted] and legal(text)
+        assert sum(r.cost for r in chunks) == least_cost([r[2] for r in wanted])
+    assert set(found) == set(lengths)

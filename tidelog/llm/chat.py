@@ -7,7 +7,7 @@ role, or to insert an empty turn before it, at the least cost in all.
 
 The costs of a run of turns form a small matrix from the state before to the state after,
 and matrices of neighbouring runs combine. So a conversation of any length is cut in blocks
-by turn number: blocks are folded to matrices, the matrices of a conversation are chained,
+of turns by their place in it: blocks are folded to matrices, the matrices of a conversation are chained,
 and each block is then repaired between the states the chain gave it.
 """
 
@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.frames import written_table
+from tidelog.llm.frames import ranked, written_table
 
-#: Turn numbers that one task repairs at a time.
+#: Turns that one task repairs at a time.
 BLOCK = 4_096
+#: Turns of longer conversations that one task numbers, about.
+SLICE = 1 << 20
 START, SYSTEM, USER, ASSISTANT = range(4)
 ROLES = {"system": SYSTEM, "user": USER, "assistant": ASSISTANT}
 NAMES = {number: name for name, number in ROLES.items()}
@@ -181,24 +183,48 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (part.strip().split(" ") for part in ddl.split(","))])
 
 
+def _blocked(rows: DataFrame) -> DataFrame:
+    """Adds ``block``: a turn's place in its conversation, by BLOCK.
+
+    Only conversations of more than BLOCK turns are numbered. Their turns are put in slices of
+    like size in the stated order and numbered slice by slice, so a conversation that holds a
+    third of all turns is many small groups. Equal turns are told apart by a number written
+    with them, so a turn repeated very often is cut as well.
+    """
+    sizes = rows.groupBy("conv_id").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
+    sizes = written_table(sizes, "long-chats")
+    total = sizes.agg(F.sum("size")).first()[0]
+    first = F.lit(0).cast("bigint")
+    if not total:
+        return rows.withColumn("block", first)
+    short = rows.join(sizes, "conv_id", "left_anti").withColumn("block", first)
+    turns = rows.join(sizes, "conv_id", "left_semi").withColumn("copy", F.monotonically_increasing_id())
+    order = [F.col(name) for name in ("turn", "role", "text", "copy")]
+    slices = 1 + total // SLICE
+    cut = written_table(turns, "long-turns").repartitionByRange(slices, "conv_id", *order)
+    cut = written_table(cut.withColumn("slice", F.spark_partition_id()), "turn-slices")
+    placed = ranked(cut, ["conv_id"], order, F.col("slice"), slices, "place")
+    return short.unionByName(placed.select(*rows.columns, F.floor(F.col("place") / BLOCK).alias("block")))
+
+
 def formatted(
     turns: DataFrame, id_col: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
     """One row per conversation and block: counts, cost and the rendered text of the block.
 
-    A conversation's chunks, in order, make its text; those of fewer than BLOCK turns have
-    one. Turns are ordered by number, ties (also repeated rows) by role and text, and those
+    A conversation's chunks, in order, make its text; those of up to BLOCK turns have
+    one, others one for every BLOCK turns begun. Turns are ordered by number, ties (also repeated rows) by role and text, and those
     without a number come first. A null text is empty, an unknown or null role counts as one
     that must be relabelled. Turns without conversation are left out. Other columns play no
     part; an empty table gives an empty table.
     """
     rows = turns.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("bigint").alias("conv_id"),
-        F.coalesce(F.floor(F.col(turn) / BLOCK), F.lit(-1)).cast("bigint").alias("block"),
         F.col(turn).alias("turn"),
         F.col(role).alias("role"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
+    rows = _blocked(rows)
     order = ["conv_id", "block", "turn", "role", "text"]
     dealt = rows.repartition("conv_id", "block").sortWithinPartitions(*order)
 
