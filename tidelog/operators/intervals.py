@@ -116,7 +116,7 @@ def _ranked(rows: DataFrame, slices: int, order: Sequence[Column], part: str, ra
 
 def _ordered(df: DataFrame, lo: str, hi: str, slice_rows: int) -> tuple[DataFrame, int, int]:
     """Distinct ranges with their places ``a_rank`` by ``(lo, -hi)`` and ``b_rank`` by ``(-hi, lo)``
-    and the slices ``a``, ``b`` of both orders; their number; the number of slices.
+    and the slices ``a``, ``b`` of both orders; the number of ranges; that of slices.
 
     One range holds another just if it comes first in both orders, and neither has ties.
     """
@@ -126,7 +126,10 @@ def _ordered(df: DataFrame, lo: str, hi: str, slice_rows: int) -> tuple[DataFram
     slices = _slices(rows, slice_rows)
     by_start = _ranked(ranges, slices, [F.asc("lo"), F.desc("hi")], "a", "a_rank")
     by_end = _ranked(by_start, slices, [F.desc("hi"), F.asc("lo")], "b", "b_rank")
-    return written_table(by_end, "ordered-ranges"), rows, slices
+    ranked = written_table(by_end, "ordered-ranges")
+    # as many as there are, which need not be as many as were asked for
+    last = ranked.agg(F.max(F.greatest("a", "b"))).first()[0]
+    return ranked, rows, 1 + (last or 0)
 
 
 def _lower_before(place: np.ndarray, key: np.ndarray) -> np.ndarray:
