@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TIME_OF_DAY = r"(?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]{1,9})?)?"
+TIME_OF_DAY = r"(?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]{1,9})?)?"
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 _MICRO = "INTERVAL '0.000001' SECOND"
 
@@ -31,11 +31,11 @@ def time_of_day(text: Column) -> Column:
     The form is ``HH:mm:ss.`` and at least three fraction digits, without
     trailing zeros past the third, so plain string order is time order.
     """
-    return _normal_form(F.regexp_extract(text, f"^{_TIME_OF_DAY}\\z", 0))
+    return _normal_form(F.regexp_extract(text, f"^{TIME_OF_DAY}\\z", 0))
 
 
 def _leading_clock(line: Column, separator: str) -> Column:
-    return F.regexp_extract(line, f"^({_TIME_OF_DAY})(?:\\Q{separator}\\E|\\z)", 1)
+    return F.regexp_extract(line, f"^({TIME_OF_DAY})(?:\\Q{separator}\\E|\\z)", 1)
 
 
 def leading_time(line: Column, separator: str = " ") -> Column:
@@ -58,7 +58,7 @@ def with_leading_time(
 
 def normal_time(text: str) -> str:
     """The same normal form for a configured bound; raises when malformed."""
-    if not re.fullmatch(_TIME_OF_DAY, text):
+    if not re.fullmatch(TIME_OF_DAY, text):
         raise ValueError(f"not a time of day: {text!r}")
     whole, _, fraction = (text + ":00" if len(text) == 5 else text).partition(".")
     return f"{whole}.{fraction[:3].ljust(3, '0')}{fraction[3:].rstrip('0')}"

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tidelog.schema import PRODUCER_LEVELS
 
-# The form of a time of day, and what parts a line's head from its message.
+# The form of a time of day, what parts a line's head from its message, and the
+# number in a producer's file name.
 TIME_PATTERN = r"[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3}"
 MESSAGE_SEPARATOR = " - "
+INSTANCE_PATTERN = r"([0-9]+)\.log$"
 
 _LEVEL_TOKEN = f"(?:^| )({'|'.join(PRODUCER_LEVELS)})(?: |\\z)"
 _BLANKS = "".join(map(chr, range(0x21)))
@@ -54,5 +56,5 @@ def log_timestamp(line: Column) -> Column:
 
 def file_instance(file_name: Column) -> Column:
     """Number of the producer in ``output<n>.log``; NULL for other names."""
-    digits = F.regexp_extract(file_name, r"([0-9]+)\.log$", 1)
+    digits = F.regexp_extract(file_name, INSTANCE_PATTERN, 1)
     return F.when(digits != "", digits.try_cast("int"))

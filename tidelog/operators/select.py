@@ -65,7 +65,8 @@ def untimed(lines: DataFrame, value: str = "value", separator: str = " ") -> Dat
     return lines.where(leading_time(F.col(value), separator).isNull())
 
 
-def _bounds(windows: Sequence[Window]) -> list[Window]:
+def normal_windows(windows: Sequence[Window]) -> list[Window]:
+    """Configured windows in the form of times that :func:`leading_time` gives."""
     if not windows:
         raise ValueError("no time window configured")
     return [(normal_time(start), normal_time(end)) for start, end in windows]
@@ -87,7 +88,7 @@ def file_time_window(
     needs no join; the file's number is found once per line (see
     :func:`with_leading_time`).
     """
-    bounds = _bounds(windows)
+    bounds = normal_windows(windows)
     if single:
         return time_window(lines, *bounds[0], value, separator, ordered)
     once = F.inline(F.array(F.struct(file_instance(F.col("file_name")).alias("_nth"))))

@@ -451,6 +451,17 @@ FROM records GROUP BY 1, 2"""
 FROM (SELECT count(*) AS n FROM records),
      (SELECT unnest(['{queries.DAY}', '{queries.OTHER_DAY}']) AS event_date)"""
         ),
+        "time_seek": _over_logs(
+            f"SELECT value, clock AS tod, covered FROM plain, (VALUES ('first'), ('all')) AS c(covered) WHERE {_IN_DAY}"
+        ),
+        "time_index": _over_logs(
+            """SELECT CAST(sum(breaks) AS BIGINT) AS n_untimed, CAST(sum(size) AS BIGINT) AS n_bytes,
+       min(clock) AS least, max(clock) AS greatest
+FROM (SELECT 0 AS breaks, strlen(value) + 1 AS size, clock FROM plain
+      UNION ALL
+      SELECT length(text) - length(replace(text, chr(10), '')),
+             strlen('00:00:00.000 [' || source || '] INFO  app.Documents - ' || text) + 1, '00:00:00.000' FROM documents)"""
+        ),
         "consolidated_files": _over_logs("SELECT value FROM plain"),
         "tail_backlog": _over_logs(
             "SELECT value, count(*) AS times, CAST(3 AS BIGINT) AS runs, true AS bounded FROM plain GROUP BY value"

@@ -23,6 +23,7 @@ from tidelog.session import scratch_path
 from tidelog.sinks.tables import upsert_rows
 from tidelog.sources.loglines import scan_logs, tail_logs
 from tidelog.sources.tables import delimited, log_table
+from tidelog.sources.timeindex import index_logs, seek_time_window
 from tidelog.sources.topic import read_messages
 from tidelog.streaming.batches import Targets
 from tidelog.streaming.windows import AnchoredTarget, anchored_action, changed_windows, newest_windows, stream_tumbling_count
@@ -42,6 +43,7 @@ STORED_RANGE = ("2024-01-05 06:00:00", "2024-01-17 18:30:00")
 NUMBER_PATTERN = "[1-3][0-9]"
 STREAM_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 OTHER_DAY = "2024-01-02"
+SEEK_GRANULE = 1 << 16
 
 
 def _query(run: Query) -> Query:
@@ -595,6 +597,40 @@ def upsert_replay_other_day(spark, sf_dir):
     return _tally(_consumed(spark, base, "again", OTHER_DAY), "event_date")
 
 
+@_query
+def time_seek(spark, sf_dir):
+    """The day window by seeking in written logs: while the index covers the files of the first of
+    two runs alone, and when it has been brought up to date."""
+    base = scratch_path(spark, "seek")
+    lines = inputs.log_lines(spark, sf_dir)
+    logs, names = f"{base}/logs", r"^part-.*\.txt$"
+    found = []
+    for run in (0, 1):
+        lines.where(F.col("pos") % 2 == run).select("value").sortWithinPartitions("value").write.mode("append").text(logs)
+        if not run:
+            index_logs(spark, logs, f"{base}/index", names, granule_bytes=SEEK_GRANULE)
+    for covered in ("first", "all"):
+        if covered == "all":
+            index_logs(spark, logs, f"{base}/index", names, granule_bytes=SEEK_GRANULE)
+        # stored, as a plan made later would see the index as it is then
+        rows = seek_time_window(spark, logs, f"{base}/index", *DAY_WINDOW, names=names, ordered=False)
+        rows.select("value", "tod", F.lit(covered).alias("covered")).write.parquet(f"{base}/found/{covered}")
+        found.append(spark.read.parquet(f"{base}/found/{covered}"))
+    return found[0].unionByName(found[1])
+
+
+@_query
+def time_index(spark, sf_dir):
+    """The index of written logs: per file its lines without a time and its least and greatest time."""
+    base = scratch_path(spark, "time-index")
+    docs = inputs.document_lines(spark, sf_dir)  # of a message of several lines only the first has a time
+    docs.unionByName(inputs.log_lines(spark, sf_dir)).select("value").write.text(f"{base}/logs")
+    index_logs(spark, f"{base}/logs", f"{base}/index", r"^part-.*\.txt$", granule_bytes=SEEK_GRANULE)
+    rows = spark.read.parquet(f"{base}/index")
+    untimed, size = F.sum("untimed").alias("n_untimed"), F.sum(F.col("stop") - F.col("start")).alias("n_bytes")
+    return rows.agg(untimed, size, F.min("least").alias("least"), F.max("greatest").alias("greatest"))
+
+
 @_query
 def consolidated_files(spark, sf_dir):
     """The consolidated writer over written log files."""

@@ -149,7 +149,8 @@ def _batch(name: str, first: int, block: bytes) -> pa.RecordBatch:
     )
 
 
-def _read(part: ByteRange, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
+def _blocks(part: ByteRange, chunk_bytes: int) -> Iterator[tuple[int, bytes]]:
+    """Whole lines of a range with the position of the first, in blocks of about ``chunk_bytes``."""
     system, inner = pafs.FileSystem.from_uri(part.path)
     with system.open_input_file(inner) as source:
         at = part.start
@@ -168,12 +169,17 @@ def _read(part: ByteRange, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
                 held.append(chunk)
                 continue
             block = b"".join([*held, chunk[:cut]])
-            yield _batch(part.file_name, first, block)
+            yield first, block
             first += len(block)
             held = [chunk[cut:]] if cut < len(chunk) else []
         rest = b"".join(held)
         if part.to_end and rest:
-            yield _batch(part.file_name, first, rest + _LINE_END)
+            yield first, rest + _LINE_END
+
+
+def _read(part: ByteRange, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
+    for first, block in _blocks(part, chunk_bytes):
+        yield _batch(part.file_name, first, block)
 
 
 class _LinesReader(DataSourceReader):
