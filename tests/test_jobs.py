@@ -9,7 +9,15 @@ from tidelog.sinks.tables import compact_date, store, upsert_rows, write_batch
 from tidelog.sources.tables import log_table
 from tidelog.sources.topic import read_messages
 from tidelog.streaming.batches import Targets, batch_action, numbered_copies
-from tidelog.streaming.windows import AnchoredTarget, anchored_action, stream_tumbling_count
+from tidelog.streaming.windows import (
+    AnchoredTarget,
+    CountedTarget,
+    anchored_action,
+    counted_action,
+    counted_windows,
+    late_rows,
+    stream_tumbling_count,
+)
 
 
 def envelope(second, level="INFO", message="m", file="output1.log", pos=0, **more):
@@ -358,6 +366,73 @@ def test_streamed_tumbling_counts_drop_and_count_late_rows(spark, tmp_path, zone
     assert dropped == 1
 
 
+BATCHES = [
+    [("a", 1.0), ("b", 5.0), ("none", None)],
+    [("c", 100.0), ("early", 3.0)],  # the watermark is that of earlier batches
+    [("late", 2.0), ("d", 101.0), ("just", 79.999999), ("open", 80.0)],
+    [],
+    [("e", 300.0), ("again", 2.0), ("again", 2.0), ("in", 89.0)],
+    [("last", 89.0), ("none", None)],
+]
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_late_rows_are_kept_and_counted(spark, tmp_path, zone, kind):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    target = CountedTarget(str(tmp_path))
+    act = counted_action(target, 10, 20, "ERROR")
+    try:
+        for batch_id, batch in enumerate(BATCHES):
+            data = [(i, "ERROR", s) for i, s in batch] + [("other", "INFO", 9999.0)]
+            made = spark.createDataFrame(data, "id string, log_type string, s double")
+            at = F.timestamp_micros(F.round(F.col("s") * 1_000_000).cast("bigint"))
+            if kind == "timestamp_ntz":
+                at = F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, cast(s as decimal(18, 6)))")
+            for _ in range(1 + batch_id % 2):  # a batch that is run again changes nothing
+                act(made.select("id", "log_type", at.alias("event_ts")), batch_id)
+        counts = counted_windows(spark, target)
+        seconds = F.unix_micros(F.col("window_start").cast("timestamp")) / 1_000_000
+        if kind == "timestamp_ntz":
+            seconds = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', window_start)")
+        got = {int(r.at): r.n_logs for r in counts.select(seconds.alias("at"), "n_logs").collect()}
+        late = sorted((r.id, r.batch_id, r.watermark is None) for r in late_rows(spark, target).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    # batch 2 has the watermark 80, batch 4 that of 81, batch 5 that of 280
+    assert got == {0: 3, 80: 2, 100: 2, 300: 1}
+    want = [("again", 4, False), ("again", 4, False), ("just", 2, False), ("last", 5, False), ("late", 2, False)]
+    assert late == [*want, ("none", 0, True), ("none", 5, False)]
+    assert sum(got.values()) + len(late) == sum(map(len, BATCHES))
+
+
+def test_late_rows_are_those_that_spark_drops(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    folder, target = tmp_path / "in", CountedTarget(str(tmp_path / "own"))
+    schema = times(spark, "f", [("x", 0.0)]).schema
+    act, dropped, n = counted_action(target, 10, 20), 0, 0
+    for batch_id in range(4):
+        batch = [(str(i), batch_id * 30 + rng.uniform(-60, 30) + 60) for i in range(40)]
+        n += len(batch)
+        rows = times(spark, "f", batch)
+        act(rows, batch_id)
+        stream_of(spark, folder, rows)
+        counted = stream_tumbling_count(spark.readStream.schema(schema).parquet(str(folder)), 10, "20 seconds")
+        writer = counted.writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "ck"))
+        query = writer.format("parquet").option("path", str(tmp_path / "out")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        dropped += sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    own = {r.window_start: r.n_logs for r in counted_windows(spark, target).collect()}
+    final = {r.window_start: r.n_logs for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert final and final.items() <= own.items()
+    late = late_rows(spark, target).collect()
+    # Spark drops what was aggregated before it meets the state: at most as many as there are rows
+    assert 0 < dropped <= len(late) and sum(own.values()) + len(late) == n
+
+
 def test_dashboard(spark):
     rows = times(spark, "f", [("a", 0.0), ("b", 30.0), ("c", 90.0)]).select(
         "log_id", "file_name", F.date_format("event_ts", "HH:mm:ss.SSS").alias("timestamp"),

@@ -480,6 +480,17 @@ FROM orders""",
         "stream_tumbling": """
 SELECT date_trunc('hour', ts) AS window_start, count(*) AS n_logs
 FROM events WHERE event_type = 'error' GROUP BY 1""",
+        "stream_late_rows": f"""
+WITH parts AS (
+  SELECT event_id, ts, date_trunc('hour', ts) AS window_start,
+         ts >= TIMESTAMP '{queries.STREAM_CUTS[0]}' AND ts < TIMESTAMP '{queries.STREAM_CUTS[1]}' AS last FROM events
+),
+mark AS (SELECT max(ts) - INTERVAL {queries.LATE_DAYS} DAY AS watermark FROM parts WHERE NOT last),
+told AS (SELECT *, last AND window_start + INTERVAL 1 HOUR <= watermark AS late FROM parts, mark)
+SELECT window_start, CASE WHEN count(*) > count(*) FILTER (late) THEN count(*) FILTER (NOT late) END AS n_logs,
+       max(watermark) FILTER (late) AS watermark,
+       CASE WHEN bool_or(late) THEN count(*) FILTER (late) END AS n_late, min(event_id) FILTER (late) AS least_id
+FROM told GROUP BY window_start""",
         "stream_anchored": _over_logs(
             "SELECT file_name, CAST(src_pos AS VARCHAR) AS log_id, event_ts, log_type, window_idx, "
             "window_start, false AS is_late FROM labelled",

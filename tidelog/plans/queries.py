@@ -26,7 +26,17 @@ from tidelog.sources.tables import delimited, log_table
 from tidelog.sources.timeindex import index_logs, seek_time_window
 from tidelog.sources.topic import read_messages
 from tidelog.streaming.batches import Targets
-from tidelog.streaming.windows import AnchoredTarget, anchored_action, changed_windows, newest_windows, stream_tumbling_count
+from tidelog.streaming.windows import (
+    AnchoredTarget,
+    CountedTarget,
+    anchored_action,
+    changed_windows,
+    counted_action,
+    counted_windows,
+    late_rows,
+    newest_windows,
+    stream_tumbling_count,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -43,6 +53,7 @@ STORED_RANGE = ("2024-01-05 06:00:00", "2024-01-17 18:30:00")
 NUMBER_PATTERN = "[1-3][0-9]"
 STREAM_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 OTHER_DAY = "2024-01-02"
+LATE_DAYS = 12
 SEEK_GRANULE = 1 << 16
 
 
@@ -505,6 +516,26 @@ def stream_tumbling(spark, sf_dir):
     return newest_windows(spark.read.parquet(f"{path}/changes"))
 
 
+@_query
+def stream_late_rows(spark, sf_dir):
+    """Counts per hour of all rows in three runs, of which the last brings the middle third of the
+    time: what its rows behind the watermark are, by hour, and what is counted."""
+    base = scratch_path(spark, "late")
+    events = inputs.table(spark, sf_dir, "events")
+    rows = events.select("event_id", F.col("ts").alias("event_ts"))
+    first, second = [F.lit(cut).cast(rows.schema["event_ts"].dataType) for cut in STREAM_CUTS]
+    at, target = F.col("event_ts"), CountedTarget(f"{base}/windows")
+    for part in (at < first, at >= second, (at >= first) & (at < second)):
+        rows.where(part).write.mode("append").parquet(f"{base}/rows")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/rows")
+        action = counted_action(target, SLICE_SECONDS, LATE_DAYS * 86400)
+        writer = stream.writeStream.foreachBatch(action).option("checkpointLocation", f"{base}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    hour = F.date_trunc("hour", "event_ts").cast(rows.schema["event_ts"].dataType).alias("window_start")
+    late = late_rows(spark, target).groupBy(hour, "watermark").agg(F.count("*").alias("n_late"), F.min("event_id").alias("least_id"))
+    return counted_windows(spark, target).join(late, "window_start", "full")
+
+
 @_query
 def stream_anchored(spark, sf_dir):
     """Three runs of one query, each after a third of the rows has come: windows that
