@@ -275,6 +275,20 @@ def test_tokens_are_those_of_the_library(odd_rows):
         assert ids[a:b].tolist() == model.encode(text or "", add_special_tokens=False).ids
 
 
+def test_strings_are_encoded_in_runs(monkeypatch):
+    model = Tokenizer.from_file(WORD_BPE)
+    model.encode_special_tokens = True
+    mark, number = packing._mark(model)
+    assert model.encode(mark, add_special_tokens=False).ids == [number]
+    texts = [*mixed_texts(500, 6), mark, f"{mark}s", f"x.{mark} a{mark}", mark.upper(), "Σ.ΑΣ", "e\u0301a", "\xa0", "a\u2003b", "<|endoftext|>", "'s", ""]
+    words = [w.encode() for w in dict.fromkeys(w for t in texts for w in t.split(" "))]
+    want = [model.encode(w.decode(), add_special_tokens=False).ids for w in words]
+    for run in (1, 7, 128):
+        monkeypatch.setattr(packing, "RUN_STRINGS", run)
+        ids, counts = packing._pieces(WORD_BPE).encode(words)
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
 def test_packed_pieces(odd_docs, odd_rows):
     model = Tokenizer.from_file(WORD_BPE)
     model.encode_special_tokens = True

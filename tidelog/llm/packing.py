@@ -9,7 +9,11 @@ its place in some sequence.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from collections.abc import Iterator
+from itertools import compress
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +23,16 @@ from pyspark.sql import functions as F
 from tidelog.llm import texts as T
 from tidelog.llm.binpack import pack
 from tidelog.llm.frames import ranked, written_table
-from tidelog.llm.pieces import Pieces, held
+from tidelog.llm.pieces import Pieces, flattened, held
+
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
 
 ROOM, SEPARATOR = 2048, 0
 #: Bytes of texts that are encoded at a time.
 SLICE_BYTES = 1 << 20
+#: Strings that are encoded as one text, with a mark after each: white space parts them.
+RUN_STRINGS = 128
 #: Rows that one ranking task takes.
 RANK_ROWS = 200_000
 PIECE = "array<struct<piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>>>"
@@ -40,16 +49,51 @@ def _vocabulary(path: str) -> Pieces:
 
 def _pieces(path: str) -> Pieces:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    model, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    model.encode_special_tokens = plain.encode_special_tokens = True  # their strings in a text are ordinary text
+    plain.normalizer, plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()  # what lower letters need
+    mark, mark_id = _mark(model)
+    between = f" {mark} "
+
+    def in_runs(by: Tokenizer, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        runs = [words[at : at + RUN_STRINGS] for at in range(0, len(words), RUN_STRINGS)]
+        found = by.encode_batch_fast([between.join(run) + between for run in runs], add_special_tokens=False)
+        for one, run in zip(found, runs, strict=True):
+            parts = _parted(np.array(one.ids, np.int32), len(run), mark_id)
+            yield parts or flattened([w.ids for w in by.encode_batch_fast(run, add_special_tokens=False)])
+
+    def encode(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        is_plain = np.fromiter((v.isalpha() and v.islower() for v in values), bool, len(values))
+        words = [v.decode() for v in values]
+        parts = []
+        for by, some in ((plain, is_plain), (model, ~is_plain)):
+            parts += in_runs(by, list(compress(words, some.tolist())))
+        ids, counts = (np.concatenate(both) for both in zip(*parts, strict=True))
+        place = np.empty(len(values), np.int64)
+        place[np.argsort(~is_plain, kind="stable")] = np.arange(len(values))
+        return ids[T.flat_ranges((np.cumsum(counts) - counts)[place], counts[place])], counts[place]
 
-    model = Tokenizer.from_file(path)
-    model.encode_special_tokens = True  # their strings in a text are ordinary text
+    return Pieces(encode)
 
-    def encode(values: list[bytes]) -> list[list[int]]:
-        found = model.encode_batch_fast([v.decode() for v in values], add_special_tokens=False)
-        return [one.ids for one in found]
 
-    return Pieces(encode)
+def _mark(model: Tokenizer) -> tuple[str, int]:
+    """A word that is one id by itself, the last one learned of plain letters, and its id."""
+    plain = ((number, word.removesuffix("</w>")) for word, number in model.get_vocab().items() if word.endswith("</w>"))
+    for number, word in sorted(plain, reverse=True):
+        if re.fullmatch("[a-z]+", word) and model.encode(word, add_special_tokens=False).ids == [number]:
+            return word, number
+    raise ValueError("the vocabulary has no word of plain letters")
+
+
+def _parted(ids: np.ndarray, count: int, mark_id: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Ids without marks, and how many each string has; None if a string holds the mark itself."""
+    is_mark = ids == mark_id
+    ends = np.flatnonzero(is_mark)
+    if len(ends) != count:
+        return None
+    return ids[~is_mark], np.diff(ends, prepend=-1) - 1
 
 
 def token_ids(texts: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:

@@ -11,6 +11,7 @@ import ctypes
 import gc
 import weakref
 from collections.abc import Callable, Hashable
+from itertools import repeat
 from typing import Any
 
 import numpy as np
@@ -54,11 +55,14 @@ def forget(but: Pieces | None = None) -> None:
 class Pieces:
     """Remembers the ids of strings; beyond ``most`` bytes it starts anew.
 
-    ``encode`` takes a list of distinct byte strings and gives a list of ids for each.
+    ``encode`` takes a list of distinct byte strings and gives a list of ids for each, or all
+    ids one after another and how many each string has.
     Memory is bounded by ``most`` and by the distinct strings of one slice.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], most: int = 48 << 20):
+    def __init__(
+        self, encode: Callable[[list[bytes]], list[list[int]] | tuple[np.ndarray, np.ndarray]], most: int = 48 << 20
+    ):
         self.encode, self.most = encode, most
         self.clear()
         _ALL.add(self)
@@ -73,8 +77,7 @@ class Pieces:
 
     def _add(self, values: list[bytes]) -> None:
         found = self.encode(values)
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for one in found for i in one), np.int32, int(counts.sum()))
+        ids, counts = found if isinstance(found, tuple) else flattened(found)
         at = len(self.number)
         self.start = _room(self.start, at + len(values))
         self.count = _room(self.count, at + len(values))
@@ -89,20 +92,26 @@ class Pieces:
     def ids(self, codes: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all strings one after another, and how many each string has."""
         forget(self)
-        values = distinct.to_pylist()
-        at = list(map(self.number.get, values))
-        missing = [value for value, known in zip(values, at, strict=True) if known is None]
-        if missing:
-            if self.number and self.size + _bytes(missing) > self.most:
+        values = distinct.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter(map(self.number.get, values, repeat(-1)), np.int64, len(values))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [values[i] for i in missing.tolist()]
+            if self.number and self.size + _bytes(new) > self.most:
                 self.clear()
-                missing = values
-            self._add(missing)
-            at = list(map(self.number.get, values))
-        at = np.array(at, np.int64)
+                missing, new = np.arange(len(values)), values
+            at[missing] = np.arange(len(self.number), len(self.number) + len(new))
+            self._add(new)
         counts = self.count[at][codes]
         return self.pool[flat_ranges(self.start[at][codes], counts)], counts
 
 
+def flattened(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids one after another, and how many each list has."""
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter((i for one in found for i in one), np.int32, int(counts.sum())), counts
+
+
 def _bytes(values: list[bytes]) -> int:
     """About what strings take as keys: their bytes, an object, an entry and two numbers each."""
     return sum(map(len, values)) + 160 * len(values)
