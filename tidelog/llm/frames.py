@@ -32,6 +32,33 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Marks for each value that is looked for, and the most marks in all (32 MB).
+MARKS_EACH, MOST_MARKS = 16, 1 << 28
+
+
+def among(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """``df`` without most rows whose ``column`` (long) is not in ``wanted``, ahead of a join.
+
+    Each wanted value sets one of many marks, kept as bitmaps of 4 KB that are broadcast, so
+    rows that a join would drop are not shuffled for it. All rows with a wanted value stay, one in
+    sixteen or fewer of the others too; more only where ``wanted`` has over 16 million rows.
+    ``wanted`` is read twice: pass a stored table.
+    """
+    marks = 1 << 15
+    while marks < min(MARKS_EACH * wanted.count(), MOST_MARKS):
+        marks *= 2
+    bits, bit, group = (free_name(df, n) for n in ("bits_", "bit_", "group_"))
+
+    def marked(frame: DataFrame) -> DataFrame:
+        mark = F.pmod(F.xxhash64(column), F.lit(marks))
+        return frame.withColumn(bit, mark % 32768).withColumn(group, (mark / 32768).cast("int"))
+
+    maps = marked(wanted.select(column)).groupBy(group).agg(F.bitmap_construct_agg(bit).alias(bits))
+    octet = F.conv(F.hex(F.substring(bits, (F.col(bit) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = marked(df).join(F.broadcast(maps), group)
+    return found.where(F.getbit(octet, (F.col(bit) % 8).cast("int")) == 1).select(df.columns)
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[Column], spread: Column, parts: int, name: str) -> DataFrame:
     """Adds ``name``: the place (from 0, without gaps) of each row among the rows of its keys.
 
@@ -54,4 +81,4 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], spread: Column,
     )
 
 
-__all__ = ["bounded_batches", "free_name", "ranked", "table", "written_table"]
+__all__ = ["among", "bounded_batches", "free_name", "ranked", "table", "written_table"]

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import texts as T
 from tidelog.llm.components import components
-from tidelog.llm.frames import free_name, written_table
+from tidelog.llm.frames import among, free_name, written_table
 from tidelog.llm.pieces import forget
 
 SHINGLE = 5
@@ -200,8 +200,8 @@ def _rare_pairs(some: DataFrame, members: DataFrame, sets: DataFrame) -> DataFra
     one's common item.
     """
     top, bottom = LEAST
-    rows = sets.join(members, "id").select("id", "own", F.size("items").alias("n"), F.explode("items").alias("item"))
-    rows = written_table(rows.distinct(), "members")
+    rows = sets.join(members, "id").select("id", "own", F.size("items").alias("n"), F.explode(F.array_distinct("items")).alias("item"))
+    rows = written_table(rows, "members")
     often = written_table(rows.groupBy("item").agg(F.count("*").alias("often")), "often")
     place = F.row_number().over(Window.partitionBy("id").orderBy("often", "item"))
     rest = F.col("n") - place + 1
@@ -228,9 +228,10 @@ def _classed(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFr
     # ids may repeat with other words, so nodes have numbers of their own
     nodes = known.groupBy("key").agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
     nodes = written_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    buckets = nodes.select("node", F.explode("bands").alias("bucket")).distinct()
+    buckets = nodes.select("node", F.explode(F.array_distinct("bands")).alias("bucket"))
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    met = written_table(buckets.join(written_table(sizes, "sizes"), "bucket"), "met")
+    sizes = written_table(sizes, "sizes")
+    met = written_table(among(buckets, "bucket", sizes).join(sizes, "bucket"), "met")
     # what a group was copied from meets more of it than a copy does
     reach = written_table(met.groupBy("node").agg(F.sum("size").alias("reach")), "reach")
     first = F.max(F.struct("reach", (-F.col("node")).alias("least")))
@@ -241,7 +242,8 @@ def _classed(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFr
     wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     wanted = written_table(nodes.select("node", "key", F.col("least").alias("id")).join(wanted, "node"), "wanted")
     # of the texts of a node's least id, those with the node's words
-    texts = rows.join(wanted.withColumnRenamed("key", "own_key"), "id").select("node", "own_key", layered(F.col("text")).alias("s"))
+    some = among(rows, "id", wanted)
+    texts = some.join(wanted.withColumnRenamed("key", "own_key"), "id").select("node", "own_key", layered(F.col("text")).alias("s"))
     sets = texts.where("s.key = own_key").select(F.col("node").alias("id"), "s.items")
     if known.count() > known.select("id", "key").distinct().count():
         sets = sets.groupBy("id").agg(F.first("items").alias("items"))  # rows that repeat id and words
@@ -261,7 +263,9 @@ def _classed(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFr
         members = placed.join(open_, "bucket").select(F.col("node").alias("id"), "own").distinct()
         some = apart.select(F.col("node").alias("id")).distinct()
         more = _rare_pairs(written_table(some, "apart"), written_table(members, "open-members"), sets)
-        roots = components(links.unionByName(_alike(written_table(more, "rare-pairs"), sets)))
+        more = written_table(more, "rare-pairs")
+        ends = more.select(F.col("a").alias("id")).unionByName(more.select(F.col("b").alias("id")))
+        roots = components(links.unionByName(_alike(more, among(sets, "id", ends))))
     belongs = written_table(rooted(nodes.select("key", "node", "least"), "node", "class").select("key", "class", "least"), "classes")
     least = belongs.groupBy("class").agg(F.min("least").alias("least"))
     turn = F.row_number().over(Window.partitionBy("least").orderBy("class"))
