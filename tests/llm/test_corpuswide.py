@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidelog.llm import binpack, chat, kdsearch, neardup, sharding
+from tidelog.llm import binpack, chat, frames, kdsearch, neardup, sharding
 from tidelog.llm import texts as T
 from tidelog.llm.components import components
 
@@ -79,6 +79,22 @@ def test_classes_are_those_of_all_pairs(odd_rows, make_docs):
     assert {(r.doc_id, r.class_id) for r in found} == {(i, None if i is None else want[i]) for i, _ in rows}
 
 
+@pytest.mark.parametrize("most", [1 << 28, 1])
+def test_rows_that_a_join_would_drop_are_left_out_ahead(spark, monkeypatch, most):
+    monkeypatch.setattr(frames, "MOST_MARKS", most)
+    ids = [*range(-3000, 60_000, 3), None, 9, 9, 1 << 62]
+    rows = spark.createDataFrame([(i, str(i)) for i in ids], "id bigint, bit_ string")
+    wanted = spark.createDataFrame([(i,) for i in [*range(0, 60_000, 30), 9, 9, -1, 1 << 62]], "id bigint")
+    found = frames.among(rows, "id", wanted)
+    assert found.columns == rows.columns
+    asked = {r.id for r in wanted.collect()}
+    got = [tuple(r) for r in found.collect()]
+    assert Counter(r for r in got if r[0] in asked) == Counter((i, str(i)) for i in ids if i in asked)
+    others = sum(i not in asked for i in ids)
+    assert sum(r[0] not in asked for r in got) < others / (8 if most > 1 else 1)
+    assert frames.among(rows, "id", wanted.where("id is null")).count() == 0
+
+
 def test_one_of_each_class_stays(odd_rows, make_docs):
     rows = [*odd_rows, *near_copies(2, 2, 10)]
     docs = make_docs(rows)
